@@ -45,7 +45,12 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         *part, *[F.coalesce(F.sum(f"_rs_t_{n}").over(before), F.lit(0)).alias(f"_rs_o_{n}")
                  for n in names])
 
-    joined = within.join(offsets, on=part, how="inner")
+    # Null-safe keys: rows with a null key or bucket form their own group in
+    # the window and must find their offset too.
+    o = offsets.select(*[F.col(c).alias(f"_rs_k{i}") for i, c in enumerate(part)],
+                       *[f"_rs_o_{n}" for n in names])
+    cond = [within[c].eqNullSafe(o[f"_rs_k{i}"]) for i, c in enumerate(part)]
+    joined = within.join(o, on=cond, how="inner")
     out_cols = [c for c in df.columns if c not in names]
     return joined.select(
         *out_cols, *[(F.col(f"_rs_in_{n}") + F.col(f"_rs_o_{n}")).alias(n) for n in names])

@@ -66,20 +66,24 @@ def state_counts(apps: DataFrame) -> DataFrame:
     return apps.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_app_id(containers: DataFrame) -> DataFrame:
-    """Add ``app_id`` (``application_<ts>_<seq>``) derived from the container id."""
+def with_app_id(containers: DataFrame, key: str = "application") -> DataFrame:
+    """Add ``app_id`` derived from the container id: ``application_<ts>_<seq>``
+    (``key="application"``) or the sequence number as a long (``"number"``)."""
+    if key == "number":
+        return containers.withColumn("app_id", ids.app_number(F.col("container_id")))
     return containers.withColumn("app_id", ids.application_id(F.col("container_id")))
 
 
-def completion_summary(containers: DataFrame) -> DataFrame:
+def completion_summary(containers: DataFrame, key: str = "application") -> DataFrame:
     """Requested, completed and failed containers per application.
 
     ``final_status`` follows the master's completion callback: FAILED once
     every requested container completed and at least one failed; UNDEFINED
     when all completed without failure (the reference never sets a success
-    status there); RUNNING while some are outstanding.
+    status there); RUNNING while some are outstanding. One hash aggregate
+    with map-side partial counts.
     """
-    c = with_app_id(containers)
+    c = with_app_id(containers.select("container_id", "completed", "exit_status"), key)
     done = F.col("completed") == 1
     agg = c.groupBy("app_id").agg(
         F.count(F.lit(1)).alias("requested"),
@@ -91,13 +95,15 @@ def completion_summary(containers: DataFrame) -> DataFrame:
     return agg.withColumn("final_status", final)
 
 
-def progress(summary: DataFrame) -> DataFrame:
+def progress_of(requested: Column, completed: Column) -> Column:
     """``0.1 + completed / (requested * 0.9)``, or 0.1 with nothing requested.
     As in the reference, this reaches about 1.211 at completion."""
-    p = (F.when(F.col("requested") > 0,
-                F.lit(0.1) + F.col("completed") / (F.col("requested") * F.lit(0.9)))
-         .otherwise(F.lit(0.1)))
-    return summary.select("app_id", p.cast("double").alias("progress"))
+    return (F.when(requested > 0, F.lit(0.1) + completed / (requested * F.lit(0.9)))
+            .otherwise(F.lit(0.1))).cast("double")
+
+
+def progress(summary: DataFrame) -> DataFrame:
+    return summary.select("app_id", progress_of(F.col("requested"), F.col("completed")).alias("progress"))
 
 
 def latest_attempt_containers(containers: DataFrame) -> DataFrame:

@@ -13,9 +13,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+import fleetlens
+
+# Functions of this package travel to the Python workers by value, so a
+# task does not depend on the package being importable on every executor.
+cloudpickle.register_pickle_by_value(fleetlens)
+
 
 def map_partitions_with_outcome(df: DataFrame, fn: Callable, input_col: str,
                                 result_type: T.DataType = T.StringType(),

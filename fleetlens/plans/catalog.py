@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.functions import ids
 from fleetlens.operators import apps as A
 from fleetlens.operators import config as C
 from fleetlens.operators import files as FL
@@ -34,22 +33,12 @@ ONE_DAY_US = 86_400_000_000
 
 def app_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: completion and progress of every application that has
-    containers, with its name (#12 -> #20 -> #21)."""
+    containers, with its name (#12 -> #20 -> #21). The containers are
+    aggregated once per application before the join with ``apps``."""
     v = Views(spark, sf_dir)
-    c = v.containers.select(ids.app_number(F.col("container_id")).alias("app_num"),
-                            "completed", "exit_status")
-    done = F.col("completed") == 1
-    per_app = c.groupBy(F.col("app_num").alias("app_id")).agg(
-        F.count(F.lit(1)).alias("requested"),
-        F.count_if(done).alias("completed"),
-        F.count_if(done & (F.col("exit_status") != 0)).alias("failed"))
-    final = (F.when(F.col("completed") < F.col("requested"), "RUNNING")
-             .when(F.col("failed") > 0, "FAILED").otherwise("UNDEFINED"))
-    summary = per_app.withColumn("final_status", final)
-    prog = A.progress(summary)
-    return (v.apps.select("app_id", "name")
-            .join(summary, on="app_id", how="inner")
-            .join(prog, on="app_id", how="inner"))
+    summary = A.completion_summary(v.containers, key="number")
+    summary = summary.withColumn("progress", A.progress_of(F.col("requested"), F.col("completed")))
+    return v.apps.select("app_id", "name").join(summary, on="app_id", how="inner")
 
 
 def flatten_envelope(spark, sf_dir):
