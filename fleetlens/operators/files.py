@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import fleetlens.operators.udf  # noqa: F401  (package functions pickle by value)
 
 
 def base_name(path: Column) -> Column:
@@ -46,7 +52,11 @@ def upload_delta(local: DataFrame, remote: DataFrame, always: bool = False,
     else:
         lk, rk = F.col("path"), F.col("path")
     l = local.select(F.col("path"), lk.alias("_k"), "size", "mtime")
-    r = remote.select(rk.alias("_k"), F.col("size").alias("_rsize"), "last_mod", F.lit(True).alias("_there"))
+    # One remote entry per key (the newest), so the join cannot fan out even
+    # when names repeat; a map-side max_by before the shuffle.
+    r = (remote.select(rk.alias("_k"), F.struct(F.col("last_mod"), F.col("size").alias("_rsize")).alias("_r"))
+         .groupBy("_k").agg(F.max_by("_r", F.col("_r.last_mod")).alias("_r"))
+         .select("_k", "_r.last_mod", "_r._rsize", F.lit(True).alias("_there")))
     j = l.join(r, on="_k", how="left")
     action = (F.when(F.col("_there").isNull(), "missing")
               .when(F.col("size") != F.col("_rsize"), "size")
@@ -55,15 +65,42 @@ def upload_delta(local: DataFrame, remote: DataFrame, always: bool = False,
     return j.select("path", action.alias("action"))
 
 
-def set_fingerprint(df: DataFrame, group: str, item: str, out: str = "fp") -> DataFrame:
-    """SHA-1 of the sorted, distinct items of each group joined by ``-``.
+def set_fingerprint(df: DataFrame, group: str, item: str, out: str = "fp",
+                    sep: str = "-") -> DataFrame:
+    """SHA-1 of the sorted, distinct items of each group joined by ``sep``.
 
-    The hash is not mergeable, so each group's distinct items meet in one
-    row; ``collect_set`` drops repeats on the map side first. Package sets
-    are small; a group is bounded by its number of distinct items.
+    SHA-1 is not mergeable, so the items of a group must pass one hasher in
+    order; they are never gathered into one row. Distinct (group, item)
+    pairs come from a hash aggregate (map-side dedup), are hash-partitioned
+    by group and sorted within partitions (spillable), and each partition's
+    rows stream through ``hashlib`` in Arrow batches with O(batch) memory.
+    A hot group is sequential by nature of the hash, but it streams.
     """
-    return df.groupBy(group).agg(
-        F.sha1(F.array_join(F.array_sort(F.collect_set(item)), "-")).alias(out))
+    pairs = (df.select(F.col(group).alias("_g"), F.col(item).alias("_i"))
+             .filter(F.col("_i").isNotNull()).distinct())
+    ordered = pairs.repartition("_g").sortWithinPartitions("_g", "_i")
+    schema = T.StructType([df.schema[group], T.StructField(out, T.StringType(), False)])
+    joiner = sep.encode()
+
+    def digest(batches):
+        cur, h, started = None, None, False
+        keys, fps = [], []
+        for pdf in batches:
+            for g, it in zip(pdf["_g"].tolist(), pdf["_i"].tolist()):
+                if not started or g != cur:
+                    if started:
+                        keys.append(cur)
+                        fps.append(h.hexdigest())
+                    cur, h, started = g, hashlib.sha1(it.encode()), True
+                else:
+                    h.update(joiner + it.encode())
+            if keys:
+                yield pd.DataFrame({group: keys, out: fps})
+                keys, fps = [], []
+        if started:
+            yield pd.DataFrame({group: [cur], out: [h.hexdigest()]})
+
+    return ordered.mapInPandas(digest, schema)
 
 
 def first_by_key(df: DataFrame, group: str, item: str, order: str,

@@ -55,32 +55,38 @@ def role_seq(role: Column) -> Column:
             .otherwise(ROLE_SEQ["assistant"]))
 
 
-def log_sections(conversations: DataFrame) -> DataFrame:
-    """One aggregated-log section per (conversation, role): a stderr block
-    ``turns=N`` and a stdout block with the role's texts in turn order."""
-    sec = conversations.groupBy("conv_id", "role").agg(
+def log_lines(conversations: DataFrame) -> DataFrame:
+    """Aggregated-log text as ordered lines, one section per (conversation,
+    role): a stderr block ``turns=N`` and a stdout block with the role's
+    texts in turn order. Only counts and lengths are aggregated; the texts
+    themselves stay one row each, ordered by ``(conv_id, role, part, turn)``.
+    """
+    stats = conversations.groupBy("conv_id", "role").agg(
         F.count(F.lit(1)).alias("turns"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))),
-                                 lambda x: x["text"]), "\n").alias("out"))
+        (F.sum(F.length("text")) + F.count(F.lit(1)) - 1).alias("out_len"))
     cid = conversation_container_id(F.col("conv_id"), role_seq(F.col("role")))
     node = F.concat(F.lit("host_"), (F.col("conv_id") % 5).cast("string"))
     err = F.concat(F.lit("turns="), F.col("turns").cast("string"))
-
-    def block(kind: str, body: Column) -> Column:
-        return F.concat(F.lit(f"LogType:{kind}\nLogLength:"), F.length(body).cast("string"),
-                        F.lit("\nLog Contents:\n"), body, F.lit("\n"))
-
-    text = F.concat(F.lit("Container: "), cid, F.lit(" on "), node, F.lit("\n"),
-                    block("stderr", err), block("stdout", F.col("out")))
-    return sec.select("conv_id", "role", text.alias("value"))
+    header = F.concat(
+        F.lit("Container: "), cid, F.lit(" on "), node,
+        F.lit("\nLogType:stderr\nLogLength:"), F.length(err).cast("string"),
+        F.lit("\nLog Contents:\n"), err,
+        F.lit("\nLogType:stdout\nLogLength:"), F.col("out_len").cast("string"),
+        F.lit("\nLog Contents:"))
+    heads = stats.select("conv_id", "role", F.lit(0).alias("part"), F.lit(None).cast("bigint").alias("turn"),
+                         header.alias("value"))
+    bodies = conversations.select("conv_id", "role", F.lit(1).alias("part"), "turn",
+                                  F.col("text").alias("value"))
+    return heads.unionByName(bodies)
 
 
 def write_container_logs(spark: SparkSession, conversations: DataFrame) -> str:
     """Write aggregated log files (many sections per file, grouped by
-    conversation) and return their folder."""
+    conversation; the text writer ends every row with a newline) and return
+    their folder."""
     path = scratch_path(spark, "container-logs")
-    (log_sections(conversations)
-     .repartition("conv_id").sortWithinPartitions("conv_id", "role")
+    (log_lines(conversations)
+     .repartition("conv_id").sortWithinPartitions("conv_id", "role", "part", "turn")
      .select("value").write.text(path))
     return path
 

@@ -19,7 +19,7 @@ def test_epoch_container_ids_get_the_right_key(spark):
                                 ("container_1452274436693_0001_01_000002",),
                                 ("not_an_id",)], "c string")
     out = df.select(ids.app_key(F.col("c")).alias("k"), ids.attempt(F.col("c")).alias("a")).collect()
-    assert [r.k for r in out] == ["1452274436693_0001", "1452274436693_0001", "_"]
+    assert [r.k for r in out] == ["1452274436693_0001", "1452274436693_0001", None]
     assert [r.a for r in out] == [1, 1, None]
 
 
@@ -236,3 +236,24 @@ def test_empty_inputs(spark):
     assert A.completion_summary(c).count() == 0
     assert A.worker_containers(c).count() == 0
     assert A.latest_attempt_containers(c).count() == 0
+
+
+def test_fingerprint_streams_across_batches_and_groups(spark):
+    import hashlib
+    import random
+
+    rnd = random.Random(7)
+    rows = [(f"env{g}", f"pkg{rnd.randrange(40)}") for g in range(6) for _ in range(50)]
+    rows += [(None, "a"), (None, "b"), ("env0", None)]
+    df = spark.createDataFrame(rows, "env string, spec string")
+    want = {}
+    for g in {r[0] for r in rows}:
+        items = sorted({s for e, s in rows if e == g and s is not None})
+        want[g] = hashlib.sha1("-".join(items).encode()).hexdigest()
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r.env: r.fp for r in FL.set_fingerprint(df.repartition(3), "env", "spec").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == want
