@@ -20,7 +20,7 @@ from fleetlens.operators import resources as R
 from fleetlens.operators.udf import map_partitions_with_outcome
 from fleetlens.plans import fixtures as FX
 from fleetlens.plans.views import Views
-from fleetlens.session import scratch_path
+from fleetlens.session import materialize, scratch_path
 from fleetlens.sources import envelopes as E
 from fleetlens.sources import files as SF
 from fleetlens.sources import logs as L
@@ -127,7 +127,8 @@ def _env_num():
 
 
 def cached_sets(spark, sf_dir):
-    sets = FL.set_fingerprint(Views(spark, sf_dir).packages, "env_name", "spec")
+    # The fingerprints feed three inputs of the join; write them once.
+    sets = materialize(spark, FL.set_fingerprint(Views(spark, sf_dir).packages, "env_name", "spec"))
     archives = sets.filter(_env_num() % 3 == 0)
     dirs = sets.filter(_env_num() % 3 == 1)
     return FL.resolve_cached_sets(sets, archives, dirs)

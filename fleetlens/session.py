@@ -71,3 +71,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(spark: SparkSession, df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder and
+    return a DataFrame that reads it back. For results used several times
+    in one plan; survives the loss of the executors that computed it
+    (unlike ``localCheckpoint``, which is never used here)."""
+    checkpoint_root(spark)
+    return df.checkpoint(eager=True)
