@@ -24,6 +24,7 @@ from fleetlens.session import materialize, scratch_path
 from fleetlens.sources import envelopes as E
 from fleetlens.sources import files as SF
 from fleetlens.sources import logs as L
+from fleetlens.sources import rest as REST
 from fleetlens.streaming.completion import run_stream_completion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +51,15 @@ def flatten_envelope(spark, sf_dir):
     return flat.select(F.col("id").alias("app_id"), "event_id", "state")
 
 
+def rest_applications(spark, sf_dir):
+    """The ``apps`` view as REST envelopes of the resource manager (64 apps
+    per response), read back with the typed application reader."""
+    v = Views(spark, sf_dir)
+    body = FX.app_list_responses(v.apps)
+    apps = REST.applications(body)
+    return apps.select("id", "name", "state", F.col("started").cast("timestamp_ntz").alias("started"))
+
+
 def error_responses(spark, sf_dir):
     ev = Views(spark, sf_dir).events
     bodies = ev.select(FX.error_body(F.col("event_id"), F.col("event_type"), F.col("props")).alias("body"))
@@ -227,6 +237,7 @@ def map_outcome(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "app_progress": app_progress,
     "flatten_envelope": flatten_envelope,
+    "rest_applications": rest_applications,
     "error_responses": error_responses,
     "container_logs": container_logs,
     "log_html": log_html,

@@ -32,6 +32,21 @@ def app_envelopes(state_events: DataFrame) -> DataFrame:
     return state_events.groupBy("app_id", chunk.alias("chunk")).agg(body.alias("body"))
 
 
+APPS_PER_RESPONSE = 64
+
+
+def app_list_responses(apps: DataFrame) -> DataFrame:
+    """``{"apps": {"app": [...]}}`` bodies with REST field names, one per
+    run of ``APPS_PER_RESPONSE`` app ids; times as epoch milliseconds."""
+    rec = F.struct(
+        F.concat(F.lit(f"application_{CLUSTER_TS}_"), F.lpad(F.col("app_id").cast("string"), 9, "0")).alias("id"),
+        "name", "state", F.unix_millis(F.col("started").cast("timestamp")).alias("startedTime"),
+        F.lit(0).cast("bigint").alias("finishedTime"))
+    page = F.floor(F.col("app_id") / F.lit(APPS_PER_RESPONSE))
+    body = F.to_json(F.struct(F.struct(F.collect_list(rec).alias("app")).alias("apps")))
+    return apps.groupBy(page.alias("page")).agg(body.alias("body"))
+
+
 def error_body(event_id: Column, event_type: Column, props: Column) -> Column:
     """Failed-response bodies from ``events``: props cut to 3 chars (not
     JSON) when ``event_id % 7 = 0``; wrapped as a RemoteException with a

@@ -87,6 +87,10 @@ FROM apps a JOIN (
     q["flatten_envelope"] = with_views(
         "SELECT app_id, event_id, state FROM state_events WHERE app_id % 10 <> 0", "state_events")
 
+    q["rest_applications"] = with_views("""
+SELECT concat('application_1700000000000_', lpad(CAST(app_id AS VARCHAR), 9, '0')) AS id,
+  name, state, started FROM apps""", "apps")
+
     q["error_responses"] = f"""
 WITH b AS ({ERROR_BODY.strip()})
 SELECT CASE WHEN NOT json_valid(body) THEN 'not_json'
