@@ -12,7 +12,9 @@ earlier buckets of the same key are added as an offset:
 
 The offsets come from a partial aggregate with one row per (key, bucket),
 so the only full-size shuffle is the one on (key, bucket). The result is
-exact for any bucketing; finer buckets spread a hot key wider.
+exact for any bucketing; finer buckets spread a hot key wider. When only hot
+keys are cut (``hot_key_time_buckets``), only their buckets need offsets,
+and that small table is broadcast.
 """
 
 from __future__ import annotations
@@ -23,13 +25,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "_rs_bucket"
+HOT_BUCKET = "_rs_hot_bucket"
+HOT_FLAG = "_rs_hot"
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 values: Mapping[str, Column], bucket: Column) -> DataFrame:
+                 values: Mapping[str, Column], bucket: Column,
+                 offsets_for: Column | None = None) -> DataFrame:
     """Add one inclusive running-sum column per entry of ``values``.
 
     ``bucket`` must be non-decreasing in ``order`` within each key.
+    ``offsets_for`` marks the rows of keys that span several buckets; other
+    rows must be alone in their key's single bucket and get no offset. With
+    it, the offset table holds only the split keys' buckets: it is bounded by
+    the caller's split rule and is broadcast instead of joined by shuffle.
     """
     names = list(values)
     staged = df.select("*", bucket.alias(_BUCKET),
@@ -39,7 +48,8 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     within = staged.select(
         "*", *[F.sum(f"_rs_v_{n}").over(inner).alias(f"_rs_in_{n}") for n in names])
 
-    totals = staged.groupBy(*part).agg(*[F.sum(f"_rs_v_{n}").alias(f"_rs_t_{n}") for n in names])
+    split = staged if offsets_for is None else staged.filter(offsets_for)
+    totals = split.groupBy(*part).agg(*[F.sum(f"_rs_v_{n}").alias(f"_rs_t_{n}") for n in names])
     before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *part, *[F.coalesce(F.sum(f"_rs_t_{n}").over(before), F.lit(0)).alias(f"_rs_o_{n}")
@@ -50,7 +60,42 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     o = offsets.select(*[F.col(c).alias(f"_rs_k{i}") for i, c in enumerate(part)],
                        *[f"_rs_o_{n}" for n in names])
     cond = [within[c].eqNullSafe(o[f"_rs_k{i}"]) for i, c in enumerate(part)]
-    joined = within.join(o, on=cond, how="inner")
+    if offsets_for is None:
+        joined = within.join(o, on=cond, how="inner")
+    else:
+        joined = within.join(F.broadcast(o), on=cond, how="left")
     out_cols = [c for c in df.columns if c not in names]
     return joined.select(
-        *out_cols, *[(F.col(f"_rs_in_{n}") + F.col(f"_rs_o_{n}")).alias(n) for n in names])
+        *out_cols, *[(F.col(f"_rs_in_{n}") + F.coalesce(F.col(f"_rs_o_{n}"), F.lit(0))).alias(n)
+                     for n in names])
+
+
+def hot_key_time_buckets(df: DataFrame, keys: Sequence[str], ts_col: str,
+                         target_rows: int = 1_000_000) -> DataFrame:
+    """Add ``HOT_BUCKET``: 0 for keys with at most ``target_rows`` rows;
+    for hotter keys, equal-width time slices of the key's own span, about
+    ``target_rows`` rows each when rows are spread in time. ``HOT_FLAG``
+    marks the rows of cut keys (pass it as ``offsets_for``).
+
+    Only hot keys are split. The hot-key table comes from a partial
+    aggregate and has at most ``rows / target_rows`` entries, so it is
+    broadcast with a proven size bound; the big side is not shuffled for
+    it. Rows sharing one timestamp always share a bucket (the order within
+    a bucket is by the full sort key), so the result stays exact.
+    """
+    if target_rows < 1000:
+        raise ValueError("target_rows below 1000 would make the hot-key table unbounded")
+    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    stats = (df.select(*keys, us.alias("_us"))
+             .groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+             .filter(F.col("_n") > F.lit(target_rows)))
+    pieces = F.ceil(F.col("_n") / F.lit(target_rows))
+    hot = stats.select(
+        *[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_lo",
+        F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces)).alias("_w"))
+    cond = [df[k].eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(keys)]
+    j = df.join(F.broadcast(hot), on=cond, how="left")
+    bucket = F.when(F.col("_w").isNull(), F.lit(0).cast("bigint")).otherwise(
+        F.floor((us - F.col("_lo")) / F.col("_w")).cast("bigint"))
+    return j.select(*df.columns, bucket.alias(HOT_BUCKET), F.col("_w").isNotNull().alias(HOT_FLAG))

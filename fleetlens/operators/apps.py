@@ -3,7 +3,7 @@
 All operators are ``DataFrame -> DataFrame`` and stay JVM-side. Grouping is
 by application; where a hot application could hold a large share of rows,
 the plan uses partial (map-side) aggregation, a join on a unique key, or
-bucketed running sums instead of one window over the whole application.
+running sums that cut only hot applications into time slices.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions import ids
-from fleetlens.functions.running import running_sums
+from fleetlens.functions.running import HOT_BUCKET, HOT_FLAG, hot_key_time_buckets, running_sums
 
 # The terminal application states.
 TERMINAL_STATES = ("FINISHED", "FAILED", "KILLED")
@@ -162,24 +162,29 @@ def time_to_terminal(events: DataFrame, timeout_us: int = 10_000_000) -> DataFra
 
 
 def pool_size_over_time(events: DataFrame, removal_state: str = "FAILED",
-                        bucket: Column | None = None) -> DataFrame:
+                        bucket: Column | None = None, target_rows: int = 1_000_000) -> DataFrame:
     """Requested containers after each event of an application: every event
     is an add of one container except ``removal_state``, a removal. As in the
     master, a removal does not lower ``requested``; ``net`` shows the count
     with removals taken off.
 
-    Running sums are bucketed by hour of ``ts`` (see ``running_sums``), so a
-    hot application is spread over many tasks.
+    Running sums per application (see ``running_sums``). By default only
+    applications with more than ``target_rows`` events are cut, into time
+    slices of about that many rows (``hot_key_time_buckets``); all others
+    are one window each. ``bucket`` overrides the cut with any expression
+    that does not decrease along (ts, event_id).
     """
     removal = F.col("state") == F.lit(removal_state)
     vals = {
         "requested": F.when(removal, 0).otherwise(1),
         "net": F.when(removal, -1).otherwise(1),
     }
-    if bucket is None:
-        bucket = F.date_trunc("hour", F.col("ts"))
     base = events.select("event_id", "app_id", "ts", "state")
-    out = running_sums(base, ["app_id"], ["ts", "event_id"], vals, bucket)
+    split = None
+    if bucket is None:
+        base = hot_key_time_buckets(base, ["app_id"], "ts", target_rows)
+        bucket, split = F.col(HOT_BUCKET), F.col(HOT_FLAG)
+    out = running_sums(base, ["app_id"], ["ts", "event_id"], vals, bucket, offsets_for=split)
     return out.select("event_id", "app_id", "requested", "net")
 
 

@@ -28,16 +28,25 @@ def _skewed_events(spark, n=3000, seed=1):
 
 
 def test_pool_size_hot_app_equals_plain_window(spark):
-    rows, ev = _skewed_events(spark)
-    got = {r.event_id: (r.requested, r.net) for r in A.pool_size_over_time(ev).collect()}
+    from fleetlens.functions.running import HOT_BUCKET, hot_key_time_buckets
+
+    rows, ev = _skewed_events(spark, n=6000)
+    got = {r.event_id: (r.requested, r.net) for r in A.pool_size_over_time(ev, target_rows=1000).collect()}
     w = Window.partitionBy("app_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     brute = ev.select(
         "event_id",
         F.sum(F.when(F.col("state") == "FAILED", 0).otherwise(1)).over(w).alias("requested"),
         F.sum(F.when(F.col("state") == "FAILED", -1).otherwise(1)).over(w).alias("net"))
     assert got == {r.event_id: (r.requested, r.net) for r in brute.collect()}
-    hot_groups = ev.filter("app_id = 1").select(F.date_trunc("hour", "ts")).distinct().count()
-    assert hot_groups > 24   # the hot app is cut into many independent windows
+    assert got == {r.event_id: (r.requested, r.net) for r in
+                   A.pool_size_over_time(ev, bucket=F.date_trunc("hour", "ts")).collect()}
+    b = hot_key_time_buckets(ev, ["app_id"], "ts", target_rows=1000)
+    per_app = {r.app_id: r.n for r in b.groupBy("app_id").agg(
+        F.countDistinct(HOT_BUCKET).alias("n")).collect()}
+    assert per_app[1] >= 2                                   # only the hot app (2000 rows) is cut
+    assert all(n == 1 for a, n in per_app.items() if a != 1)
+    biggest = b.groupBy("app_id", HOT_BUCKET).count().agg(F.max("count")).collect()[0][0]
+    assert biggest < 2000
 
 
 def test_worker_containers_hot_app(spark):
