@@ -51,3 +51,20 @@ def test_outcome_per_batch(spark):
 
     bad = map_partitions_with_outcome(df, boom, "x", T.LongType(), keep=("id",), per_row=False)
     assert {r.status for r in bad.collect()} == {"error"}
+
+
+def test_stream_restarts_from_its_checkpoint(spark):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    failed = F.col("event_type") == "error"
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("src", "sink", "ckpt"))
+    first = events.filter(F.col("event_id") % 2 == 0)
+    second = events.filter(F.col("event_id") % 2 == 1)
+    first.repartition(2).write.parquet(src)
+    out1 = run_stream_completion(spark, src, events.schema, sink, ckpt, "user_id", failed)
+    assert sorted(map(tuple, out1.collect())) == \
+        sorted(map(tuple, completion_counts(first, "user_id", failed).collect()))
+    # new files arrive; the restarted query reads only them and keeps its state
+    second.repartition(2).write.mode("append").parquet(src)
+    out2 = run_stream_completion(spark, src, events.schema, sink, ckpt, "user_id", failed)
+    assert sorted(map(tuple, out2.collect())) == \
+        sorted(map(tuple, completion_counts(events, "user_id", failed).collect()))
