@@ -24,10 +24,11 @@ def is_terminal(state: Column) -> Column:
 
 # --- projections and filters ----------------------------------------------
 
-def select_killable(apps: DataFrame, name: str | None = "knit") -> DataFrame:
-    """Apps that may still be killed: not in a terminal state and, unless
-    ``name`` is None (the reference's ``knit_only=False``), with that name.
-    A null state counts as not terminal, as in the reference."""
+def select_killable(apps: DataFrame, name: str | None = None) -> DataFrame:
+    """Apps that may still be killed: not in a terminal state and, when
+    ``name`` is given, with that name (the launcher's own apps); ``None``
+    takes every name. A null state counts as not terminal, as in the
+    reference."""
     cond = ~is_terminal(F.col("state"))
     if name is not None:
         cond = cond & (F.col("name") == F.lit(name))
@@ -129,9 +130,10 @@ def used_containers(containers: DataFrame) -> DataFrame:
 def worker_containers(containers: DataFrame) -> DataFrame:
     """All containers but the first id of each application (the master's).
 
-    The first id per app comes from a partial aggregate, and is removed by an
-    anti join on the unique container id: no per-application sort, so a hot
-    application does not land in one task.
+    The first id per app comes from a partial (map-side) ``min``, so a hot
+    application is reduced before the shuffle, and is removed by an anti join
+    on the unique container id instead of a window over each application.
+    (``min`` of a string is a sort-based aggregate in Spark.)
     """
     c = with_app_id(containers).select("container_id", "app_id")
     first = c.groupBy("app_id").agg(F.min("container_id").alias("container_id")).select("container_id")

@@ -15,11 +15,11 @@ from fleetlens.sources import logs as L
 # --- container ids -----------------------------------------------------------
 
 def test_epoch_container_ids_get_the_right_key(spark):
-    df = spark.createDataFrame([("container_e17_1452274436693_0001_01_000001",),
-                                ("container_1452274436693_0001_01_000002",),
+    df = spark.createDataFrame([("container_e17_1700000000123_0001_01_000001",),
+                                ("container_1700000000123_0001_01_000002",),
                                 ("not_an_id",)], "c string")
     out = df.select(ids.app_key(F.col("c")).alias("k"), ids.attempt(F.col("c")).alias("a")).collect()
-    assert [r.k for r in out] == ["1452274436693_0001", "1452274436693_0001", None]
+    assert [r.k for r in out] == ["1700000000123_0001", "1700000000123_0001", None]
     assert [r.a for r in out] == [1, 1, None]
 
 
@@ -197,10 +197,10 @@ def test_time_to_terminal_and_latest_state(spark):
 
 
 def test_select_killable(spark):
-    apps = spark.createDataFrame([(1, "knit", "RUNNING"), (2, "knit", "FINISHED"), (3, "other", "RUNNING"),
-                                  (4, "knit", None)], "app_id long, name string, state string")
-    assert sorted(r.app_id for r in A.select_killable(apps).collect()) == [1, 4]
-    assert sorted(r.app_id for r in A.select_killable(apps, name=None).collect()) == [1, 3, 4]
+    apps = spark.createDataFrame([(1, "ops", "RUNNING"), (2, "ops", "FINISHED"), (3, "other", "RUNNING"),
+                                  (4, "ops", None)], "app_id long, name string, state string")
+    assert sorted(r.app_id for r in A.select_killable(apps, name="ops").collect()) == [1, 4]
+    assert sorted(r.app_id for r in A.select_killable(apps).collect()) == [1, 3, 4]
 
 
 # --- files and packages ------------------------------------------------------

@@ -4,12 +4,12 @@
 from fleetlens.operators import apps as A
 from fleetlens.sources import rest
 
-APP = ('{"id": "application_1454100653858_0011", "name": "knit", "state": "ACCEPTED", '
-       '"finalStatus": "UNDEFINED", "user": "ubuntu", "queue": "default", "progress": 0.0, '
-       '"runningContainers": 1, "allocatedMB": 512, "allocatedVCores": 1, '
-       '"startedTime": 1454276990907, "finishedTime": 0, "elapsedTime": 123800, '
-       '"memorySeconds": 63247, "vcoreSeconds": 123, "clusterId": 1454100653858, '
-       '"amHostHttpAddress": "192.168.1.3:8042", "diagnostics": "", "extraField": 5}')
+APP = ('{"id": "application_1700000000123_0042", "name": "nightly", "state": "ACCEPTED", '
+       '"finalStatus": "UNDEFINED", "user": "ops", "queue": "batch", "progress": 0.0, '
+       '"runningContainers": 2, "allocatedMB": 2048, "allocatedVCores": 2, '
+       '"startedTime": 1700000100000, "finishedTime": 0, "elapsedTime": 5000, '
+       '"memorySeconds": 10240, "vcoreSeconds": 10, "clusterId": 1700000000123, '
+       '"amHostHttpAddress": "worker-3.example:8042", "diagnostics": "", "extraField": 5}')
 
 
 def test_applications(spark):
@@ -19,11 +19,11 @@ def test_applications(spark):
     assert len(rows) == 1
     r = rows[0]
     assert (r.id, r.name, r.state, r.allocatedMB, r.clusterId) == \
-        ("application_1454100653858_0011", "knit", "ACCEPTED", 512, 1454100653858)
+        ("application_1700000000123_0042", "nightly", "ACCEPTED", 2048, 1700000000123)
     assert r.finished is None
     assert r.started is not None
-    assert [x.app_id for x in A.select_killable(rest.applications(df).withColumnRenamed("id", "app_id"))
-            .collect()] == ["application_1454100653858_0011"]
+    assert [x.app_id for x in A.select_killable(rest.applications(df).withColumnRenamed("id", "app_id"),
+                                                name="nightly").collect()] == ["application_1700000000123_0042"]
 
 
 def test_attempts_containers_nodes(spark):
