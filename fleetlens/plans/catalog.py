@@ -82,7 +82,7 @@ def site_config(spark, sf_dir):
     v = Views(spark, sf_dir)
     path = FX.write_site_xml(spark, v.raw_config)
     conf = SF.read_site_config(spark, path, glob="*.xml")
-    key = F.regexp_extract(F.col("file"), r"cluster_key=(\d+)", 1).cast("bigint")
+    key = F.regexp_extract(F.col("source"), r"^cluster-(\d+)$", 1).cast("bigint")
     return conf.select(key.alias("cluster_key"), "key", "value")
 
 

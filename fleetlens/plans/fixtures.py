@@ -107,12 +107,18 @@ def write_container_logs(spark: SparkSession, conversations: DataFrame) -> str:
 
 
 def write_site_xml(spark: SparkSession, raw_config: DataFrame) -> str:
-    """One ``core-site.xml``-style folder per cluster key."""
+    """Configuration dumps in site-file XML, each ``<property>`` naming its
+    cluster in ``<source>cluster-<key></source>``. One file per write task
+    (clusters hashed over the tasks), so the file count follows the
+    parallelism, not the number of clusters."""
     path = scratch_path(spark, "site-xml")
-    (raw_config.select("cluster_key", F.col("key").alias("name"), "value")
-     .repartition("cluster_key")
+    (raw_config.select(F.col("key").alias("name"), "value",
+                       F.concat(F.lit("cluster-"), F.col("cluster_key").cast("string")).alias("source"),
+                       "cluster_key")
+     .repartition(spark.sparkContext.defaultParallelism, "cluster_key")
+     .drop("cluster_key")
      .write.format("xml").option("rootTag", "configuration").option("rowTag", "property")
-     .partitionBy("cluster_key").save(path))
+     .save(path))
     return path
 
 

@@ -9,21 +9,26 @@ from pyspark.sql import types as T
 PROPERTY_SCHEMA = T.StructType([
     T.StructField("name", T.StringType(), True),
     T.StructField("value", T.StringType(), True),
+    T.StructField("final", T.BooleanType(), True),
+    T.StructField("source", T.StringType(), True),
 ])
 
 
 def read_site_config(spark: SparkSession, path: str, glob: str = "*-site.xml") -> DataFrame:
-    """``file, key, value`` for every ``<property>`` of the ``*-site.xml``
-    files under ``path``.
+    """``file, key, value, final, source`` for every ``<property>`` of the
+    ``*-site.xml`` files under ``path``.
 
     A real XML reader (built into Spark 4): entities, multi-line values and
-    comments are handled, unlike the reference's line regexes. Resolve keys
-    across files with ``resolve_layers`` (a later file wins).
+    comments are handled, unlike the reference's line regexes. ``final`` and
+    ``source`` are the optional elements of Hadoop configuration files
+    (``source`` names where a property came from in a configuration dump);
+    absent ones are null. Resolve keys across files with ``resolve_layers``
+    (a later file wins).
     """
     df = (spark.read.format("xml").option("rowTag", "property")
           .option("pathGlobFilter", glob).schema(PROPERTY_SCHEMA).load(path))
     return df.select(F.col("_metadata.file_path").alias("file"),
-                     F.col("name").alias("key"), F.col("value"))
+                     F.col("name").alias("key"), "value", "final", "source")
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None,

@@ -53,7 +53,7 @@ MULTI_LINE = """<?xml version="1.0"?>
 ONE_PER_LINE = """<?xml version="1.0"?>
 <configuration>
   <property><name>yarn.resourcemanager.webapp.address</name><value>rm-host:8088</value></property>
-  <property><name>dfs.replication</name><value>5</value></property>
+  <property><name>dfs.replication</name><value>5</value><final>true</final><source>programmatically</source></property>
 </configuration>
 """
 
@@ -69,6 +69,9 @@ def test_site_config_reader(spark, tmp_path):
                     ("core-site.xml", "a.b"): "x & y",
                     ("yarn-site.xml", "yarn.resourcemanager.webapp.address"): "rm-host:8088",
                     ("yarn-site.xml", "dfs.replication"): "5"}
+    extra = {r.key: (r.final, r.source) for r in df.filter(F.col("file").endswith("yarn-site.xml")).collect()}
+    assert extra == {"yarn.resourcemanager.webapp.address": (None, None),
+                     "dfs.replication": (True, "programmatically")}
     # later file (yarn after core) wins when layered
     layered = df.select(
         F.when(F.col("file").endswith("yarn-site.xml"), 1).otherwise(0).alias("priority"),
