@@ -215,10 +215,14 @@ def derive_parameters(spark, sf_dir):
 def stream_completion(spark, sf_dir):
     v = Views(spark, sf_dir)
     src = FX.copy_events(spark, v.events)
+    n_files = len(spark.read.parquet(src).inputFiles())
     out = scratch_path(spark, "completion-sink")
     ckpt = scratch_path(spark, "completion-ckpt")
+    # two micro-batches whatever the number of files: state carries over
+    # from the first to the second, and each batch is one distributed job
     return run_stream_completion(spark, src, v.events.schema, out, ckpt, app_col="user_id",
-                                 failed=F.col("event_type") == "error")
+                                 failed=F.col("event_type") == "error",
+                                 max_files_per_trigger=max(1, -(-n_files // 2)))
 
 
 def _words_or_fail(text: str) -> int:

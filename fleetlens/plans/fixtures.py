@@ -122,8 +122,14 @@ def write_site_xml(spark: SparkSession, raw_config: DataFrame) -> str:
     return path
 
 
-def copy_events(spark: SparkSession, events: DataFrame, n_files: int = 4) -> str:
-    """Events copied once into several parquet files, as a stream source."""
+ROWS_PER_FILE = 1_000_000
+
+
+def copy_events(spark: SparkSession, events: DataFrame, n_files: int | None = None) -> str:
+    """Events copied once into several parquet files, as a stream source:
+    one file per task (``n_files``, default one per core) and at most
+    ``ROWS_PER_FILE`` rows per file, so the copy is parallel at any size."""
     path = scratch_path(spark, "event-stream")
-    events.repartition(n_files).write.parquet(path)
+    n = n_files or spark.sparkContext.defaultParallelism
+    events.repartition(n).write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return path
