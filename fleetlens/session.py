@@ -83,3 +83,25 @@ def materialize(spark: SparkSession, df):
     (unlike ``localCheckpoint``, which is never used here)."""
     checkpoint_root(spark)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(total_cores: int, state_store_rocksdb: bool = True) -> dict[str, str]:
+    """Settings for a large cluster, to pass to the session builder.
+
+    Shuffle partitions at three per core, then AQE coalesces small ones to
+    the advisory size and splits skewed join partitions; scan splits of
+    256 MB. Streaming state in RocksDB keeps many applications' counters off
+    the JVM heap. ``spark.checkpoint.dir`` must name a shared folder.
+    """
+    conf = dict(DEFAULT_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(3 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    })
+    if state_store_rocksdb:
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return conf
