@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-URL_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]*)(?::([0-9]*))?"
+URL_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?(\[[^\]/]*\]|[^:/?#]*)(?::([0-9]*))?"
+# Brackets of an IPv6 host are not part of the host name.
+BRACKETS = r"^\[|\]$"
 HOST_PORT_PATTERN = r"^([^:/]+):([0-9]+)$"
 
 
@@ -21,7 +23,7 @@ def _port(s: Column) -> Column:
 
 
 def host_of(addr: Column) -> Column:
-    url = F.regexp_extract(addr, URL_PATTERN, 1)
+    url = F.regexp_replace(F.regexp_extract(addr, URL_PATTERN, 1), BRACKETS, "")
     return (F.when(addr.rlike(URL_PATTERN), F.lower(url))
             .when(addr.rlike(HOST_PORT_PATTERN), F.regexp_extract(addr, HOST_PORT_PATTERN, 1))
             .otherwise(addr))

@@ -8,7 +8,7 @@ Aggregates are cast to the Spark result types (DuckDB sums are HUGEINT).
 
 from __future__ import annotations
 
-from fleetlens.functions.addr import HOST_PORT_PATTERN, URL_PATTERN
+from fleetlens.functions.addr import BRACKETS, HOST_PORT_PATTERN, URL_PATTERN
 from fleetlens.plans.views import with_views
 
 APP_ID = ("concat('application_', split_part(container_id, '_', 2), '_', "
@@ -20,7 +20,7 @@ TERMINAL = "('FINISHED', 'FAILED', 'KILLED')"
 
 def sql_host(a: str) -> str:
     return (f"CASE WHEN regexp_matches({a}, '{URL_PATTERN}') "
-            f"THEN lower(regexp_extract({a}, '{URL_PATTERN}', 1)) "
+            f"THEN lower(regexp_replace(regexp_extract({a}, '{URL_PATTERN}', 1), '{BRACKETS}', '')) "
             f"WHEN regexp_matches({a}, '{HOST_PORT_PATTERN}') "
             f"THEN regexp_extract({a}, '{HOST_PORT_PATTERN}', 1) ELSE {a} END")
 

@@ -10,12 +10,13 @@ from fleetlens.operators import files as FL
 def test_host_port_forms(spark):
     df = spark.createDataFrame(
         [("hdfs://foo.bar.com:8080",), ("foo.bar.com:8080",), ("foo.bar.com",),
-         ("HTTP://Foo.Bar.com/x",)], "addr string")
+         ("HTTP://Foo.Bar.com/x",), ("http://user:pw@[::1]:9000/p",)], "addr string")
     got = {r.addr: (r.host, r.port) for r in C.host_port(df, "addr").collect()}
     assert got["hdfs://foo.bar.com:8080"] == ("foo.bar.com", 8080)
     assert got["foo.bar.com:8080"] == ("foo.bar.com", 8080)
     assert got["foo.bar.com"] == ("foo.bar.com", None)
     assert got["HTTP://Foo.Bar.com/x"] == ("foo.bar.com", None)
+    assert got["http://user:pw@[::1]:9000/p"] == ("::1", 9000)
 
 
 def _derive(spark, pairs):
