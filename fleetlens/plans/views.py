@@ -94,7 +94,26 @@ _FROM = re.compile(r"\bFROM (\w+)")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+SPREAD_BYTES_PER_PARTITION = 1 << 20
+
+
+def spread(df: DataFrame, max_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than it should have.
+
+    A table stored as one large row group (or an unsplittable file) is read
+    by one task, and everything pipelined after the scan runs on one core.
+    The target is one partition per ``SPREAD_BYTES_PER_PARTITION`` of input,
+    at most one per core: a small table stays whole, and a table with
+    enough splits (as at scale) is returned unchanged, with no shuffle.
+    Column pruning and filters still reach the scan through the repartition.
+    """
+    cores = max_partitions or df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    target = min(cores, max(1, size // SPREAD_BYTES_PER_PARTITION))
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 class Views:
