@@ -30,11 +30,28 @@ FULL_NODE_PATTERN = r"\S+"
 CONTAINER_PATTERN = "[a-zA-Z0-9_]+"
 
 
+def read_log_sections(spark: SparkSession, path: str) -> DataFrame:
+    """Section records of aggregated log files: ``value`` (CRLF line ends
+    made LF) and ``file``."""
+    return (spark.read.option("lineSep", SECTION_SEP).text(path)
+            .select(F.regexp_replace("value", "\r\n", "\n").alias("value"),
+                    F.col("_metadata.file_path").alias("file")))
+
+
 def read_container_logs(spark: SparkSession, path: str, full_node: bool = False) -> DataFrame:
     """Read aggregated log text files into one row per (container, log type)."""
-    raw = (spark.read.option("lineSep", SECTION_SEP).text(path)
-           .select("value", F.col("_metadata.file_path").alias("file")))
-    return section_container_logs(raw, full_node=full_node, keep=("file",))
+    return section_container_logs(read_log_sections(spark, path), full_node=full_node, keep=("file",))
+
+
+def section_report(sections: DataFrame, text_col: str = "value", full_node: bool = False) -> DataFrame:
+    """Per file: records with a container header and records without one
+    (text that was cut off by a content line beginning ``Container: ``).
+    One partial aggregate; report before trusting a parse."""
+    node = FULL_NODE_PATTERN if full_node else NODE_PATTERN
+    ok = F.col(text_col).rlike(rf"^(?:Container: )?{CONTAINER_PATTERN} on {node}")
+    by = [c for c in ("file",) if c in sections.columns]
+    return sections.groupBy(*by).agg(F.count_if(ok).alias("sections"),
+                                     F.count_if(~ok).alias("unmatched"))
 
 
 def section_container_logs(df: DataFrame, text_col: str = "value", full_node: bool = False,
@@ -65,7 +82,7 @@ def section_container_logs(df: DataFrame, text_col: str = "value", full_node: bo
     block = F.col("_block")
     log_type = F.substring_index(block, "\n", 1)
     content = F.regexp_replace(
-        F.regexp_extract(block, r"(?s)\nLog Contents:\n(.*)$", 1), r"\n+$", "")
+        F.regexp_extract(block, r"(?s)\nLog Contents:\n(.*)$", 1), r"[\r\n]+$", "")
     return rows.select(*keep, "container_id", "node_id",
                        log_type.alias("log_type"), content.alias("content"))
 

@@ -76,6 +76,16 @@ def test_log_sections_survive_many_splits(spark, tmp_path):
     assert all(r.content == "\n".join(["x" * 50] * 20) for r in rows)
 
 
+def test_log_crlf_and_section_report(spark, tmp_path):
+    text = LOG.replace("\n", "\r\n") + "Container: oops this is content\r\nmore\r\n"
+    rows = L.read_container_logs(spark, _write(tmp_path, text)).collect()
+    got = {(r.container_id, r.log_type, r.content) for r in rows}
+    assert ("container_1_0001_01_000001", "stdout", "line one\nline two") in got
+    assert ("container_1_0001_01_000001", "syslog", "sys") in got
+    rep = L.section_report(L.read_log_sections(spark, str(tmp_path))).collect()
+    assert [(r.sections, r.unmatched) for r in rep] == [(3, 1)]
+
+
 def test_log_unmatched_header_is_kept_on_request(spark):
     df = spark.createDataFrame([("Container: not a header\nLogType:stdout\nLog Contents:\nx",)], "value string")
     assert L.section_container_logs(df).count() == 0
