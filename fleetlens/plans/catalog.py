@@ -123,8 +123,9 @@ def attribute_containers(spark, sf_dir):
 
 
 def reject_unknown(spark, sf_dir):
+    """Every container is asked for removal; only running ones are known."""
     c = Views(spark, sf_dir).containers
-    return A.reject_unknown(c.filter(F.col("node_id") < 5), c.filter(F.col("completed") == 0))
+    return A.reject_unknown(c, c.filter(F.col("completed") == 0))
 
 
 def upload_delta(spark, sf_dir):

@@ -164,8 +164,8 @@ FROM apps a JOIN containers c ON {APP_NUM} = a.app_id
 GROUP BY a.app_id, a.name""", "apps", "containers")
 
     q["reject_unknown"] = with_views("""
-SELECT container_id FROM containers WHERE node_id < 5
-  AND container_id NOT IN (SELECT container_id FROM containers WHERE completed = 0)""", "containers")
+SELECT container_id FROM containers
+WHERE container_id NOT IN (SELECT container_id FROM containers WHERE completed = 0)""", "containers")
 
     q["upload_delta"] = with_views("""
 SELECT l.path, CASE WHEN r.path IS NULL THEN 'missing' WHEN l.size <> r.size THEN 'size'
