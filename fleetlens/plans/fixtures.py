@@ -25,7 +25,7 @@ def app_envelopes(state_events: DataFrame) -> DataFrame:
     """``{"apps": {"app": [...]}}`` bodies, one per app and run of
     ``EVENTS_PER_ENVELOPE`` event ids; apps with ``app_id % 10 = 0`` get
     ``{"apps": null}`` (no apps), as the resource manager sends."""
-    chunk = F.floor(F.col("event_id") / F.lit(EVENTS_PER_ENVELOPE))
+    chunk = F.expr(f"event_id div {EVENTS_PER_ENVELOPE}")
     items = F.collect_list(F.struct(F.col("app_id").alias("id"), "event_id", "state"))
     body = F.to_json(F.struct(
         F.when(F.col("app_id") % 10 != 0, F.struct(items.alias("app"))).alias("apps")))
@@ -42,7 +42,7 @@ def app_list_responses(apps: DataFrame) -> DataFrame:
         F.concat(F.lit(f"application_{CLUSTER_TS}_"), F.lpad(F.col("app_id").cast("string"), 9, "0")).alias("id"),
         "name", "state", F.unix_millis(F.col("started").cast("timestamp")).alias("startedTime"),
         F.lit(0).cast("bigint").alias("finishedTime"))
-    page = F.floor(F.col("app_id") / F.lit(APPS_PER_RESPONSE))
+    page = F.expr(f"app_id div {APPS_PER_RESPONSE}")
     body = F.to_json(F.struct(F.struct(F.collect_list(rec).alias("app")).alias("apps")))
     return apps.groupBy(page.alias("page")).agg(body.alias("body"))
 
