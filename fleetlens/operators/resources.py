@@ -25,7 +25,7 @@ def storage_need(files: DataFrame, unit: int = 2 ** 20, by: str = "app",
     need = (files.filter(~F.col("path").startswith("hdfs://"))
             .groupBy(by)
             .agg(F.sum("size").alias("_bytes"))
-            .select(by, F.floor(F.col("_bytes") / F.lit(unit)).cast("bigint").alias("need")))
+            .select(by, F.expr(f"_bytes div {int(unit)}").alias("need")))
     if capacity is None:
         return need
     return (need.join(capacity, on=by, how="left")
