@@ -267,3 +267,21 @@ def test_fingerprint_streams_across_batches_and_groups(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert got == want
+
+
+def test_storage_need_skips_remote_and_compares_capacity(spark):
+    files = spark.createDataFrame([("a", "hdfs://nn/x.zip", 5 << 20), ("a", "/l/y.zip", 3 << 20),
+                                   ("a", "/l/z.txt", (1 << 20) - 1), ("b", "/l/w.zip", 10 << 20)],
+                                  "app string, path string, size long")
+    cap = spark.createDataFrame([("a", 4), ("b", 9)], "app string, free long")
+    got = {r.app: (r.need, r.fits) for r in R.storage_need(files, capacity=cap).collect()}
+    assert got == {"a": (3, True), "b": (10, False)}
+
+
+def test_cluster_conf_scales_with_cores():
+    from fleetlens.session import cluster_conf
+
+    conf = cluster_conf(4000)
+    assert conf["spark.sql.shuffle.partitions"] == "12000"
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert conf["spark.sql.streaming.stateStore.providerClass"].endswith("RocksDBStateStoreProvider")
