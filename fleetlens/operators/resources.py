@@ -58,7 +58,7 @@ def admission_check(requests: DataFrame, nodes: DataFrame, min_mb: int = 1024,
     first (one row per cluster), so the join never pairs requests with nodes.
     """
     caps = capacity_rollup(nodes)
-    n = F.col("num_containers")
+    n = F.col("num_containers").cast("bigint")   # products stay exact in 64 bits
     mem = F.greatest(F.col("memory_mb"), F.lit(min_mb))
     need_mb = F.lit(max(am_mb, min_mb)) + n * mem
     need_vc = F.lit(1) + n * F.col("vcores")
