@@ -54,3 +54,21 @@ def test_result_independent_of_partitions(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2]
+
+
+def test_spread_single_split_scans(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from fleetlens.plans.views import spread
+
+    big, small = str(tmp_path / "big"), str(tmp_path / "small")
+    spark.range(0, 400_000).select("id", (F.col("id") * 7919 % 1000003).alias("v"),
+                                   F.sha1(F.col("id").cast("string")).alias("s")) \
+        .coalesce(1).write.option("parquet.block.size", 1 << 30).parquet(big)
+    spark.range(0, 10).coalesce(1).write.parquet(small)
+    b = spread(spark.read.parquet(big), max_partitions=4)
+    assert b.rdd.getNumPartitions() == 4
+    assert spread(spark.read.parquet(small), max_partitions=4).rdd.getNumPartitions() == 1
+    plan = b.filter(F.col("v") > 5).select("id")._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.split("\n") if "FileScan parquet" in ln][0]
+    assert "GreaterThan(v,5)" in scan and "ReadSchema: struct<id:bigint,v:bigint>" in scan
