@@ -103,3 +103,19 @@ def test_latest_state_hot_app(spark):
         if app not in best or (ts, eid) > best[app][0]:
             best[app] = ((ts, eid), st)
     assert got == {a: (best[a][1] if a in best else "NONE") for a in range(0, 61)}
+
+
+def test_worker_containers_string_order_on_mixed_id_forms(spark):
+    ids = ["container_17_0001_01_000002", "container_17_0001_01_000005",
+           "container_17_0001_01_1000000",          # 7 digits: smallest as a string
+           "container_17_0002_02_000001", "container_17_0002_01_000009",
+           "container_e3_17_0003_01_000001", "container_17_0003_01_000002",
+           "container_17_0004_10_000010", "container_17_0004_09_999999"]
+    df = spark.createDataFrame([(c, 0, 0) for c in ids], "container_id string, completed int, exit_status int")
+    want = {}
+    for c in ids:
+        parts = c.split("_")
+        app = "application_" + "_".join(parts[-4:-2])
+        want[app] = min(want.get(app, c), c)
+    workers = sorted(r.container_id for r in A.worker_containers(df).collect())
+    assert workers == sorted(c for c in ids if c not in set(want.values()))
