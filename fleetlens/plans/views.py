@@ -110,10 +110,14 @@ def spread(df: DataFrame, max_partitions: int | None = None) -> DataFrame:
     enough splits (as at scale) is returned unchanged, with no shuffle.
     Column pruning and filters still reach the scan through the repartition.
     """
-    cores = max_partitions or df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        cores = max_partitions or df.sparkSession.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no plan statistics here (e.g. a remote session)
+        return df
     target = min(cores, max(1, size // SPREAD_BYTES_PER_PARTITION))
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df.repartition(target) if current < target else df
 
 
 class Views:
