@@ -285,3 +285,13 @@ def test_cluster_conf_scales_with_cores():
     assert conf["spark.sql.shuffle.partitions"] == "12000"
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert conf["spark.sql.streaming.stateStore.providerClass"].endswith("RocksDBStateStoreProvider")
+
+
+def test_log_sections_from_gzip(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "app.log.gz", "wt") as f:
+        f.write(LOG)
+    rows = L.read_container_logs(spark, str(tmp_path)).collect()
+    assert len(rows) == 5
+    assert {r.content for r in rows} >= {"err 1", "line one\nline two", "hello", "again"}
