@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import fleetlens
@@ -38,7 +39,7 @@ def map_partitions_with_outcome(df: DataFrame, fn: Callable, input_col: str,
     tasks first (the reference's container count).
     """
     keep = list(keep)
-    src = df.select(*keep, input_col)
+    src = df.select(*keep, F.col(input_col).alias("_input"))
     if num_partitions:
         src = src.repartition(num_partitions)
     fields = [src.schema[c] for c in keep] + [
@@ -53,7 +54,7 @@ def map_partitions_with_outcome(df: DataFrame, fn: Callable, input_col: str,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            values = pdf[input_col]
+            values = pdf["_input"]
             if per_row:
                 status, result, error = [], [], []
                 for v in values:
