@@ -110,9 +110,11 @@ def first_by_key(df: DataFrame, group: str, item: str, order: str,
     reference, ``scikit-learn`` and ``scikit-image`` share the key ``scikit``.
     Hash aggregate with map-side ``min_by``; no sort."""
     key = F.regexp_extract(F.col(item), key_pattern, 0)
-    return (df.select(group, key.alias("key"), item, order)
-            .groupBy(group, "key")
-            .agg(F.min_by(item, order).alias(item)))
+    return (df.select(F.col(group).alias("_g"), key.alias("_k"), F.col(item).alias("_i"),
+                      F.col(order).alias("_o"))
+            .groupBy("_g", "_k")
+            .agg(F.min_by("_i", "_o").alias("_i"))
+            .select(F.col("_g").alias(group), F.col("_k").alias("key"), F.col("_i").alias(item)))
 
 
 def resolve_cached_sets(sets: DataFrame, archives: DataFrame, dirs: DataFrame,
