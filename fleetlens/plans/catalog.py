@@ -43,6 +43,7 @@ def app_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_envelope(spark, sf_dir):
+    """#1: state events as app-list envelopes (16 events per page, null list when app_id % 10 = 0), unwrapped again."""
     v = Views(spark, sf_dir)
     env = FX.app_envelopes(v.state_events)
     item = T.StructType([T.StructField("id", T.LongType()), T.StructField("event_id", T.LongType()),
@@ -61,6 +62,7 @@ def rest_applications(spark, sf_dir):
 
 
 def error_responses(spark, sf_dir):
+    """#2: event props as failed-response bodies, classified; count per status."""
     ev = Views(spark, sf_dir).events
     bodies = ev.select(FX.error_body(F.col("event_id"), F.col("event_type"), F.col("props")).alias("body"))
     return (E.split_error_responses(bodies, "body")
@@ -68,17 +70,20 @@ def error_responses(spark, sf_dir):
 
 
 def container_logs(spark, sf_dir):
+    """#3: conversations written as aggregated container logs, parsed back per container and log type."""
     v = Views(spark, sf_dir)
     path = FX.write_container_logs(spark, v.conversations)
     return L.read_container_logs(spark, path).select("container_id", "node_id", "log_type", "content")
 
 
 def log_html(spark, sf_dir):
+    """#4: the text between <title> and </title> of every page."""
     pages = Views(spark, sf_dir).pages
     return L.extract_log_html(pages, "html", "<title>", "</title>", keep=("page_id",))
 
 
 def site_config(spark, sf_dir):
+    """#5: raw config written as XML configuration dumps and read back with the site-file reader."""
     v = Views(spark, sf_dir)
     path = FX.write_site_xml(spark, v.raw_config)
     conf = SF.read_site_config(spark, path, glob="*.xml")
@@ -87,19 +92,23 @@ def site_config(spark, sf_dir):
 
 
 def file_manifest(spark, sf_dir):
+    """#6: the .zip entries of the remote file manifest."""
     remote = Views(spark, sf_dir).remote_files
     return SF.filter_manifest(remote, ".zip").select("path", "size")
 
 
 def killable_apps(spark, sf_dir):
+    """#7: apps named etl that are not in a terminal state."""
     return A.select_killable(Views(spark, sf_dir).apps, name="etl")
 
 
 def container_status(spark, sf_dir):
+    """#8: container id to state."""
     return A.container_status(Views(spark, sf_dir).containers)
 
 
 def log_search(spark, sf_dir):
+    """#9: conversation turns as wide stdout/stderr logs, unpivoted, searched for a needle."""
     conv = Views(spark, sf_dir).conversations
     wide = conv.select(
         FX.conversation_container_id(F.col("conv_id"), F.lpad(F.col("turn").cast("string"), 6, "0"))
@@ -110,25 +119,29 @@ def log_search(spark, sf_dir):
 
 
 def host_port_rollup(spark, sf_dir):
+    """#10: page URLs counted per host and port."""
     return C.host_port_rollup(Views(spark, sf_dir).pages, "url")
 
 
 def normalize_uris(spark, sf_dir):
+    """#11: URIs normalised and counted."""
     return FL.normalize_uris(Views(spark, sf_dir).uris, "uri")
 
 
 def attribute_containers(spark, sf_dir):
+    """#12: containers per app, matched on the app number in the container id."""
     v = Views(spark, sf_dir)
     return A.attribute_containers(v.containers, v.apps)
 
 
 def reject_unknown(spark, sf_dir):
-    """Every container is asked for removal; only running ones are known."""
+    """#13: every container is asked for removal; only running ones are known."""
     c = Views(spark, sf_dir).containers
     return A.reject_unknown(c, c.filter(F.col("completed") == 0))
 
 
 def upload_delta(spark, sf_dir):
+    """#14: upload decision for every local file against the remote manifest."""
     v = Views(spark, sf_dir)
     return FL.upload_delta(v.local_files, v.remote_files)
 
@@ -138,6 +151,7 @@ def _env_num():
 
 
 def cached_sets(spark, sf_dir):
+    """#15: environments by fingerprint: reuse an archive, zip a folder or build."""
     # The fingerprints feed three inputs of the join; write them once.
     sets = materialize(spark, FL.set_fingerprint(Views(spark, sf_dir).packages, "env_name", "spec"))
     archives = sets.filter(_env_num() % 3 == 0)
@@ -146,74 +160,91 @@ def cached_sets(spark, sf_dir):
 
 
 def admission_check(spark, sf_dir):
+    """#16: every request against its cluster's nodes."""
     v = Views(spark, sf_dir)
     return R.admission_check(v.requests, v.nodes)
 
 
 def state_counts(spark, sf_dir):
+    """#17: apps per state."""
     return A.state_counts(Views(spark, sf_dir).apps)
 
 
 def capacity_rollup(spark, sf_dir):
+    """#18: nodes rolled up per cluster."""
     return R.capacity_rollup(Views(spark, sf_dir).nodes)
 
 
 def storage_need(spark, sf_dir):
+    """#19: local bytes per app in KB units (files already on hdfs:// excluded)."""
     return R.storage_need(Views(spark, sf_dir).local_files, unit=1024)
 
 
 def completion_summary(spark, sf_dir):
+    """#20: requested, completed and failed containers per app."""
     return A.completion_summary(Views(spark, sf_dir).containers)
 
 
 def progress(spark, sf_dir):
+    """#21: the master's progress figure per app."""
     return A.progress(A.completion_summary(Views(spark, sf_dir).containers))
 
 
 def latest_attempt(spark, sf_dir):
+    """#22: ids of each app's last attempt."""
     return A.latest_attempt_containers(Views(spark, sf_dir).containers)
 
 
 def used_containers(spark, sf_dir):
+    """#23: containers still in use per app."""
     return A.used_containers(Views(spark, sf_dir).containers)
 
 
 def set_fingerprint(spark, sf_dir):
+    """#24: SHA-1 of each environment's package set."""
     return FL.set_fingerprint(Views(spark, sf_dir).packages, "env_name", "spec")
 
 
 def worker_containers(spark, sf_dir):
+    """#25: all containers but each app's first."""
     return A.worker_containers(Views(spark, sf_dir).containers)
 
 
 def first_by_key(spark, sf_dir):
+    """#26: first package per leading word in each environment."""
     return FL.first_by_key(Views(spark, sf_dir).packages, "env_name", "spec", "pos")
 
 
 def latest_state(spark, sf_dir):
+    """#27: current state of every customer key as an app (NONE without events)."""
     v = Views(spark, sf_dir)
     universe = v.customer.select(F.col("c_custkey").alias("app_id"))
     return A.latest_state(v.state_events, universe)
 
 
 def time_to_terminal(spark, sf_dir):
+    """#28: wait to the first terminal state, within one day or not."""
     return A.time_to_terminal(Views(spark, sf_dir).state_events, timeout_us=ONE_DAY_US)
 
 
 def pool_size(spark, sf_dir):
+    """#29: requested and net container counts after each event."""
     return A.pool_size_over_time(Views(spark, sf_dir).state_events)
 
 
 def resolve_layers(spark, sf_dir):
+    """#30: the winning layer and value per config key."""
     return C.resolve_layers(Views(spark, sf_dir).config_layers)
 
 
 def derive_parameters(spark, sf_dir):
+    """#31: resource-manager address, ports and replication per node."""
     v = Views(spark, sf_dir)
     return C.derive_parameters(v.raw_config, v.nodes)
 
 
 def stream_completion(spark, sf_dir):
+    """#32: completion counters per app from a stream of copied event files."""
     v = Views(spark, sf_dir)
     src = FX.copy_events(spark, v.events)
     n_files = len(spark.read.parquet(src).inputFiles())
@@ -234,6 +265,7 @@ def _words_or_fail(text: str) -> int:
 
 
 def map_outcome(spark, sf_dir):
+    """#33: a user function over whole documents, failing above 5,000 chars; count per outcome."""
     docs = Views(spark, sf_dir).documents
     out = map_partitions_with_outcome(docs, _words_or_fail, "text", T.LongType(), keep=("doc_id",))
     return out.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
