@@ -1,7 +1,8 @@
-"""A lost worker mid-task: Spark retries the task and the result is whole.
+"""Tests that need their own process.
 
-Runs in its own process so that the session can allow task retries
-(``local[2,3]``: two threads, three attempts per task).
+A lost worker mid-task: Spark retries the task and the result is whole (the
+session allows task retries, ``local[2,3]``: two threads, three attempts per
+task). The command line runs a query and writes its result.
 """
 
 import os
@@ -39,3 +40,18 @@ def test_task_is_retried_after_worker_loss(tmp_path):
     code = SCRIPT.format(root=ROOT, marker=str(tmp_path / "crashed"))
     res = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     assert "RETRIED-OK" in res.stdout, res.stderr[-2000:]
+
+
+def test_command_line_runs_a_query(tmp_path):
+    out = tmp_path / "out"
+    res = subprocess.run([sys.executable, "-m", "fleetlens", "run", "state_counts",
+                          "--data", "/root/testdata/sf0.001", "--out", str(out), "--format", "json"],
+                         cwd=ROOT, capture_output=True, text=True, timeout=300)
+    assert res.returncode == 0, res.stderr[-2000:]
+    import json
+
+    rows = [json.loads(ln) for f in out.glob("part-*.json") for ln in f.read_text().splitlines()]
+    assert sum(r["n"] for r in rows) == 1500   # orders at sf0.001
+    listed = subprocess.run([sys.executable, "-m", "fleetlens", "list"], cwd=ROOT,
+                            capture_output=True, text=True, timeout=120)
+    assert "app_progress" in listed.stdout.split()
