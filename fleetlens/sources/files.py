@@ -26,6 +26,7 @@ def read_site_config(spark: SparkSession, path: str, glob: str = "*-site.xml") -
     (a later file wins).
     """
     df = (spark.read.format("xml").option("rowTag", "property")
+          .option("ignoreSurroundingSpaces", "false")   # values exactly as written
           .option("pathGlobFilter", glob).schema(PROPERTY_SCHEMA).load(path))
     return df.select(F.col("_metadata.file_path").alias("file"),
                      F.col("name").alias("key"), "value", "final", "source")

@@ -47,6 +47,7 @@ MULTI_LINE = """<?xml version="1.0"?>
     <name>a.b</name>
     <value>x &amp; y</value>
   </property>
+  <property><name>spaced</name><value> kept as written </value></property>
 </configuration>
 """
 
@@ -67,6 +68,7 @@ def test_site_config_reader(spark, tmp_path):
     assert rows == {("core-site.xml", "fs.defaultFS"): "hdfs://nn.example:8020",
                     ("core-site.xml", "dfs.replication"): "2",
                     ("core-site.xml", "a.b"): "x & y",
+                    ("core-site.xml", "spaced"): " kept as written ",
                     ("yarn-site.xml", "yarn.resourcemanager.webapp.address"): "rm-host:8088",
                     ("yarn-site.xml", "dfs.replication"): "5"}
     extra = {r.key: (r.final, r.source) for r in df.filter(F.col("file").endswith("yarn-site.xml")).collect()}
