@@ -95,7 +95,7 @@ SELECT concat('application_1700000000000_', lpad(CAST(app_id AS VARCHAR), 9, '0'
 WITH b AS ({ERROR_BODY.strip()})
 SELECT CASE WHEN NOT json_valid(body) THEN 'not_json'
     WHEN json_extract_string(body, '$.RemoteException.message') IS NOT NULL THEN 'remote'
-    WHEN json_extract(body, '$.RemoteException') IS NOT NULL THEN 'remote_other'
+    WHEN coalesce(json_type(body, '$.RemoteException'), 'NULL') <> 'NULL' THEN 'remote_other'
     ELSE 'unknown' END AS status, count(*) AS n
 FROM b GROUP BY 1"""
 

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt_record"
 
 
 def envelope_schema(outer: str, inner: str, item: T.StructType) -> T.StructType:
@@ -38,27 +37,23 @@ STATUS_REMOTE_OTHER = "remote_other"  # RemoteException without a message
 STATUS_NOT_JSON = "not_json"      # body is not JSON: raw text is the message
 STATUS_UNKNOWN = "unknown"        # JSON without RemoteException
 
-# RemoteException is read as text first: Spark's JSON reader keeps a nested
-# object as its JSON text when the schema says string.
-_ERROR_SCHEMA = T.StructType([
-    T.StructField("RemoteException", T.StringType(), True),
-    T.StructField(CORRUPT, T.StringType(), True),
-])
-_REMOTE_SCHEMA = T.StructType([T.StructField("message", T.StringType(), True)])
-
 
 def split_error_responses(df: DataFrame, text_col: str = "body") -> DataFrame:
     """Add ``status`` and ``message`` for failed-response bodies, in one pass.
 
-    Message: the RemoteException's message; else the exception object's own
-    text; else the raw body when it is not JSON. JSON without a
-    RemoteException (a KeyError in the reference) gets status ``unknown``.
+    Message: the RemoteException's message; else the exception value's own
+    text; else the raw body when it is not JSON. Valid JSON without a
+    RemoteException (a KeyError or TypeError in the reference) gets status
+    ``unknown``. The body is parsed once into a VARIANT with
+    ``try_parse_json``, which is NULL when the text is not JSON. One
+    difference remains: a valid value followed by other text is read as
+    that value (Spark's parser ignores the rest; Python's ``json.loads``
+    rejects it).
     """
-    p = F.from_json(F.col(text_col), _ERROR_SCHEMA,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    rex = p["RemoteException"]
-    msg = F.from_json(rex, _REMOTE_SCHEMA)["message"]
-    not_json = p.isNull() | p[CORRUPT].isNotNull()
+    v = F.try_parse_json(F.col(text_col))
+    rex = F.try_variant_get(v, "$.RemoteException", "string")
+    msg = F.try_variant_get(v, "$.RemoteException.message", "string")
+    not_json = v.isNull()
     status = (F.when(not_json, STATUS_NOT_JSON)
               .when(msg.isNotNull(), STATUS_REMOTE)
               .when(rex.isNotNull(), STATUS_REMOTE_OTHER)

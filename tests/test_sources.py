@@ -23,13 +23,16 @@ def test_error_bodies(spark):
     bodies = ['{"RemoteException": {"message": "app not found", "exception": "NotFound"}}',
               '{"RemoteException": {"exception": "BadRequest"}}',
               "<html>Bad Gateway</html>",
-              '{"something": 1}']
+              '{"something": 1}',
+              "[1, 2]", '{"RemoteException": null}', "", '{"k']
     df = spark.createDataFrame([(b,) for b in bodies], "body string")
     got = [(r.status, r.message) for r in E.split_error_responses(df).collect()]
     assert got[0] == ("remote", "app not found")
     assert got[1][0] == "remote_other" and "BadRequest" in got[1][1]
     assert got[2] == ("not_json", "<html>Bad Gateway</html>")
     assert got[3] == ("unknown", None)
+    assert got[4] == ("unknown", None) and got[5] == ("unknown", None)   # valid JSON, no exception
+    assert got[6] == ("not_json", "") and got[7] == ("not_json", '{"k')
 
 
 MULTI_LINE = """<?xml version="1.0"?>
