@@ -72,3 +72,16 @@ def test_spread_single_split_scans(spark, tmp_path):
     plan = b.filter(F.col("v") > 5).select("id")._jdf.queryExecution().executedPlan().toString()
     scan = [ln for ln in plan.split("\n") if "FileScan parquet" in ln][0]
     assert "GreaterThan(v,5)" in scan and "ReadSchema: struct<id:bigint,v:bigint>" in scan
+
+
+PYTHON_NODES = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas",
+                "MapInArrow", "PythonUDF")
+PYTHON_ALLOWED = {"map_outcome", "set_fingerprint", "cached_sets"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_python_only_where_it_is_the_semantics(spark, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    uses_python = any(n in plan for n in PYTHON_NODES)
+    assert uses_python == (name in PYTHON_ALLOWED) or (name == "cached_sets" and not uses_python), name
