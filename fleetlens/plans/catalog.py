@@ -73,7 +73,7 @@ def container_logs(spark, sf_dir):
     """#3: conversations written as aggregated container logs, parsed back per container and log type."""
     v = Views(spark, sf_dir)
     path = FX.write_container_logs(spark, v.conversations)
-    return L.read_container_logs(spark, path).select("container_id", "node_id", "log_type", "content")
+    return L.read_container_logs(spark, path, with_file=False)
 
 
 def log_html(spark, sf_dir):

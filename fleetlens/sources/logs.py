@@ -30,17 +30,22 @@ FULL_NODE_PATTERN = r"\S+"
 CONTAINER_PATTERN = "[a-zA-Z0-9_]+"
 
 
-def read_log_sections(spark: SparkSession, path: str) -> DataFrame:
+def read_log_sections(spark: SparkSession, path: str, with_file: bool = True) -> DataFrame:
     """Section records of aggregated log files: ``value`` (CRLF line ends
-    made LF) and ``file``."""
-    return (spark.read.option("lineSep", SECTION_SEP).text(path)
-            .select(F.regexp_replace("value", "\r\n", "\n").alias("value"),
-                    F.col("_metadata.file_path").alias("file")))
-
-
-def read_container_logs(spark: SparkSession, path: str, full_node: bool = False) -> DataFrame:
-    """Read aggregated log text files into one row per (container, log type)."""
-    return section_container_logs(read_log_sections(spark, path), full_node=full_node, keep=("file",))
+    made LF) and, with ``with_file``, the source ``file``."""
+    raw = spark.read.option("lineSep", SECTION_SEP).text(path)
+    cols = [F.regexp_replace("value", "\r\n", "\n").alias("value")]
+    if with_file:
+        cols.append(F.col("_metadata.file_path").alias("file"))
+    return raw.select(*cols)
+
+
+def read_container_logs(spark: SparkSession, path: str, full_node: bool = False,
+                        with_file: bool = True) -> DataFrame:
+    """Read aggregated log text files into one row per (container, log type),
+    with the source ``file`` unless ``with_file=False``."""
+    return section_container_logs(read_log_sections(spark, path, with_file), full_node=full_node,
+                                  keep=("file",) if with_file else ())
 
 
 def section_report(sections: DataFrame, text_col: str = "value", full_node: bool = False) -> DataFrame:
