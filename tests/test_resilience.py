@@ -2,7 +2,8 @@
 
 A lost worker mid-task: Spark retries the task and the result is whole (the
 session allows task retries, ``local[2,3]``: two threads, three attempts per
-task). The command line runs a query and writes its result.
+task). The command line runs a query and writes its result. A session that
+names ``spark.checkpoint.dir`` gets its scratch data and checkpoints there.
 """
 
 import os
@@ -55,3 +56,27 @@ def test_command_line_runs_a_query(tmp_path):
     listed = subprocess.run([sys.executable, "-m", "fleetlens", "list"], cwd=ROOT,
                             capture_output=True, text=True, timeout=120)
     assert "app_progress" in listed.stdout.split()
+
+
+CKPT_SCRIPT = """
+import os, sys
+sys.path.insert(0, {root!r})
+from fleetlens.session import build_session, checkpoint_root, materialize, scratch_path
+shared = {shared!r}
+spark = build_session(master="local[2]", extra={{"spark.checkpoint.dir": shared}})
+assert checkpoint_root(spark) == shared, checkpoint_root(spark)
+p = scratch_path(spark, "probe")
+assert p.startswith(shared + "/probe-"), p
+df = materialize(spark, spark.range(10))
+assert df.count() == 10
+written = [d for d, _, files in os.walk(shared) if any(f.startswith("part-") for f in files)]
+assert written, "checkpoint files not under spark.checkpoint.dir"
+print("CKPT-OK")
+"""
+
+
+def test_scratch_and_checkpoints_use_the_configured_folder(tmp_path):
+    shared = str(tmp_path / "shared-ckpt")
+    code = CKPT_SCRIPT.format(root=ROOT, shared=shared)
+    res = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert "CKPT-OK" in res.stdout, res.stderr[-2000:]
