@@ -42,7 +42,7 @@ def app_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.apps.select("app_id", "name").join(summary, on="app_id", how="inner")
 
 
-def flatten_envelope(spark, sf_dir):
+def flatten_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#1: state events as app-list envelopes (16 events per page, null list when app_id % 10 = 0), unwrapped again."""
     v = Views(spark, sf_dir)
     env = FX.app_envelopes(v.state_events)
@@ -52,7 +52,7 @@ def flatten_envelope(spark, sf_dir):
     return flat.select(F.col("id").alias("app_id"), "event_id", "state")
 
 
-def rest_applications(spark, sf_dir):
+def rest_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``apps`` view as REST envelopes of the resource manager (64 apps
     per response), read back with the typed application reader."""
     v = Views(spark, sf_dir)
@@ -61,7 +61,7 @@ def rest_applications(spark, sf_dir):
     return apps.select("id", "name", "state", F.col("started").cast("timestamp_ntz").alias("started"))
 
 
-def error_responses(spark, sf_dir):
+def error_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#2: event props as failed-response bodies, classified; count per status."""
     ev = Views(spark, sf_dir).events
     bodies = ev.select(FX.error_body(F.col("event_id"), F.col("event_type"), F.col("props")).alias("body"))
@@ -69,20 +69,20 @@ def error_responses(spark, sf_dir):
             .groupBy("status").agg(F.count(F.lit(1)).alias("n")))
 
 
-def container_logs(spark, sf_dir):
+def container_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#3: conversations written as aggregated container logs, parsed back per container and log type."""
     v = Views(spark, sf_dir)
     path = FX.write_container_logs(spark, v.conversations)
     return L.read_container_logs(spark, path, with_file=False)
 
 
-def log_html(spark, sf_dir):
+def log_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#4: the text between <title> and </title> of every page."""
     pages = Views(spark, sf_dir).pages
     return L.extract_log_html(pages, "html", "<title>", "</title>", keep=("page_id",))
 
 
-def site_config(spark, sf_dir):
+def site_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#5: raw config written as XML configuration dumps and read back with the site-file reader."""
     v = Views(spark, sf_dir)
     path = FX.write_site_xml(spark, v.raw_config)
@@ -91,23 +91,23 @@ def site_config(spark, sf_dir):
     return conf.select(key.alias("cluster_key"), "key", "value")
 
 
-def file_manifest(spark, sf_dir):
+def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#6: the .zip entries of the remote file manifest."""
     remote = Views(spark, sf_dir).remote_files
     return SF.filter_manifest(remote, ".zip").select("path", "size")
 
 
-def killable_apps(spark, sf_dir):
+def killable_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#7: apps named etl that are not in a terminal state."""
     return A.select_killable(Views(spark, sf_dir).apps, name="etl")
 
 
-def container_status(spark, sf_dir):
+def container_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#8: container id to state."""
     return A.container_status(Views(spark, sf_dir).containers)
 
 
-def log_search(spark, sf_dir):
+def log_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#9: conversation turns as wide stdout/stderr logs, unpivoted, searched for a needle."""
     conv = Views(spark, sf_dir).conversations
     wide = conv.select(
@@ -118,29 +118,29 @@ def log_search(spark, sf_dir):
     return A.search_logs(A.unpivot_logs(wide), "tion")
 
 
-def host_port_rollup(spark, sf_dir):
+def host_port_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#10: page URLs counted per host and port."""
     return C.host_port_rollup(Views(spark, sf_dir).pages, "url")
 
 
-def normalize_uris(spark, sf_dir):
+def normalize_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#11: URIs normalised and counted."""
     return FL.normalize_uris(Views(spark, sf_dir).uris, "uri")
 
 
-def attribute_containers(spark, sf_dir):
+def attribute_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#12: containers per app, matched on the app number in the container id."""
     v = Views(spark, sf_dir)
     return A.attribute_containers(v.containers, v.apps)
 
 
-def reject_unknown(spark, sf_dir):
+def reject_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#13: every container is asked for removal; only running ones are known."""
     c = Views(spark, sf_dir).containers
     return A.reject_unknown(c, c.filter(F.col("completed") == 0))
 
 
-def upload_delta(spark, sf_dir):
+def upload_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#14: upload decision for every local file against the remote manifest."""
     v = Views(spark, sf_dir)
     return FL.upload_delta(v.local_files, v.remote_files)
@@ -150,7 +150,7 @@ def _env_num():
     return F.regexp_extract(F.col("env_name"), r"([0-9]+)$", 1).cast("int")
 
 
-def cached_sets(spark, sf_dir):
+def cached_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#15: environments by fingerprint: reuse an archive, zip a folder or build."""
     # The fingerprints feed three inputs of the join; write them once.
     sets = materialize(spark, FL.set_fingerprint(Views(spark, sf_dir).packages, "env_name", "spec"))
@@ -159,91 +159,91 @@ def cached_sets(spark, sf_dir):
     return FL.resolve_cached_sets(sets, archives, dirs)
 
 
-def admission_check(spark, sf_dir):
+def admission_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#16: every request against its cluster's nodes."""
     v = Views(spark, sf_dir)
     return R.admission_check(v.requests, v.nodes)
 
 
-def state_counts(spark, sf_dir):
+def state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#17: apps per state."""
     return A.state_counts(Views(spark, sf_dir).apps)
 
 
-def capacity_rollup(spark, sf_dir):
+def capacity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#18: nodes rolled up per cluster."""
     return R.capacity_rollup(Views(spark, sf_dir).nodes)
 
 
-def storage_need(spark, sf_dir):
+def storage_need(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#19: local bytes per app in KB units (files already on hdfs:// excluded)."""
     return R.storage_need(Views(spark, sf_dir).local_files, unit=1024)
 
 
-def completion_summary(spark, sf_dir):
+def completion_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#20: requested, completed and failed containers per app."""
     return A.completion_summary(Views(spark, sf_dir).containers)
 
 
-def progress(spark, sf_dir):
+def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#21: the master's progress figure per app."""
     return A.progress(A.completion_summary(Views(spark, sf_dir).containers))
 
 
-def latest_attempt(spark, sf_dir):
+def latest_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#22: ids of each app's last attempt."""
     return A.latest_attempt_containers(Views(spark, sf_dir).containers)
 
 
-def used_containers(spark, sf_dir):
+def used_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#23: containers still in use per app."""
     return A.used_containers(Views(spark, sf_dir).containers)
 
 
-def set_fingerprint(spark, sf_dir):
+def set_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#24: SHA-1 of each environment's package set."""
     return FL.set_fingerprint(Views(spark, sf_dir).packages, "env_name", "spec")
 
 
-def worker_containers(spark, sf_dir):
+def worker_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#25: all containers but each app's first."""
     return A.worker_containers(Views(spark, sf_dir).containers)
 
 
-def first_by_key(spark, sf_dir):
+def first_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#26: first package per leading word in each environment."""
     return FL.first_by_key(Views(spark, sf_dir).packages, "env_name", "spec", "pos")
 
 
-def latest_state(spark, sf_dir):
+def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#27: current state of every customer key as an app (NONE without events)."""
     v = Views(spark, sf_dir)
     universe = v.customer.select(F.col("c_custkey").alias("app_id"))
     return A.latest_state(v.state_events, universe)
 
 
-def time_to_terminal(spark, sf_dir):
+def time_to_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#28: wait to the first terminal state, within one day or not."""
     return A.time_to_terminal(Views(spark, sf_dir).state_events, timeout_us=ONE_DAY_US)
 
 
-def pool_size(spark, sf_dir):
+def pool_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#29: requested and net container counts after each event."""
     return A.pool_size_over_time(Views(spark, sf_dir).state_events)
 
 
-def resolve_layers(spark, sf_dir):
+def resolve_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#30: the winning layer and value per config key."""
     return C.resolve_layers(Views(spark, sf_dir).config_layers)
 
 
-def derive_parameters(spark, sf_dir):
+def derive_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#31: resource-manager address, ports and replication per node."""
     v = Views(spark, sf_dir)
     return C.derive_parameters(v.raw_config, v.nodes)
 
 
-def stream_completion(spark, sf_dir):
+def stream_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#32: completion counters per app from a stream of copied event files."""
     v = Views(spark, sf_dir)
     src = FX.copy_events(spark, v.events)
@@ -264,7 +264,7 @@ def _words_or_fail(text: str) -> int:
     return len(text.split())
 
 
-def map_outcome(spark, sf_dir):
+def map_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#33: a user function over whole documents, failing above 5,000 chars; count per outcome."""
     docs = Views(spark, sf_dir).documents
     out = map_partitions_with_outcome(docs, _words_or_fail, "text", T.LongType(), keep=("doc_id",))
