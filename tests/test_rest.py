@@ -51,3 +51,14 @@ def test_read_responses_from_files(spark, tmp_path):
                                       '{"nodes": {"node": [{"nodeHostName": "h2"}]}}\n')
     df = rest.read_responses(spark, str(tmp_path))
     assert sorted(r.nodeHostName for r in rest.nodes(df).collect()) == ["h1", "h2"]
+
+
+def test_epoch_milliseconds_and_unset_times(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([('{"appAttempts": {"appAttempt": [{"id": 2, "startTime": 1700000000123, '
+                                 '"finishedTime": 0}]}}',)], "body string")
+    r = rest.app_attempts(df).select(
+        "id", rest.epoch_ms("startTime").cast("timestamp_ntz").alias("s"), "finished").collect()[0]
+    assert r.id == 2 and r.finished is None
+    assert r.s == dt.datetime(2023, 11, 14, 22, 13, 20, 123000)   # session time zone UTC
