@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, exact_dedup, fingerprint, simhash
+from fleetlens.llm import bpe, exact_dedup, fingerprint, packing, simhash, token_store
 from fleetlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(documents(spark, sf_dir))
 
 
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in a binary token store, read back by key."""
+    return token_store.stored(documents(spark, sf_dir))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.packed(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents that are equal up to white space."""
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
@@ -34,4 +44,4 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_simhash, op4_token_counts, op7_exact_dedup, op8_fingerprints)}
+    op3_simhash, op4_token_counts, op5_token_store, op6_best_fit_packing, op7_exact_dedup, op8_fingerprints)}
