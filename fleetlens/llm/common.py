@@ -26,6 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def remainder(doc_id: str, by: int) -> Column:
+    """crc32 of the doc_id as text, modulo ``by``; 0 without doc_id."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % by
+
+
 def text_of(column: str) -> Column:
     """A text column as string, null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -60,16 +65,17 @@ def free_name(columns: Iterable[str], base: str) -> str:
     return base
 
 
-def per_process(name: str, build: Callable[[], object]) -> object:
-    """An object kept for the life of the Python worker, across its tasks.
+def per_process(name: str, build: Callable[[], object], version: str = "") -> object:
+    """An object kept for the life of the Python worker, across its tasks;
+    another ``version`` replaces it.
 
     Task functions are pickled by value, so their module's globals are new in
     every task; automata, vocabularies and caches live here instead.
     """
     store = sys.modules.setdefault("_llm_worker_state", ModuleType("_llm_worker_state")).__dict__
-    if name not in store:
-        store[name] = build()
-    return store[name]
+    if store.get(name, (None,))[0] != version:
+        store[name] = (version, build())
+    return store[name][1]
 
 
 class RecentCache:

@@ -7,12 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, exact_dedup, fingerprint, packing, simhash, token_store
+from fleetlens.llm import bpe, exact_dedup, fingerprint, hmm, html_text, language_id, packing, simhash, token_store
 from fleetlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_text.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents (3-word shingles, 2 bits)."""
     return simhash.simhash_groups(documents(spark, sf_dir))
@@ -43,5 +48,16 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op9_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hidden Markov and unigram scores of all documents."""
+    return hmm.scored(documents(spark, sf_dir))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents."""
+    return language_id.identified(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_simhash, op4_token_counts, op5_token_store, op6_best_fit_packing, op7_exact_dedup, op8_fingerprints)}
+    op1_html_text, op3_simhash, op4_token_counts, op5_token_store, op6_best_fit_packing, op7_exact_dedup, op8_fingerprints,
+    op9_hmm_score, op10_language_id)}
