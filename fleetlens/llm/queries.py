@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, exact_dedup, fingerprint, hmm, html_text, language_id, packing, simhash, token_store
+from fleetlens.llm import bpe, exact_dedup, fingerprint, hmm, html_text, language_id, packing, pieces, simhash, token_store
 from fleetlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as SentencePiece ids and back."""
+    return pieces.round_trip(documents(spark, sf_dir))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents (3-word shingles, 2 bits)."""
     return simhash.simhash_groups(documents(spark, sf_dir))
@@ -58,6 +63,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(documents(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_html_text, op3_simhash, op4_token_counts, op5_token_store, op6_best_fit_packing, op7_exact_dedup, op8_fingerprints,
-    op9_hmm_score, op10_language_id)}
+    op1_html_text, op2_sentencepiece, op3_simhash, op4_token_counts, op5_token_store, op6_best_fit_packing, op7_exact_dedup, op8_fingerprints,
+    op9_hmm_score, op10_language_id, pipeline)}

@@ -264,9 +264,10 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
                         max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's smallest. Rows
-    without doc_id stay only if their component has no doc_id."""
+    """The rows of ``docs`` whose doc_id is their component's smallest, with
+    all their columns. Rows that share a doc_id are one document, of which one
+    row stays; a row without doc_id has no key to be dropped by and stays."""
     groups = simhash_groups(docs, doc_id, text, words, max_distance)
-    kept = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("kept_id")).distinct())
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept.kept_id), "left_semi")
+    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    named = docs.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
+    return named.join(kept, doc_id, "left_semi").select(docs.columns).union(docs.filter(F.col(doc_id).isNull()))
