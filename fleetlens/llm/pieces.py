@@ -41,7 +41,7 @@ UNKNOWN_PENALTY = 10.0
 CACHE = 300_000
 CACHED_LENGTH = 64
 #: Pairs of pieces whose merging is remembered.
-PAIRS = 1_000_000
+PAIRS = 500_000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -92,9 +92,14 @@ class Model:
         self.byte_of = {i: b for b, i in self.byte.items()}
         self.ids = {self.text[i]: i for i in range(n)
                     if not (lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i) or lib.is_unused(i))}
+        #: What a piece adds to a text; None for bytes of longer characters.
+        self.shown = ["" if self.silent[i] else self.text[i].replace(SPACE_MARK, " ") for i in range(n)]
+        self.shown[self.unknown] = UNKNOWN_TEXT
+        for i, b in self.byte_of.items():
+            self.shown[i] = chr(b) if b < 128 else None
         #: No piece crosses from other text into a space mark?
         self.parts_apart = all(SPACE_MARK not in p.lstrip(SPACE_MARK) for p in self.ids)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self._build()
         self.cache = RecentCache(CACHE)
 
@@ -143,12 +148,13 @@ class Model:
 
     def may_follow(self, left: int, right: int) -> bool:
         """Does merging the two pieces' text give the same two again?"""
-        known = self.pairs.get((left, right))
+        pair = left * len(self.text) + right
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.merged(self.text[left] + self.text[right]) == [left, right]
-            self.pairs[left, right] = known
+            self.pairs[pair] = known
         return known
 
     def best_path(self, text: str) -> list[int]:
@@ -177,6 +183,9 @@ class Model:
                     if (best[end] is None or value > best[end]) and (
                             not bpe or last[start] < 0 or self.may_follow(last[start], piece)):
                         best[end], last[end], begin[end] = value, piece, start
+                        if bpe:  # no other path is one that merging yields
+                            single = True
+                            break
                 out = output[out]
             if not single and best[end - 1] is not None:  # no piece is this character
                 value = best[end - 1] + self.unknown_score
@@ -218,20 +227,16 @@ class Model:
     def decode(self, ids: list[int]) -> str:
         """Text of ids: pieces joined, byte pieces as UTF-8, space marks as
         spaces without the one that encoding puts first."""
-        text, run = [], bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                run.append(self.byte_of[i])
-                continue
-            if run:
-                text.append(_utf8(bytes(run)))
-                run.clear()
-            if i == self.unknown:
-                text.append(UNKNOWN_TEXT)
-            elif not self.silent[i]:
-                text.append(self.text[i].replace(SPACE_MARK, " "))
-        if run:
-            text.append(_utf8(bytes(run)))
+        text = list(map(self.shown.__getitem__, ids))
+        if None in text:
+            run = bytearray()
+            for at in range(len(ids) - 1, -1, -1):
+                if text[at] is None:
+                    run.append(self.byte_of[ids[at]])
+                    text[at] = ""
+                    if at == 0 or text[at - 1] is not None:
+                        text[at] = _utf8(bytes(reversed(run)))
+                        run.clear()
         joined = "".join(text)
         first = next((self.text[i] for i in ids if not self.silent[i]), "")
         return joined[1:] if self.prefix and first.startswith(SPACE_MARK) else joined
