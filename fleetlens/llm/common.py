@@ -92,7 +92,7 @@ class RecentCache:
         lacking = keys.difference(self.young)
         if len(self.young) + len(lacking) > self.size:
             self.old, self.young, lacking = self.young, {}, set(keys)
-        again = lacking.intersection(self.old)
+        again = {k for k in lacking if k in self.old}
         self.young.update((k, self.old[k]) for k in again)
         if asked := list(lacking - again):
             self.young.update(zip(asked, compute(asked), strict=True))

@@ -1,12 +1,15 @@
 """Whole texts to token ids with the tokenizers library, word by word.
 
-The library needs about 10 microseconds a word; words repeat. Texts are cut
-where no token can cross, the library encodes each new part once, and a bounded
-cache in each Python worker gives the ids of the others.
+The library needs about ten microseconds a word; words repeat. Texts are cut
+where no token can cross. A part that is a word with ASCII punctuation behind it
+is two pre-tokens, which the library encodes each by itself, so they are cached
+apart; any other part is encoded as it is. The caches are bounded and live in
+the Python worker.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import numpy as np
@@ -14,75 +17,87 @@ import numpy as np
 from fleetlens.llm.bpe import spaced_words
 from fleetlens.llm.common import RecentCache, per_process, tokenizer
 
-#: Cached parts, in each of the cache's two generations, and their length.
-CACHE = 400_000
+#: Cached parts and words, in each of a cache's two generations, and the
+#: length of the longest cached one.
+PARTS, WORDS = 400_000, 300_000
 CACHED_LENGTH = 64
+#: Words that go to the library as one text.
+LINE = 256
 
 
-def _is_word(part: str) -> bool:
-    return part[:1] == " " and part[1:] != "" and len(part.split()) == 1 and not part[-1].isspace()
+class ByteLevel:
+    """Byte-level BPE without normaliser: cut before single spaces, which
+    belong to the word behind them."""
 
+    between, mark = "\n", " "
 
-class ByteLevel:
-    """Byte-level BPE without normaliser: cut before single spaces."""
-
-    cut = staticmethod(spaced_words)
-
-    def __init__(self, path: str):
-        self.lib = tokenizer(path)
-        self.newline = self.lib.encode("\n", add_special_tokens=False).ids[0]
-
-    def encode_parts(self, parts: list[str]) -> list[bytes]:
-        """New words go to the library 256 at a time, one to a line: its cost
-        for each call is as large as for a word."""
-        found: dict[str, bytes] = {}
-        words = [p for p in parts if _is_word(p)]
-        lines = [words[i:i + 256] for i in range(0, len(words), 256)]
-        for line, e in zip(lines, self.lib.encode_batch_fast(["\n".join(x) for x in lines],
-                                                             add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype="<u4")
-            ends = 4 * np.append(np.flatnonzero(ids == self.newline), len(ids))
-            data, start = ids.tobytes(), 0
-            for word, end in zip(line, ends.tolist(), strict=True):
-                found[word] = data[start:end]
-                start = end + 4
-        others = [p for p in parts if p not in found]
-        for part, e in zip(others, self.lib.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            found[part] = np.array(e.ids, dtype="<u4").tobytes()
-        return [found[p] for p in parts]
+    @staticmethod
+    def cut(text: str) -> list[str]:
+        return spaced_words(text)
+
+    text = staticmethod(str)
 
 
 class Words:
-    """BPE over words that drops white space: cut at ASCII white space."""
+    """BPE over lower-case words that drops white space."""
+
+    between, mark = "|", ""
 
     @staticmethod
     def cut(text: str) -> list[bytes]:
-        return text.encode().split()
-
-    def __init__(self, path: str):
-        self.lib = tokenizer(path)
+        # Special strings are matched before the library lowers letters.
+        data = text.encode()
+        return (data if b"<|" in data else data.lower()).split()
 
-    def encode_parts(self, parts: list[bytes]) -> list[bytes]:
-        encoded = self.lib.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
+    text = staticmethod(bytes.decode)
 
 
 class Encoder:
     """Ids of whole texts, each text's as little-endian unsigned 32-bit."""
 
-    def __init__(self, scheme: ByteLevel | Words):
-        self.scheme, self.cache = scheme, RecentCache(CACHE)
+    def __init__(self, scheme: ByteLevel | Words, path: str):
+        self.scheme, self.lib = scheme, tokenizer(path)
+        [self.separator] = self.lib.encode(scheme.between, add_special_tokens=False).ids
+        self.parts, self.words = RecentCache(PARTS), RecentCache(WORDS)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes()
+                for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _lines(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, many to a text: the separator between them
+        is a pre-token of its own, with an id that no letters give."""
+        out: list[bytes] = []
+        lines = [words[i:i + LINE] for i in range(0, len(words), LINE)]
+        for e in self.lib.encode_batch_fast([self.scheme.between.join(x) for x in lines], add_special_tokens=False):
+            ids = np.array(e.ids, dtype="<u4")
+            data, start = ids.tobytes(), 0
+            for end in (4 * np.append(np.flatnonzero(ids == self.separator), len(ids))).tolist():
+                out.append(data[start:end])
+                start = end + 4
+        return out
+
+    def _new_parts(self, parts: list) -> list[bytes]:
+        mark, parts = self.scheme.mark, list(map(self.scheme.text, parts))
+        cores = [p.rstrip(string.punctuation) for p in parts]
+        plain = [c.startswith(mark) and c[len(mark):].isalpha() for c in cores]
+        known = self.words.ready({c for c, ok in zip(cores, plain, strict=True) if ok}, self._lines)
+        tails = list({p[len(c):] for p, c, ok in zip(parts, cores, plain, strict=True) if ok and len(p) > len(c)})
+        ends = dict(zip(tails, self._whole(tails), strict=True)) | {"": b""}
+        odd = iter(self._whole([p for p, ok in zip(parts, plain, strict=True) if not ok]))
+        return [known[c] + ends[p[len(c):]] if ok else next(odd)
+                for p, c, ok in zip(parts, cores, plain, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self.scheme.cut(t) for t in texts]
         distinct = {p for x in parts for p in x}
         long = [p for p in distinct if len(p) > CACHED_LENGTH]
-        known = self.cache.ready(distinct.difference(long), self.scheme.encode_parts)
+        known = self.parts.ready(distinct.difference(long), self._new_parts)
         if long:
-            known = known | dict(zip(long, self.scheme.encode_parts(long), strict=True))
+            known = known | dict(zip(long, self._whole(list(map(self.scheme.text, long))), strict=True))
         return [b"".join(map(known.__getitem__, x)) for x in parts]
 
 
-def encoder(scheme: Callable[[str], ByteLevel | Words], path: str) -> Encoder:
+def encoder(scheme: Callable[[], ByteLevel | Words], path: str) -> Encoder:
     """The worker's encoder for a tokenizer file."""
-    return per_process(f"encoder {path}", lambda: Encoder(scheme(path)))
+    return per_process(f"encoder {path}", lambda: Encoder(scheme(), path))
