@@ -21,6 +21,7 @@ documents, a fixed-size table, and Spark adds the tables up.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import remainder, text_of, written
+from fleetlens.llm.common import RecentCache, per_process, remainder, slices, text_of, written
 
 STATES = 8
 ROUNDS = 2
@@ -46,9 +47,11 @@ SEEDS = 256
 #: Rows of an input partition that form a block.
 BLOCK = 8192
 #: Tokens whose state probabilities are held at once (or one document's).
-HELD = 1 << 20
+HELD = 1 << 18
 #: Distinct words counted before a task passes them on.
 COUNTED = 400_000
+#: Cached classes of words, in each of a worker cache's two generations.
+CACHE = 200_000
 #: The end of a text, as a word: no token has white space.
 END = b" "
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -64,31 +67,33 @@ class Classes:
     def __init__(self, frequent: list[bytes]):
         self.own = {w: i for i, w in enumerate(frequent)}
         self.end = len(frequent)
+        self.own[END] = self.end
         self.n = len(frequent) + 1 + SHARED
-        self.seen: dict[bytes, int] = {}
+        self.version = uuid.uuid4().hex
 
-    def of(self, word: bytes) -> int:
-        """Words share a class by their last three bytes and the first mark
-        that follows the last letter."""
+    def of(self, words: list[bytes]) -> list[int]:
+        """Words without a class of their own share one by the last three bytes
+        of their letters and the mark that follows these."""
         import xxhash
 
-        if (c := self.own.get(word)) is not None:
-            return c
-        if word == END:
-            return self.end
-        core = word.rstrip(PUNCTUATION)
-        ending = core[-3:] + b" " + word[len(core):len(core) + 1]
-        if (c := self.seen.get(ending)) is None:
-            if len(self.seen) > COUNTED:
-                self.seen.clear()
-            c = self.seen[ending] = self.end + 1 + xxhash.xxh64_intdigest(ending, 0) % SHARED
-        return c
+        own, first, digest, out = self.own, self.end + 1, xxhash.xxh64_intdigest, []
+        for w in words:
+            c = own.get(w)
+            if c is None:
+                n = len(w.rstrip(PUNCTUATION))
+                c = first + digest(w[max(0, n - 3):n + 1]) % SHARED
+            out.append(c)
+        return out
 
     def sequences(self, texts: list[str]) -> list[np.ndarray]:
         """Each text's classes, the end's at the end."""
-        words = [words_of(t) for t in texts]
-        known = {w: self.of(w) for w in {w for x in words for w in x}}
-        return [np.array([*map(known.__getitem__, x), self.end], dtype=np.int32) for x in words]
+        cache = per_process("word classes", lambda: RecentCache(CACHE), self.version)
+        out = []
+        for part in slices(texts):
+            words = [words_of(t) for t in part]
+            known = cache.ready({w for x in words for w in x}, self.of)
+            out += [np.array([*map(known.__getitem__, x), self.end], dtype=np.int32) for x in words]
+        return out
 
 
 class Chain:
@@ -225,7 +230,7 @@ class Corpus:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens, distinct = np.zeros(classes.n, np.int64), np.zeros(classes.n, np.int64)
             for b in batches:
-                c = np.array([classes.of(w) for w in b.column(0).to_pylist()], dtype=np.int64)
+                c = np.array(classes.of(b.column(0).to_pylist()), dtype=np.int64)
                 np.add.at(tokens, c, b.column(1).to_numpy())
                 np.add.at(distinct, c, 1)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes.n)), pa.array(tokens), pa.array(distinct)],
@@ -326,7 +331,7 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
         spelled = words["word"].to_pylist()
         place = {w: i for i, w in enumerate(spelled)}
         c = words["c"].to_numpy()
-        of = np.array([classes.of(w) for w in spelled], dtype=np.int64)
+        of = np.array(classes.of(spelled), dtype=np.int32)
         base = np.log10((c + 1) / (n + v + 1))
         inside = np.where(of > classes.end, np.log10((c + 1) / room[of]), 0.0)
         known = c > 0
