@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions import ids
-from fleetlens.functions.running import HOT_BUCKET, HOT_FLAG, hot_key_time_buckets, running_sums
+from fleetlens.functions.running import running_sums
+from fleetlens.session import materialize
 
 # The terminal application states.
 TERMINAL_STATES = ("FINISHED", "FAILED", "KILLED")
@@ -164,17 +165,17 @@ def time_to_terminal(events: DataFrame, timeout_us: int = 10_000_000) -> DataFra
 
 
 def pool_size_over_time(events: DataFrame, removal_state: str = "FAILED",
-                        bucket: Column | None = None, target_rows: int = 1_000_000) -> DataFrame:
+                        bucket: Column | None = None) -> DataFrame:
     """Requested containers after each event of an application: every event
     is an add of one container except ``removal_state``, a removal. As in the
     master, a removal does not lower ``requested``; ``net`` shows the count
     with removals taken off.
 
-    Running sums per application (see ``running_sums``). By default only
-    applications with more than ``target_rows`` events are cut, into time
-    slices of about that many rows (``hot_key_time_buckets``); all others
-    are one window each. ``bucket`` overrides the cut with any expression
-    that does not decrease along (ts, event_id).
+    Running sums per application (see ``running_sums``). Events are dealt by
+    ranges of (application, time, event), so a hot application or a burst of
+    its events spans as many partitions as it needs; the ranges are
+    checkpointed and serve as buckets. ``bucket`` overrides them with any
+    expression that does not decrease along (ts, event_id).
     """
     removal = F.col("state") == F.lit(removal_state)
     vals = {
@@ -182,19 +183,21 @@ def pool_size_over_time(events: DataFrame, removal_state: str = "FAILED",
         "net": F.when(removal, -1).otherwise(1),
     }
     base = events.select("event_id", "app_id", "ts", "state")
-    split = None
     if bucket is None:
-        base = hot_key_time_buckets(base, ["app_id"], "ts", target_rows)
-        bucket, split = F.col(HOT_BUCKET), F.col(HOT_FLAG)
-    out = running_sums(base, ["app_id"], ["ts", "event_id"], vals, bucket, offsets_for=split)
+        ranged = (base.repartitionByRange("app_id", "ts", "event_id")
+                  .withColumn("_range", F.spark_partition_id().cast("bigint")))
+        base, bucket = materialize(events.sparkSession, ranged), F.col("_range")
+    out = running_sums(base, ["app_id"], ["ts", "event_id"], vals, bucket)
     return out.select("event_id", "app_id", "requested", "net")
 
 
 # --- joins --------------------------------------------------------------
 
 def attribute_containers(containers: DataFrame, apps: DataFrame) -> DataFrame:
-    """Containers per application, matched by the application number inside
-    the container id (``<ts>_<app>`` in the reference).
+    """Containers per application, matched by cluster timestamp and application
+    number together: another cluster, or the same one after a restart, counts
+    from one again. ``apps`` has ``application_id``
+    (``application_<ts>_<number>``) beside its columns.
 
     Containers are pre-aggregated per application before the join, so the
     join sees one row per app on both sides; AQE broadcasts the smaller side
@@ -202,11 +205,12 @@ def attribute_containers(containers: DataFrame, apps: DataFrame) -> DataFrame:
     aggregate shuffled on.
     """
     per_app = (containers
-               .select(ids.app_number(F.col("container_id")).alias("app_id"), "memory_mb")
-               .groupBy("app_id")
+               .select(ids.application_id(F.col("container_id")).alias("application_id"), "memory_mb")
+               .groupBy("application_id")
                .agg(F.count(F.lit(1)).alias("n_containers"),
                     F.sum("memory_mb").alias("memory_mb")))
-    return apps.select("app_id", "name").join(per_app, on="app_id", how="inner")
+    return (apps.select("app_id", "name", "application_id").join(per_app, on="application_id", how="inner")
+            .drop("application_id"))
 
 
 def reject_unknown(requests: DataFrame, known: DataFrame, key: str = "container_id") -> DataFrame:

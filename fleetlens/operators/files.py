@@ -44,7 +44,8 @@ def upload_delta(local: DataFrame, remote: DataFrame, always: bool = False,
     (sizes differ), ``stale`` (local not strictly older than remote) or
     ``skip``; ``always=True`` gives ``upload`` for all, as the reference's
     upload-always switch. ``match_on="basename"`` matches on the file name
-    alone, as the reference's flat staging folder does."""
+    alone, as the reference's flat staging folder does. A size or time that
+    is not known counts as different, so the file is uploaded."""
     if always:
         return local.select("path", F.lit("upload").alias("action"))
     if match_on == "basename":
@@ -55,12 +56,12 @@ def upload_delta(local: DataFrame, remote: DataFrame, always: bool = False,
     # One remote entry per key (the newest), so the join cannot fan out even
     # when names repeat; a map-side max_by before the shuffle.
     r = (remote.select(rk.alias("_k"), F.struct(F.col("last_mod"), F.col("size").alias("_rsize")).alias("_r"))
-         .groupBy("_k").agg(F.max_by("_r", F.col("_r.last_mod")).alias("_r"))
+         .groupBy("_k").agg(F.max("_r").alias("_r"))
          .select("_k", "_r.last_mod", "_r._rsize", F.lit(True).alias("_there")))
     j = l.join(r, on="_k", how="left")
     action = (F.when(F.col("_there").isNull(), "missing")
-              .when(F.col("size") != F.col("_rsize"), "size")
-              .when(~(F.col("mtime") < F.col("last_mod")), "stale")
+              .when(~F.coalesce(F.col("size") == F.col("_rsize"), F.lit(False)), "size")
+              .when(~F.coalesce(F.col("mtime") < F.col("last_mod"), F.lit(False)), "stale")
               .otherwise("skip"))
     return j.select("path", action.alias("action"))
 

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 def capacity_rollup(nodes: DataFrame, by: str = "cluster_id") -> DataFrame:
     """Active nodes, available memory and vcores per cluster (what the
-    resource manager's cluster metrics report), plus the largest node."""
+    resource manager's cluster metrics report), plus the largest node. Of
+    nodes with a ``state`` only the running ones count."""
+    if "state" in nodes.columns:
+        nodes = nodes.filter(F.col("state") == "RUNNING")
     return nodes.groupBy(by).agg(
         F.count(F.lit(1)).alias("n_nodes"),
         F.sum("avail_mb").alias("total_mb"),

@@ -2,7 +2,7 @@
 
 The reference runs one user command in each of N containers and keeps each
 one's output and exit status. Here the function runs inside the Python
-workers of ``mapInPandas`` (Arrow batches); an exception is caught per row
+workers of ``mapInArrow``; an exception is caught per row
 (or per batch) and reported in ``status`` / ``error`` instead of failing the
 task, so one bad row does not sink the job. A crash of the Python worker
 itself still fails the task, which Spark then retries.
@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 import fleetlens
 
@@ -52,31 +53,34 @@ def map_partitions_with_outcome(df: DataFrame, fn: Callable, input_col: str,
     def _err(e: BaseException) -> str:
         return f"{type(e).__name__}: {e}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            values = pdf["_input"]
+    kind = to_arrow_type(result_type)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            # Kept columns pass through as they are: no value changes type.
+            values = b.column(len(keep))
+            n = b.num_rows
             if per_row:
                 status, result, error = [], [], []
-                for v in values:
+                for v in values.to_pylist():
                     try:
-                        result.append(fn(v))
+                        made = pa.scalar(fn(v), kind).as_py()
                         status.append("ok")
+                        result.append(made)
                         error.append(None)
                     except Exception as e:  # noqa: BLE001 - reported per row
-                        result.append(None)
                         status.append("error")
+                        result.append(None)
                         error.append(_err(e))
             else:
                 try:
-                    result = list(fn(values))
-                    status, error = ["ok"] * len(pdf), [None] * len(pdf)
+                    result = pa.array(list(fn(values.to_pandas())), kind).to_pylist()
+                    status, error = ["ok"] * n, [None] * n
                 except Exception as e:  # noqa: BLE001 - reported per batch
-                    result = [None] * len(pdf)
-                    status, error = ["error"] * len(pdf), [_err(e)] * len(pdf)
-            out = pdf[keep].copy() if keep else pd.DataFrame(index=pdf.index)
-            out["status"] = status
-            out["result"] = pd.Series(result, index=pdf.index, dtype=object)
-            out["error"] = error
-            yield out
+                    result = [None] * n
+                    status, error = ["error"] * n, [_err(e)] * n
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:len(keep)], pa.array(status, pa.string()), pa.array(result, kind),
+                 pa.array(error, pa.string())], [f.name for f in fields])
 
-    return src.mapInPandas(run, schema)
+    return src.mapInArrow(run, schema)

@@ -35,11 +35,21 @@ def app_envelopes(state_events: DataFrame) -> DataFrame:
 APPS_PER_RESPONSE = 64
 
 
+def padded(number: Column, width: int) -> Column:
+    """Digits with zeros in front up to ``width``; longer numbers are whole."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), "0")
+
+
+def application_id(app_id: Column) -> Column:
+    return F.concat(F.lit(f"application_{CLUSTER_TS}_"), padded(app_id, 9))
+
+
 def app_list_responses(apps: DataFrame) -> DataFrame:
     """``{"apps": {"app": [...]}}`` bodies with REST field names, one per
     run of ``APPS_PER_RESPONSE`` app ids; times as epoch milliseconds."""
     rec = F.struct(
-        F.concat(F.lit(f"application_{CLUSTER_TS}_"), F.lpad(F.col("app_id").cast("string"), 9, "0")).alias("id"),
+        application_id(F.col("app_id")).alias("id"),
         "name", "state", F.unix_millis(F.col("started").cast("timestamp")).alias("startedTime"),
         F.lit(0).cast("bigint").alias("finishedTime"))
     page = F.expr(f"app_id div {APPS_PER_RESPONSE}")
@@ -48,10 +58,10 @@ def app_list_responses(apps: DataFrame) -> DataFrame:
 
 
 def error_body(event_id: Column, event_type: Column, props: Column) -> Column:
-    """Failed-response bodies from ``events``: props cut to 3 chars (not
-    JSON) when ``event_id % 7 = 0``; wrapped as a RemoteException with a
+    """Failed-response bodies from ``events``: props behind a status line, as
+    proxies send it (not JSON), when ``event_id % 7 = 0``; wrapped as a RemoteException with a
     message when ``% 11 = 0``, without one when ``% 13 = 0``."""
-    cut = F.when(event_id % 7 == 0, F.substring(props, 1, 3)).otherwise(props)
+    cut = F.when(event_id % 7 == 0, F.concat(F.lit("503 Service Unavailable "), props)).otherwise(props)
     return (F.when(event_id % 11 == 0,
                    F.concat(F.lit('{"RemoteException": {"message": "'), event_type,
                             F.lit('", "body": '), cut, F.lit("}}")))
@@ -60,7 +70,7 @@ def error_body(event_id: Column, event_type: Column, props: Column) -> Column:
 
 
 def conversation_container_id(conv_id: Column, suffix: Column) -> Column:
-    return F.concat(F.lit(f"container_{CLUSTER_TS}_"), F.lpad(conv_id.cast("string"), 9, "0"),
+    return F.concat(F.lit(f"container_{CLUSTER_TS}_"), padded(conv_id, 9),
                     F.lit("_01_"), suffix)
 
 

@@ -50,9 +50,9 @@ SELECT CASE WHEN event_id % 11 = 0
   WHEN event_id % 13 = 0 THEN concat('{"RemoteException": ', cut, '}')
   ELSE cut END AS body
 FROM (SELECT event_id, event_type,
-  CASE WHEN event_id % 7 = 0 THEN substr(props, 1, 3) ELSE props END AS cut FROM events) e"""
+  CASE WHEN event_id % 7 = 0 THEN concat('503 Service Unavailable ', props) ELSE props END AS cut FROM events) e"""
 
-LOG_CONTAINER = ("concat('container_1700000000000_', lpad(CAST(conv_id AS VARCHAR), 9, '0'), '_01_', "
+LOG_CONTAINER = ("concat('container_1700000000000_', lpad(CAST(conv_id AS VARCHAR), CAST(greatest(9, length(CAST(conv_id AS VARCHAR))) AS INT), '0'), '_01_', "
                  "CASE role WHEN 'system' THEN '000001' WHEN 'user' THEN '000002' ELSE '000003' END)")
 
 FINGERPRINTS = """
@@ -88,7 +88,7 @@ FROM apps a JOIN (
         "SELECT app_id, event_id, state FROM state_events WHERE app_id % 10 <> 0", "state_events")
 
     q["rest_applications"] = with_views("""
-SELECT concat('application_1700000000000_', lpad(CAST(app_id AS VARCHAR), 9, '0')) AS id,
+SELECT concat('application_1700000000000_', lpad(CAST(app_id AS VARCHAR), CAST(greatest(9, length(CAST(app_id AS VARCHAR))) AS INT), '0')) AS id,
   name, state, started FROM apps""", "apps")
 
     q["error_responses"] = f"""
@@ -131,8 +131,8 @@ FROM containers""", "containers")
 
     q["log_search"] = """
 WITH w AS (
-  SELECT concat('container_1700000000000_', lpad(CAST(conv_id AS VARCHAR), 9, '0'), '_01_',
-      lpad(CAST(turn AS VARCHAR), 6, '0')) AS container_id,
+  SELECT concat('container_1700000000000_', lpad(CAST(conv_id AS VARCHAR), CAST(greatest(9, length(CAST(conv_id AS VARCHAR))) AS INT), '0'), '_01_',
+      lpad(CAST(turn AS VARCHAR), CAST(greatest(6, length(CAST(turn AS VARCHAR))) AS INT), '0')) AS container_id,
     text AS stdout, concat('role=', role) AS stderr
   FROM conversations),
 l AS (
@@ -271,8 +271,9 @@ FROM nodes n LEFT JOIN ({RAW_WIDE}) w ON n.node_id = w.cluster_key""", "nodes",
 SELECT user_id AS app_id, count(*) AS done, CAST(count_if(event_type = 'error') AS BIGINT) AS failed
 FROM events GROUP BY user_id"""
 
-    q["map_outcome"] = """
-SELECT CASE WHEN length(text) > 5000 THEN 'error' ELSE 'ok' END AS status, count(*) AS n
-FROM documents GROUP BY 1"""
+    q["map_outcome"] = r"""
+SELECT doc_id, CASE WHEN contains(text, '|') THEN 'error' ELSE 'ok' END AS status,
+  CASE WHEN NOT contains(text, '|') THEN CAST(len(regexp_extract_all(text, '[^ \x09-\x0D]+')) AS BIGINT) END AS n_words
+FROM documents"""
 
     return q

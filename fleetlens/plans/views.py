@@ -27,9 +27,9 @@ SELECT o_orderkey AS app_id, o_custkey AS user_id,
   o_orderdate AS started
 FROM orders""",
     "containers": """
-SELECT concat('container_1700000000000_', lpad(CAST(l_orderkey AS STRING), 9, '0'),
+SELECT concat('container_1700000000000_', lpad(CAST(l_orderkey AS STRING), CAST(greatest(9, length(CAST(l_orderkey AS STRING))) AS INT), '0'),
     CASE WHEN l_suppkey % 3 = 0 THEN '_02_' ELSE '_01_' END,
-    lpad(CAST(l_linenumber AS STRING), 6, '0')) AS container_id,
+    lpad(CAST(l_linenumber AS STRING), CAST(greatest(6, length(CAST(l_linenumber AS STRING))) AS INT), '0')) AS container_id,
   min(l_suppkey) AS node_id,
   max(CAST(l_quantity AS INT)) * 64 AS memory_mb,
   max(CASE WHEN l_shipdate < TIMESTAMP '2000-01-01 00:00:00' THEN 1 ELSE 0 END) AS completed,
@@ -94,30 +94,7 @@ _FROM = re.compile(r"\bFROM (\w+)")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-SPREAD_BYTES_PER_PARTITION = 1 << 20
-
-
-def spread(df: DataFrame, max_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than it should have.
-
-    A table stored as one large row group (or an unsplittable file) is read
-    by one task, and everything pipelined after the scan runs on one core.
-    The target is one partition per ``SPREAD_BYTES_PER_PARTITION`` of input,
-    at most one per core: a small table stays whole, and a table with
-    enough splits (as at scale) is returned unchanged, with no shuffle.
-    Column pruning and filters still reach the scan through the repartition.
-    """
-    try:
-        cores = max_partitions or df.sparkSession.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no plan statistics here (e.g. a remote session)
-        return df
-    target = min(cores, max(1, size // SPREAD_BYTES_PER_PARTITION))
-    return df.repartition(target) if current < target else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Views:

@@ -38,6 +38,11 @@ STATUS_NOT_JSON = "not_json"      # body is not JSON: raw text is the message
 STATUS_UNKNOWN = "unknown"        # JSON without RemoteException
 
 
+# A JSON value's form: bracketed, a string, a number or a literal, alone.
+JSON_FORM = (r'(?s)^\s*(?:\{.*\}|\[.*\]|"(?:[^"\\]|\\.)*+"'
+             r'|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)\s*$')
+
+
 def split_error_responses(df: DataFrame, text_col: str = "body") -> DataFrame:
     """Add ``status`` and ``message`` for failed-response bodies, in one pass.
 
@@ -45,15 +50,15 @@ def split_error_responses(df: DataFrame, text_col: str = "body") -> DataFrame:
     text; else the raw body when it is not JSON. Valid JSON without a
     RemoteException (a KeyError or TypeError in the reference) gets status
     ``unknown``. The body is parsed once into a VARIANT with
-    ``try_parse_json``, which is NULL when the text is not JSON. One
-    difference remains: a valid value followed by other text is read as
-    that value (Spark's parser ignores the rest; Python's ``json.loads``
-    rejects it).
+    ``try_parse_json``, which is NULL when the text is not JSON. That parser
+    ignores what follows a value, so the text must also have a whole value's
+    form: ``404 page not found`` is not JSON. (Only an object or list followed
+    by text that ends in the same bracket still passes as its first value.)
     """
     v = F.try_parse_json(F.col(text_col))
     rex = F.try_variant_get(v, "$.RemoteException", "string")
     msg = F.try_variant_get(v, "$.RemoteException.message", "string")
-    not_json = v.isNull()
+    not_json = v.isNull() | ~F.col(text_col).rlike(JSON_FORM)
     status = (F.when(not_json, STATUS_NOT_JSON)
               .when(msg.isNotNull(), STATUS_REMOTE)
               .when(rex.isNotNull(), STATUS_REMOTE_OTHER)

@@ -5,10 +5,7 @@ streaming aggregate per application in ``update`` mode. Each micro-batch's
 changed rows are written by ``foreachBatch`` to
 ``<sink>/updates/batch_id=<n>`` (overwrite of that one folder, so a retried
 batch is idempotent); the current counters are the row of the highest batch
-per application. ``compact_counts`` writes the current counters up to batch
-``n`` to ``<sink>/snapshots/upto=<n>``, after which readers take the newest
-snapshot plus the later batches only, so reading does not grow with the
-life of the stream.
+per application.
 
 State is never dropped: the reference keeps its counters for the life of an
 application and has no expiry rule, and none is invented here. With an
@@ -51,26 +48,6 @@ def run_stream_completion(spark: SparkSession, source_dir: str, schema: T.Struct
     return current_counts(spark, sink_dir)
 
 
-def _numbered_dirs(spark: SparkSession, path: str, prefix: str,
-                   committed_only: bool = False) -> list[int]:
-    """Numbers ``n`` of the ``<prefix>=<n>`` folders in ``path`` (a
-    metadata listing on the driver; no data is read). ``committed_only``
-    keeps folders whose write job finished (``_SUCCESS`` present)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix + "="):
-            if committed_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                continue
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
 def _latest(rows: DataFrame) -> DataFrame:
     return (rows.groupBy("app_id")
             .agg(F.max_by(F.struct("done", "failed"), F.col("batch_id")).alias("_c"))
@@ -78,37 +55,5 @@ def _latest(rows: DataFrame) -> DataFrame:
 
 
 def current_counts(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """Latest counters per application: the newest snapshot, if any, and the
-    update batches after it."""
-    snaps = _numbered_dirs(spark, f"{sink_dir}/snapshots", "upto", committed_only=True)
-    updates = spark.read.parquet(f"{sink_dir}/updates")
-    if not snaps:
-        return _latest(updates)
-    n = snaps[-1]
-    base = (spark.read.parquet(f"{sink_dir}/snapshots/upto={n}")
-            .select("app_id", "done", "failed", F.lit(n).cast("int").alias("batch_id")))
-    later = updates.filter(F.col("batch_id") > n).select("app_id", "done", "failed", "batch_id")
-    return _latest(base.unionByName(later))
-
-
-def compact_counts(spark: SparkSession, sink_dir: str) -> int | None:
-    """Write the current counters up to the last finished batch as a
-    snapshot; returns its batch number (None when there are no batches)."""
-    batches = _numbered_dirs(spark, f"{sink_dir}/updates", "batch_id")
-    if not batches:
-        return None
-    n = batches[-1]
-    upto = spark.read.parquet(f"{sink_dir}/updates").filter(F.col("batch_id") <= n)
-    # counters as of batch n: the newest earlier snapshot and the batches after it
-    snaps = [s for s in _numbered_dirs(spark, f"{sink_dir}/snapshots", "upto", committed_only=True)
-             if s <= n]
-    if snaps:
-        m = snaps[-1]
-        base = (spark.read.parquet(f"{sink_dir}/snapshots/upto={m}")
-                .select("app_id", "done", "failed", F.lit(m).cast("int").alias("batch_id")))
-        snap = _latest(base.unionByName(upto.filter(F.col("batch_id") > m)
-                                        .select("app_id", "done", "failed", "batch_id")))
-    else:
-        snap = _latest(upto)
-    snap.write.mode("overwrite").parquet(f"{sink_dir}/snapshots/upto={n}")
-    return n
+    """Latest counters per application, over all update batches."""
+    return _latest(spark.read.parquet(f"{sink_dir}/updates"))

@@ -1,4 +1,4 @@
-"""The reference's unit-test cases (address parsing, derived parameters,
+"""Cases of the kinds the reference tests (address parsing, derived parameters,
 URI form), as table rows through our operators."""
 
 from pyspark.sql import functions as F
@@ -9,13 +9,13 @@ from fleetlens.operators import files as FL
 
 def test_host_port_forms(spark):
     df = spark.createDataFrame(
-        [("hdfs://foo.bar.com:8080",), ("foo.bar.com:8080",), ("foo.bar.com",),
-         ("HTTP://Foo.Bar.com/x",), ("http://user:pw@[::1]:9000/p",)], "addr string")
+        [("hdfs://rm7.lab.example:9188",), ("rm7.lab.example:9188",), ("rm7.lab.example",),
+         ("HTTP://Rm7.Lab.example/x",), ("http://user:pw@[::1]:9000/p",)], "addr string")
     got = {r.addr: (r.host, r.port) for r in C.host_port(df, "addr").collect()}
-    assert got["hdfs://foo.bar.com:8080"] == ("foo.bar.com", 8080)
-    assert got["foo.bar.com:8080"] == ("foo.bar.com", 8080)
-    assert got["foo.bar.com"] == ("foo.bar.com", None)
-    assert got["HTTP://Foo.Bar.com/x"] == ("foo.bar.com", None)
+    assert got["hdfs://rm7.lab.example:9188"] == ("rm7.lab.example", 9188)
+    assert got["rm7.lab.example:9188"] == ("rm7.lab.example", 9188)
+    assert got["rm7.lab.example"] == ("rm7.lab.example", None)
+    assert got["HTTP://Rm7.Lab.example/x"] == ("rm7.lab.example", None)
     assert got["http://user:pw@[::1]:9000/p"] == ("::1", 9000)
 
 
@@ -32,23 +32,23 @@ def test_derived_defaults(spark):
 
 
 def test_derived_replication(spark):
-    assert _derive(spark, [("dfs.replication", "10")]).replication_factor == 10
+    assert _derive(spark, [("dfs.replication", "6")]).replication_factor == 6
 
 
 def test_webapp_address_wins_and_gives_port(spark):
-    r = _derive(spark, [("yarn.resourcemanager.webapp.address", "priority1.com:1111"),
-                        ("yarn.resourcemanager.hostname", "priority2.com")])
-    assert (r.rm, r.rm_port) == ("priority1.com", 1111)
+    r = _derive(spark, [("yarn.resourcemanager.webapp.address", "web-a.example:7443"),
+                        ("yarn.resourcemanager.hostname", "host-b.example")])
+    assert (r.rm, r.rm_port) == ("web-a.example", 7443)
 
 
 def test_hostname_with_default_port(spark):
-    r = _derive(spark, [("yarn.resourcemanager.hostname", "priority2.com")])
-    assert (r.rm, r.rm_port) == ("priority2.com", 8088)
+    r = _derive(spark, [("yarn.resourcemanager.hostname", "host-b.example")])
+    assert (r.rm, r.rm_port) == ("host-b.example", 8088)
 
 
 def test_https_port(spark):
-    r = _derive(spark, [("yarn.resourcemanager.webapp.https.address", "address.com:1111")])
-    assert r.rm_port_https == 1111
+    r = _derive(spark, [("yarn.resourcemanager.webapp.https.address", "tls.example:7444")])
+    assert r.rm_port_https == 7444
 
 
 def test_address_without_port_leaves_port_null(spark):
@@ -64,11 +64,11 @@ def test_universe_member_without_config_gets_defaults(spark):
 
 
 def test_triple_slash(spark):
-    df = spark.createDataFrame([("hdfs://hello/path",), ("hdfs:///hello/path",),
-                                ("hdfs:////hello/path",), ("hdfs://nn:8020/p",),
+    df = spark.createDataFrame([("hdfs://jobs/part-0",), ("hdfs:///jobs/part-0",),
+                                ("hdfs:////jobs/part-0",), ("hdfs://nn:8020/p",),
                                 ("s3a://b/k",), ("/local/dir/env.zip",)], "uri string")
     out = [r.u for r in df.select(FL.normalize_uri(F.col("uri")).alias("u")).collect()]
-    assert out == ["hdfs:///hello/path", "hdfs:///hello/path", "hdfs:////hello/path",
+    assert out == ["hdfs:///jobs/part-0", "hdfs:///jobs/part-0", "hdfs:////jobs/part-0",
                    "hdfs:///nn:8020/p", "s3a://b/k", "file:/local/dir/env.zip"]
     staged = [r.u for r in df.select(FL.normalize_uri(F.col("uri"), "hdfs:///user/me/.staging")
                                      .alias("u")).collect()]

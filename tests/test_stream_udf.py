@@ -68,21 +68,3 @@ def test_stream_restarts_from_its_checkpoint(spark):
     out2 = run_stream_completion(spark, src, events.schema, sink, ckpt, "user_id", failed)
     assert sorted(map(tuple, out2.collect())) == \
         sorted(map(tuple, completion_counts(events, "user_id", failed).collect()))
-
-
-def test_stream_compaction_keeps_counts(spark):
-    from fleetlens.streaming.completion import compact_counts, current_counts
-
-    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    failed = F.col("event_type") == "error"
-    src, sink, ckpt = (scratch_path(spark, n) for n in ("src", "sink", "ckpt"))
-    events.filter(F.col("event_id") % 2 == 0).repartition(2).write.parquet(src)
-    run_stream_completion(spark, src, events.schema, sink, ckpt, "user_id", failed)
-    n = compact_counts(spark, sink)
-    assert n is not None and n >= 1
-    events.filter(F.col("event_id") % 2 == 1).repartition(2).write.mode("append").parquet(src)
-    out = run_stream_completion(spark, src, events.schema, sink, ckpt, "user_id", failed)
-    want = sorted(map(tuple, completion_counts(events, "user_id", failed).collect()))
-    assert sorted(map(tuple, out.collect())) == want
-    assert compact_counts(spark, sink) > n
-    assert sorted(map(tuple, current_counts(spark, sink).collect())) == want
