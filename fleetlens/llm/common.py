@@ -66,15 +66,19 @@ def free_name(columns: Iterable[str], base: str) -> str:
 
 
 def per_process(name: str, build: Callable[[], object], version: str = "") -> object:
-    """An object kept for the life of the Python worker, across its tasks;
-    another ``version`` replaces it.
+    """An object kept in the Python worker across its tasks, until another
+    ``version`` or another name is asked for: a worker that goes on to the next
+    stage holds one operator's caches, not all.
 
     Task functions are pickled by value, so their module's globals are new in
     every task; automata, vocabularies and caches live here instead.
     """
     store = sys.modules.setdefault("_llm_worker_state", ModuleType("_llm_worker_state")).__dict__
     if store.get(name, (None,))[0] != version:
-        store[name] = (version, build())
+        for old in [k for k in store if not k.startswith("__")]:
+            del store[old]
+        built = build()
+        store[name] = (version, built)
     return store[name][1]
 
 

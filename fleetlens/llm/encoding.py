@@ -19,7 +19,7 @@ from fleetlens.llm.common import RecentCache, per_process, tokenizer
 
 #: Cached parts and words, in each of a cache's two generations, and the
 #: length of the longest cached one.
-PARTS, WORDS = 400_000, 300_000
+PARTS, WORDS = 300_000, 300_000
 CACHED_LENGTH = 64
 #: Words that go to the library as one text.
 LINE = 256

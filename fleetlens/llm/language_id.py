@@ -35,8 +35,9 @@ SAMPLE = 300
 ROUNDS = 2
 #: Added to each piece's expected count.
 SMOOTHING = 0.05
-#: Cached words, in each of the cache's two generations, and their length.
-CACHE = 300_000
+#: Cached parts and words, in each of a cache's two generations, and the
+#: length of the longest cached one.
+PARTS, WORDS = 120_000, 150_000
 CACHED_LENGTH = 64
 UNKNOWN = "und"
 BEGIN = "▁"
@@ -191,7 +192,7 @@ class Scorer:
     def __init__(self, model: LanguageModel):
         n = len(model.languages)
         self.segments, self.shares = Segmenter(model.table, n), np.array(model.shares)
-        self.parts, self.words = RecentCache(CACHE), RecentCache(CACHE)
+        self.parts, self.words = RecentCache(PARTS), RecentCache(WORDS)
         # Row 0: an end of pieces that is none itself.
         self.probabilities = np.array([(0.0,) * n, *model.table.values()])
         self.rows = {p[i:]: 0 for p in model.table for i in range(len(p))}
