@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,8 +68,14 @@ def upload_delta(local: DataFrame, remote: DataFrame, always: bool = False,
 
 
 def set_fingerprint(df: DataFrame, group: str, item: str, out: str = "fp",
-                    sep: str = "-") -> DataFrame:
-    """SHA-1 of the sorted, distinct items of each group joined by ``sep``.
+                    sep: str = "-", channel: str | None = None) -> DataFrame:
+    """SHA-1 of the sorted, distinct items of each group joined by ``sep``;
+    with ``channel`` (a boolean column, true for a package channel) the
+    channels follow the packages, each sorted, so that two environments that
+    differ in channels differ.
+
+    Items are taken as strings. Null items count for nothing; a group without
+    any other item has the hash of the empty text. A null group is one group.
 
     SHA-1 is not mergeable, so the items of a group must pass one hasher in
     order; they are never gathered into one row. Distinct (group, item)
@@ -77,31 +84,37 @@ def set_fingerprint(df: DataFrame, group: str, item: str, out: str = "fp",
     rows stream through ``hashlib`` in Arrow batches with O(batch) memory.
     A hot group is sequential by nature of the hash, but it streams.
     """
-    pairs = (df.select(F.col(group).alias("_g"), F.col(item).alias("_i"))
-             .filter(F.col("_i").isNotNull()).distinct())
-    ordered = pairs.repartition("_g").sortWithinPartitions("_g", "_i")
+    last = F.lit(False) if channel is None else F.coalesce(F.col(channel), F.lit(False))
+    pairs = df.select(F.col(group).alias("_g"), last.alias("_c"), F.col(item).cast("string").alias("_i")).distinct()
+    ordered = pairs.repartition("_g").sortWithinPartitions("_g", "_c", "_i")
     schema = T.StructType([df.schema[group], T.StructField(out, T.StringType(), False)])
     joiner = sep.encode()
 
-    def digest(batches):
-        cur, h, started = None, None, False
-        keys, fps = [], []
-        for pdf in batches:
-            for g, it in zip(pdf["_g"].tolist(), pdf["_i"].tolist()):
-                if not started or g != cur:
-                    if started:
-                        keys.append(cur)
-                        fps.append(h.hexdigest())
-                    cur, h, started = g, hashlib.sha1(it.encode()), True
-                else:
-                    h.update(joiner + it.encode())
-            if keys:
-                yield pd.DataFrame({group: keys, out: fps})
-                keys, fps = [], []
-        if started:
-            yield pd.DataFrame({group: [cur], out: [h.hexdigest()]})
-
-    return ordered.mapInPandas(digest, schema)
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, h, empty = None, None, True  # key: an array of one, its type kept
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([key, pa.array([h.hexdigest()])], [group, out])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            groups = b.column(0)
+            values = groups.to_pylist()
+            cuts = [0, *(i for i in range(1, len(values)) if values[i] != values[i - 1]), len(values)]
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                if h is None or key[0].as_py() != values[start]:
+                    if h is not None:
+                        yield made()
+                    key, h, empty = groups.slice(start, 1), hashlib.sha1(), True
+                items = [i.encode() for i in b.column(2).slice(start, stop - start).to_pylist() if i is not None]
+                if items:
+                    h.update((b"" if empty else joiner) + joiner.join(items))
+                    empty = False
+        if h is not None:
+            yield made()
+
+    return ordered.mapInArrow(digest, schema)
 
 
 def first_by_key(df: DataFrame, group: str, item: str, order: str,
@@ -109,7 +122,7 @@ def first_by_key(df: DataFrame, group: str, item: str, order: str,
     """The first item (lowest ``order``) for each leading word of an item
     within a group: user items placed before defaults win. As in the
     reference, ``scikit-learn`` and ``scikit-image`` share the key ``scikit``.
-    Hash aggregate with map-side ``min_by``; no sort."""
+    One aggregate with map-side ``min_by`` (sort-based, as it holds strings)."""
     key = F.regexp_extract(F.col(item), key_pattern, 0)
     return (df.select(F.col(group).alias("_g"), key.alias("_k"), F.col(item).alias("_i"),
                       F.col(order).alias("_o"))

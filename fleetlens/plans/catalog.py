@@ -33,13 +33,17 @@ ONE_DAY_US = 86_400_000_000
 
 
 def app_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: completion and progress of every application that has
-    containers, with its name (#12 -> #20 -> #21). The containers are
-    aggregated once per application before the join with ``apps``."""
+    """Flagship: completion and progress of every application, with its name
+    (#12 -> #20 -> #21), matched on the whole application id; one without
+    containers has requested nothing, so its progress is 0.1. The containers
+    are aggregated once per application before the join with ``apps``."""
     v = Views(spark, sf_dir)
-    summary = A.completion_summary(v.containers, key="number")
-    summary = summary.withColumn("progress", A.progress_of(F.col("requested"), F.col("completed")))
-    return v.apps.select("app_id", "name").join(summary, on="app_id", how="inner")
+    summary = A.completion_summary(v.containers).withColumnRenamed("app_id", "application_id")
+    apps = v.apps.select("app_id", "name", FX.application_id(F.col("app_id")).alias("application_id"))
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("requested", "completed", "failed")]
+    return (apps.join(summary, on="application_id", how="left")
+            .select("app_id", "name", *counts, F.coalesce("final_status", F.lit("UNDEFINED")).alias("final_status"))
+            .withColumn("progress", A.progress_of(F.col("requested"), F.col("completed"))))
 
 
 def flatten_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,7 +83,8 @@ def role_seq(role: Column) -> Column:
 def log_lines(conversations: DataFrame) -> DataFrame:
     """Aggregated-log text as ordered lines, one section per (conversation,
     role): a stderr block ``turns=N`` and a stdout block with the role's
-    texts in turn order. Only counts and lengths are aggregated; the texts
+    texts in turn order; every third turn's text begins like a container
+    header but is none. Only counts and lengths are aggregated; the texts
     themselves stay one row each, ordered by ``(conv_id, role, part, turn)``.
     """
     stats = conversations.groupBy("conv_id", "role").agg(
@@ -101,7 +102,8 @@ def log_lines(conversations: DataFrame) -> DataFrame:
     heads = stats.select("conv_id", "role", F.lit(0).alias("part"), F.lit(None).cast("bigint").alias("turn"),
                          header.alias("value"))
     bodies = conversations.select("conv_id", "role", F.lit(1).alias("part"), "turn",
-                                  F.col("text").alias("value"))
+                                  F.when(F.col("turn") % 3 == 0, F.concat(F.lit("Container: - "), "text"))
+                                  .otherwise(F.col("text")).alias("value"))
     return heads.unionByName(bodies)
 
 

@@ -73,9 +73,10 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
     q["app_progress"] = with_views(f"""
-SELECT a.app_id, a.name, s.requested, s.completed, s.failed, s.final_status,
+SELECT a.app_id, a.name, coalesce(s.requested, 0) AS requested, coalesce(s.completed, 0) AS completed,
+  coalesce(s.failed, 0) AS failed, coalesce(s.final_status, 'UNDEFINED') AS final_status,
   {PROGRESS} AS progress
-FROM apps a JOIN (
+FROM apps a LEFT JOIN (
   SELECT app_id, requested, completed, failed,
     CASE WHEN completed < requested THEN 'RUNNING' WHEN failed > 0 THEN 'FAILED'
       ELSE 'UNDEFINED' END AS final_status
@@ -103,7 +104,8 @@ FROM b GROUP BY 1"""
 WITH s AS (
   SELECT {LOG_CONTAINER} AS container_id,
     concat('host_', CAST(conv_id % 5 AS VARCHAR)) AS node_id,
-    count(*) AS turns, string_agg(text, chr(10) ORDER BY turn) AS body
+    count(*) AS turns, string_agg(CASE WHEN turn % 3 = 0 THEN concat('Container: - ', text) ELSE text END,
+      chr(10) ORDER BY turn) AS body
   FROM conversations GROUP BY conv_id, role)
 SELECT container_id, node_id, 'stderr' AS log_type, concat('turns=', CAST(turns AS VARCHAR)) AS content FROM s
 UNION ALL

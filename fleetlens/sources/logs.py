@@ -14,14 +14,22 @@ The text reader splits records on ``\\nContainer: `` instead of newlines, so
 each record is one section even when a file is cut into many splits (Hadoop's
 line reader handles a custom separator across split boundaries). The rest is
 narrow column work: ``split`` on ``\\nLogType:``, ``posexplode`` and regexes.
-No shuffle, no per-line state machine.
+
+A content line that begins with ``Container: `` cuts its section too, but its
+record lacks a container header. Such records go back to the section they were
+cut from: the nearest record with a header before them in their file, found
+over narrow columns in two steps (within file blocks, then from block to
+block). Files without such lines are parsed without any shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetlens.session import materialize
+
+# The markers of aggregated logs and the reference's id patterns.
 SECTION_SEP = "\nContainer: "
 BLOCK_SEP = "\nLogType:"
 # The reference's node pattern has no '.' or '-': ``host-1.x_45454`` gives ``host``.
@@ -40,20 +48,57 @@ def read_log_sections(spark: SparkSession, path: str, with_file: bool = True) ->
     return raw.select(*cols)
 
 
+def header_pattern(full_node: bool = False) -> str:
+    node = FULL_NODE_PATTERN if full_node else NODE_PATTERN
+    return rf"^(?:Container: )?({CONTAINER_PATTERN}) on ({node})"
+
+
+def whole_log_sections(spark: SparkSession, path: str, full_node: bool = False) -> DataFrame:
+    """Section records as ``read_log_sections`` gives them, with the records
+    that content lines cut off put back: ``value``, ``file``. What stands
+    before a file's first header stays a record of its own."""
+    raw = spark.read.option("lineSep", SECTION_SEP).text(path)
+    # Rows of a block are read in order by one task; the reader's blocks of a
+    # file are ordered by their start.
+    records = materialize(spark, raw.select(
+        F.regexp_replace("value", "\r\n", "\n").alias("value"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
+        .withColumn("headed", F.col("value").rlike(header_pattern(full_node))))
+    cut_off = records.filter(~F.col("headed"))
+    if cut_off.isEmpty():
+        return records.select("value", "file")
+    head = F.when(F.col("headed"), F.col("seq"))
+    within = Window.partitionBy("file", "block").orderBy("seq")
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (records.groupBy("file", "block").agg(F.max(head).alias("end"))
+            .select("file", "block", F.last("end", True).over(earlier).alias("carried")))
+    heads = (records.select("file", "block", "seq", "headed").withColumn("own", F.last(head, True).over(within))
+             .filter(~F.col("headed")).join(ends, ["file", "block"])
+             .select("seq", F.coalesce("own", "carried").alias("head")))
+    cut_off = cut_off.join(heads, "seq")
+    # A section is one row of the result, so its pieces meet in one row.
+    pieces = F.array_sort(F.collect_list(F.struct("block", "seq", "value")))
+    tails = (cut_off.filter(F.col("head").isNotNull()).groupBy(F.col("head").alias("seq"))
+             .agg(F.array_join(F.transform(pieces, lambda p: p["value"]), SECTION_SEP).alias("tail")))
+    whole = records.filter("headed").join(tails, "seq", "left").select(
+        F.concat("value", F.coalesce(F.concat(F.lit(SECTION_SEP), "tail"), F.lit(""))).alias("value"), "file")
+    return whole.union(cut_off.filter(F.col("head").isNull()).select("value", "file"))
+
+
 def read_container_logs(spark: SparkSession, path: str, full_node: bool = False,
                         with_file: bool = True) -> DataFrame:
     """Read aggregated log text files into one row per (container, log type),
-    with the source ``file`` unless ``with_file=False``."""
-    return section_container_logs(read_log_sections(spark, path, with_file), full_node=full_node,
+    with the source ``file`` unless ``with_file=False``. Content lines that
+    begin with ``Container: `` stay content."""
+    return section_container_logs(whole_log_sections(spark, path, full_node), full_node=full_node,
                                   keep=("file",) if with_file else ())
 
 
 def section_report(sections: DataFrame, text_col: str = "value", full_node: bool = False) -> DataFrame:
     """Per file: records with a container header and records without one
     (text that was cut off by a content line beginning ``Container: ``).
-    One partial aggregate; report before trusting a parse."""
-    node = FULL_NODE_PATTERN if full_node else NODE_PATTERN
-    ok = F.col(text_col).rlike(rf"^(?:Container: )?{CONTAINER_PATTERN} on {node}")
+    One partial aggregate."""
+    ok = F.col(text_col).rlike(header_pattern(full_node))
     by = [c for c in ("file",) if c in sections.columns]
     return sections.groupBy(*by).agg(F.count_if(ok).alias("sections"),
                                      F.count_if(~ok).alias("unmatched"))
@@ -67,12 +112,12 @@ def section_container_logs(df: DataFrame, text_col: str = "value", full_node: bo
     and ``Log Contents:`` are left out; content has no leading newline and
     no trailing newlines; a log type other than stdout/stderr is its own row;
     a repeated container header gives a second row rather than erasing the
-    first. A record whose first line is not a container header (a content
-    line that happened to begin with ``Container: ``) has a null
-    ``container_id`` and is dropped unless ``keep_unmatched``.
+    first. A record whose first line is not a container header belongs to no
+    container (``whole_log_sections`` leaves only what stands before a file's
+    first header); it is dropped unless ``keep_unmatched``, then with a null
+    ``container_id``.
     """
-    node = FULL_NODE_PATTERN if full_node else NODE_PATTERN
-    header = rf"^(?:Container: )?({CONTAINER_PATTERN}) on ({node})"
+    header = header_pattern(full_node)
     text = F.col(text_col)
     cid = F.regexp_extract(text, header, 1)
     nid = F.regexp_extract(text, header, 2)

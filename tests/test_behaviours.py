@@ -82,6 +82,7 @@ def test_log_crlf_and_section_report(spark, tmp_path):
     got = {(r.container_id, r.log_type, r.content) for r in rows}
     assert ("container_1_0001_01_000001", "stdout", "line one\nline two") in got
     assert ("container_1_0001_01_000001", "syslog", "sys") in got
+    assert any(r.content.endswith("Container: oops this is content\nmore") for r in rows)
     rep = L.section_report(L.read_log_sections(spark, str(tmp_path))).collect()
     assert [(r.sections, r.unmatched) for r in rep] == [(3, 1)]
 
@@ -294,3 +295,49 @@ def test_log_sections_from_gzip(spark, tmp_path):
     rows = L.read_container_logs(spark, str(tmp_path)).collect()
     assert len(rows) == 5
     assert {r.content for r in rows} >= {"err 1", "line one\nline two", "hello", "again"}
+
+
+def test_log_content_that_looks_like_a_header_is_kept(spark, tmp_path):
+    def section(i):
+        lines = [f"Container: exited with code {i}", "y" * (i % 7 * 40), "Container: - again", "end"]
+        return (f"Container: container_1_0001_01_{i:06d} on n{i % 3}\nLogType:stderr\nLog Contents:\nbad\n"
+                + "LogType:stdout\nLog Contents:\nfirst\n" + "\n".join(lines) + "\n"), "\n".join(["first", *lines])
+
+    made = [section(i) for i in range(200)]
+    path = _write(tmp_path, "Container: before any header\n" + "".join(s for s, _ in made))
+    want = {(f"container_1_0001_01_{i:06d}", "stdout", made[i][1]) for i in range(200)}
+    want |= {(f"container_1_0001_01_{i:06d}", "stderr", "bad") for i in range(200)}
+    for size in ("4096", "256m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = L.read_container_logs(spark, path).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert len(rows) == 400
+        assert {(r.container_id, r.log_type, r.content) for r in rows} == want
+
+
+def test_fingerprint_of_long_keys_numbers_and_channels(spark):
+    import hashlib
+
+    big = 9007199254740993
+    df = spark.createDataFrame(
+        [(None, 1, False), (None, 2, False), (big, 3, False), (big, 10, None), (big, 3, True), (7, None, False)],
+        "env long, spec int, is_channel boolean")
+
+    def sha(text):
+        return hashlib.sha1(text.encode()).hexdigest()
+
+    got = FL.set_fingerprint(df, "env", "spec").collect()
+    assert {(r.env, r.fp) for r in got} == {(None, sha("1-2")), (big, sha("10-3")), (7, sha(""))} and len(got) == 3
+    got = FL.set_fingerprint(df, "env", "spec", channel="is_channel").collect()
+    assert {(r.env, r.fp) for r in got} == {(None, sha("1-2")), (big, sha("10-3-3")), (7, sha(""))}
+
+
+def test_app_progress_has_every_application(spark):
+    from fleetlens.plans.catalog import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    got = QUERIES["app_progress"](spark, folder)
+    assert got.count() == spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert got.filter("requested = 0 and progress <> 0.1").count() == 0
