@@ -132,19 +132,22 @@ class LanguageModel:
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
           vocabulary: str | None = None, sample: int = SAMPLE, rounds: int = ROUNDS) -> LanguageModel:
-    """Fits the model on those of ``docs`` that have a text and a language."""
+    """Fits the model on those of ``docs`` that have a text and a language (and
+    a doc_id); of repeated rows of a doc_id and language, on the smallest text."""
     pieces = public_pieces(vocabulary or vocabulary_path(VOCABULARY))
     labelled = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     # Two steps: the sample's keys first, so that only its texts are gathered.
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     drawn = (labelled.select("lang", "doc_id").withColumn("place", F.row_number().over(order))
-             .filter(F.col("place") <= sample))
+             .filter(F.col("place") <= sample).select("lang", "doc_id").distinct())
     shares = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(shares)
     if not languages:
         return LanguageModel([], [], {})
-    sampled = labelled.join(F.broadcast(drawn.select("lang", "doc_id")), ["lang", "doc_id"])
+    # Of a doc_id that repeats, one text: the sample keeps its bound.
+    sampled = (labelled.join(F.broadcast(drawn), ["lang", "doc_id"])
+               .groupBy("lang", "doc_id").agg(F.min("text").alias("text")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

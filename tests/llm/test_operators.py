@@ -288,3 +288,15 @@ def test_empty_tables(no_docs, spark):
                fingerprint.edited_fingerprints(no_docs), language_id.identified(no_docs), pieces.round_trip(no_docs),
                html_text.extracted(spark.createDataFrame([], "page_id bigint, url string, html string"))):
         assert df.count() == 0
+
+
+def test_language_sample_counts_a_repeated_document_once(spark):
+    from fleetlens.llm import language_id
+
+    rows = [(1, "good morning", "en")] * 400 + [(2, "bonjour monde", "fr"), (3, "hello there", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    once = language_id.train(docs.dropDuplicates(), sample=300)
+    model = language_id.train(docs, sample=500)
+    assert model.languages == once.languages == ["en", "fr"]
+    assert model.table["▁good"] == pytest.approx(once.table["▁good"])
+    assert len(language_id.predict(docs, model).collect()) == len(rows)
