@@ -61,39 +61,57 @@ TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
-NAMES = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
+# How surely a text is not the article's: a header can be the page's own, a
+# word of a class can mislead, an element or a hidden one does not.
+PLAIN, HEADER, WORD, ELEMENT = range(4)
+#: Elements that hold the article, never marked by words.
+WHOLE = frozenset("html body main article".split())
+# Elements that some sites wrap a whole page in.
+WRAPPERS = frozenset("aside dialog form".split())
 
 
 class Block(NamedTuple):
     path: str  # of the block elements around it, from the root
     text: str  # white space runs as one space, trimmed, not empty
-    other: bool  # inside a region that is not the article
+    other: int  # inside a region that is not the article: PLAIN to ELEMENT
 
 
 class Element(NamedTuple):
     name: str
     path: str
-    other: bool
+    other: int
 
 
 def _named(attributes: str) -> tuple[str, set[str], bool]:
-    """First class, words of class, id and role, and whether it is hidden."""
+    """First class, whole words of class, id and role, and whether it is hidden."""
     first, words, hidden = "", set(), False
-    for key, *values in NAMES.findall(attributes):
-        value = "".join(values).lower()
-        key = key.lower()
+    for key, *values in ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), "".join(values).lower().split()
         hidden = hidden or key == "hidden"
-        if key == "class" and value.split():
-            first = value.split()[0]
-        words.update(re.findall(r"[a-z]+", value))
+        if key == "class" and value and not first:
+            first = value[0]
+        if key in ("class", "id", "role"):
+            words.update(value)
     return first, words, hidden
 
 
+def mark(name: str, words: set[str], hidden: bool, in_article: bool) -> int:
+    """How surely an element is not the article, by itself."""
+    if name in WHOLE:
+        return ELEMENT if hidden and name not in ("html", "body") else PLAIN
+    if hidden or (name in OTHER_ELEMENTS and name not in WRAPPERS):
+        return ELEMENT
+    if name in WRAPPERS or not words.isdisjoint(OTHER_WORDS):
+        return WORD
+    return HEADER if not in_article and (name == "header" or "header" in words) else PLAIN
+
+
 def parse(page: str) -> tuple[list[Block], Counter]:
     """Text blocks in page order, and how often each block path opens."""
     blocks: list[Block] = []
     paths: Counter = Counter()
-    stack = [Element("", "", False)]
+    stack = [Element("", "", PLAIN)]
     pending: list[str] = []
 
     def flush() -> None:
@@ -149,8 +167,7 @@ def parse(page: str) -> tuple[list[Block], Counter]:
             continue
         first, words, hidden = _named(attributes) if attributes.strip() else ("", set(), False)
         in_article = any(e.name in ("article", "main") for e in stack)
-        other = (stack[-1].other or hidden or name in OTHER_ELEMENTS or not words.isdisjoint(OTHER_WORDS)
-                 or (not in_article and (name == "header" or "header" in words)))
+        other = max(stack[-1].other, mark(name, words, hidden, in_article))
         if name in INLINE:
             if other != stack[-1].other:
                 flush()
@@ -202,7 +219,7 @@ def tokens(pages: DataFrame) -> DataFrame:
                 other: dict[str, bool] = {}
                 for x in blocks:
                     size[x.path] += len(x.text)
-                    other[x.path] = other.get(x.path, True) and x.other
+                    other[x.path] = other.get(x.path, True) and x.other > PLAIN
                 for path, n in [("", 1), *found.items()]:
                     name = digest(path) - (1 << 63)
                     add(host, name, path, other.get(path, False), n, 0 if other.get(path) else size[path], page)
@@ -272,8 +289,11 @@ def templates(found: DataFrame, same_text_pages: int = SAME_TEXT_PAGES, class_to
 
 def main_text(blocks: list[Block], main: str | None, same: set[int]) -> str:
     """The blocks below ``main`` that are neither other regions' nor the
-    template's; of a page without such blocks, all but other regions'."""
+    template's; of a page without such blocks, all but other regions'; of a
+    page that words mark as a whole, all that elements do not mark."""
     kept = [b for b in blocks if not b.other and text_token(b) not in same]
+    if not any(not b.other for b in blocks):
+        kept = [b for b in blocks if b.other < ELEMENT]
     inside = [b for b in kept if main is not None and (b.path + "/").startswith(main + "/")]
     if not inside:
         inside = [b for b in kept if "/article" in b.path or "/main" in b.path] or kept

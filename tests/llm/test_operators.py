@@ -282,6 +282,15 @@ def test_html_text(spark):
     assert [r.text for r in got if r.page_id is None] == ["kept\ntoo"]
 
 
+@pytest.mark.parametrize("tag", [
+    "body class='has-sidebar'", "article class='comments-open'", "div class='with-sidebar'", "div style='overflow:hidden'",
+    "div aria-hidden='false'", "div data-title='a hidden gem'", "div class='social-sciences'", "main class='comments'",
+    "div class='widget'", "form id='all'", "body class='menu'"])
+def test_html_attributes_do_not_hide_the_article(tag):
+    blocks, _ = html_text.parse(f"<{tag}><p>First one<p>Second two</{tag.split()[0]}><p hidden>No</p><nav>No</nav>")
+    assert html_text.main_text(blocks, None, set()) == "First one\nSecond two"
+
+
 def test_empty_tables(no_docs, spark):
     for df in (exact_dedup.exact_dedup(no_docs), exact_dedup.without_copies(no_docs), simhash.simhash_groups(no_docs),
                bpe.token_counts(no_docs), token_store.stored(no_docs), packing.packed(no_docs), hmm.scored(no_docs),
