@@ -7,8 +7,9 @@ Classes of enough tokens and pages whose tokens nest (all hang below one other
 class) make the host's template. What no template token covers is a slot: the
 text below its nearest template element. The slot with the most text over the
 host's pages, outside regions that are marked as something else, holds the
-article; text blocks of the template itself (the same text once on every page)
-are notices, not article.
+article; text blocks of the template itself (the same text on every page, and
+not in an article element) are notices, not article. Copies of a page are one
+page for all this.
 
 Vectors are compared by two sums of hashes, so they are aggregated before they
 are shuffled, and a host with a third of all pages is no larger group than
@@ -69,18 +70,22 @@ PLAIN, HEADER, WORD, ELEMENT = range(4)
 WHOLE = frozenset("html body main article".split())
 # Elements that some sites wrap a whole page in.
 WRAPPERS = frozenset("aside dialog form".split())
+#: A path in an article.
+ARTICLE = re.compile(r"/(?:article|main)(?:[./]|$)")
 
 
 class Block(NamedTuple):
     path: str  # of the block elements around it, from the root
     text: str  # white space runs as one space, trimmed, not empty
     other: int  # inside a region that is not the article: PLAIN to ELEMENT
+    linked: int  # about how many of its characters are links'
 
 
 class Element(NamedTuple):
     name: str
     path: str
     other: int
+    link: bool
 
 
 def _named(attributes: str) -> tuple[str, set[str], bool]:
@@ -111,16 +116,19 @@ def parse(page: str) -> tuple[list[Block], Counter]:
     """Text blocks in page order, and how often each block path opens."""
     blocks: list[Block] = []
     paths: Counter = Counter()
-    stack = [Element("", "", PLAIN)]
+    stack = [Element("", "", PLAIN, False)]
     pending: list[str] = []
+    linked = 0
 
     def flush() -> None:
+        nonlocal linked
         text = " ".join(html.unescape("".join(pending)).split()) if pending else ""
         pending.clear()
         if text:
             top = stack[-1]
             path = next(e.path for e in reversed(stack) if e.name not in INLINE)
-            blocks.append(Block(path, text, top.other))
+            blocks.append(Block(path, text, top.other, min(linked, len(text))))
+        linked = 0
 
     def close(names: set[str], barriers: set[str]) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -134,11 +142,13 @@ def parse(page: str) -> tuple[list[Block], Counter]:
     at, end = 0, len(page)
     while at < end:
         m = TAG.search(page, at)
+        stop = end if m is None else m.start()
+        if stop > at:
+            pending.append(page[at:stop])
+            if stack[-1].link:
+                linked += len(pending[-1].strip())
         if m is None:
-            pending.append(page[at:])
             break
-        if m.start() > at:
-            pending.append(page[at:m.start()])
         at = m.end()
         name = m[2] or m[5]
         if name is None:
@@ -171,7 +181,7 @@ def parse(page: str) -> tuple[list[Block], Counter]:
         if name in INLINE:
             if other != stack[-1].other:
                 flush()
-            stack.append(Element(name, stack[-1].path, other))
+            stack.append(Element(name, stack[-1].path, other, name == "a" or stack[-1].link))
             continue
         flush()
         if name in CLOSED_BY_SIBLING:
@@ -184,7 +194,7 @@ def parse(page: str) -> tuple[list[Block], Counter]:
             close_tag = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
             at = close_tag.end() if close_tag else end
             continue
-        stack.append(Element(name, path, other))
+        stack.append(Element(name, path, other, stack[-1].link))
     flush()
     return blocks, paths
 
@@ -195,9 +205,18 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+TOKEN = ("struct<token: bigint, path: string, at: bigint, one: bigint, two: bigint, plain: bigint, marked: bigint, "
+         "linked: bigint, blocks: bigint>")
+
+
 def tokens(pages: DataFrame) -> DataFrame:
-    """Every page's tokens: host, token, path (null for a text's token),
-    other, the page's vector entry as two hashes, chars of text at a path."""
+    """The tokens of every distinct page of a host: host, token, path (null for
+    a text's token), at (the token of the path it stands at, a path's its own),
+    the page's vector entry as two hashes; chars of plain and of marked text,
+    chars of links and number of texts at a path.
+
+    A page's tokens are one row until copies are gone, so that a page counts
+    once however often its host has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -205,34 +224,49 @@ def tokens(pages: DataFrame) -> DataFrame:
         digest = xxhash.xxh64_intdigest
         low = (1 << 32) - 1
         for b in batches:
-            hosts, names, paths, others, ones, twos, chars = [], [], [], [], [], [], []
+            hosts, contents, ends = [], [], [0]
+            columns: list[list] = [[] for _ in range(9)]
 
-            def add(host, name, path, other, n, size, page, made=(hosts, names, paths, others, ones, twos, chars)):
-                h = digest(f"{page} {n}")
-                for column, value in zip(made, (host, name, path, other, h >> 32, h & low, size), strict=True):
+            def add(*values, columns=columns):
+                for column, value in zip(columns, values, strict=True):
                     column.append(value)
 
-            for page_id, url, source in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                host, page = host_of(url), digest(f"{page_id} {url}")
+            for url, source in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                content = xxhash.xxh128_hexdigest(source or "")
+                hosts.append(host_of(url))
+                contents.append(content)
                 blocks, found = parse(source or "")
-                size: Counter = Counter()
-                other: dict[str, bool] = {}
+                size: dict[str, list[int]] = {}
+                texts: dict[int, list] = {}
                 for x in blocks:
-                    size[x.path] += len(x.text)
-                    other[x.path] = other.get(x.path, True) and x.other > PLAIN
+                    here = size.setdefault(x.path, [0, 0, 0, 0])
+                    mine = texts.setdefault(text_token(x), [0, x.path, 0, 0])
+                    mine[0] += 1
+                    if x.other < ELEMENT:
+                        n = len(x.text)
+                        here[int(x.other == WORD)] += n
+                        here[2] += min(n, x.linked)
+                        here[3] += 1
+                        mine[2 + int(x.other == WORD)] += n
+                names = {}
                 for path, n in [("", 1), *found.items()]:
-                    name = digest(path) - (1 << 63)
-                    add(host, name, path, other.get(path, False), n, 0 if other.get(path) else size[path], page)
-                texts = Counter(text_token(x) for x in blocks)
-                for name, n in texts.items():
-                    add(host, name, None, False, n, 0, page)
+                    names[path] = name = digest(path) - (1 << 63)
+                    h = digest(f"{content} {n}")
+                    add(name, path, name, h >> 32, h & low, *size.get(path, (0, 0, 0, 0)))
+                for name, (n, path, plain, marked) in texts.items():
+                    if plain or marked:
+                        add(name, None, names[path], 0, 0, plain, marked, 0, 0)
+                ends.append(len(columns[0]))
+            fields = ["token", "path", "at", "one", "two", "plain", "marked", "linked", "blocks"]
+            made = pa.StructArray.from_arrays(
+                [pa.array(c, pa.string() if f == "path" else pa.int64()) for f, c in zip(fields, columns, strict=True)], fields)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(names, pa.int64()), pa.array(paths, pa.string()),
-                 pa.array(others, pa.bool_()), *[pa.array(x, pa.int64()) for x in (ones, twos, chars)]],
-                ["host", "token", "path", "other", "one", "two", "chars"])
+                [pa.array(hosts, pa.string()), pa.array(contents, pa.string()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)], ["host", "content", "tokens"])
 
-    return pages.mapInArrow(run, "host string, token bigint, path string, other boolean, one bigint, two bigint, "
-                                 "chars bigint")
+    made = pages.select("url", "html").mapInArrow(run, f"host string, content string, tokens array<{TOKEN}>")
+    return (made.groupBy("host", "content").agg(F.first("tokens").alias("tokens"))
+            .select("host", F.explode("tokens").alias("t")).select("host", "t.*"))
 
 
 def text_token(block: Block) -> int:
@@ -247,17 +281,18 @@ def templates(found: DataFrame, same_text_pages: int = SAME_TEXT_PAGES, class_to
     vectors = written(
         found.groupBy("host", "token").agg(
             F.count("*").alias("pages"), F.sum("one").alias("one"), F.sum("two").alias("two"),
-            F.first("path").alias("path"), F.min("other").alias("other"), F.sum("chars").alias("chars"))
+            F.first("path").alias("path"), F.first("at").alias("at"),
+            *[F.sum(c).alias(c) for c in ("plain", "marked", "linked", "blocks")])
         .filter("path is not null or pages > 1"), "vectors")
     roots = vectors.filter("path = ''").select("host", F.col("pages").alias("host_pages"),
                                                F.col("one").alias("root_one"), F.col("two").alias("root_two"))
-    # Texts that every page has once: the vector of the root.
+    # Texts that every page has.
     same = (vectors.filter(f"path is null and pages >= {same_text_pages}")
-            .join(roots, "host").filter("pages = host_pages and one = root_one and two = root_two")
+            .join(roots, "host").filter("pages = host_pages")
             .groupBy("host").agg(F.collect_list("token").alias("same")))
     # Elements that at least half of the pages have, by class.
     members = (vectors.filter("path is not null").join(roots, "host").filter("2 * pages >= host_pages")
-               .select("host", "path", "other", F.struct("pages", "one", "two").alias("class"),
+               .select("host", "path", F.struct("pages", "one", "two").alias("class"),
                        (F.struct("pages", "one", "two") == F.struct(
                            F.col("host_pages"), F.col("root_one"), F.col("root_two"))).alias("in_root"),
                        F.regexp_replace("path", "/[^/]*$", "").alias("parent")))
@@ -269,7 +304,7 @@ def templates(found: DataFrame, same_text_pages: int = SAME_TEXT_PAGES, class_to
         .filter(F.col("in_root") | ((F.col("tokens") >= class_tokens) & (F.col("parents") <= 1))))
     template = members.join(valid.select("host", "class"), ["host", "class"]).select("host", "path")
     # Each path's text goes to its nearest template element, its slot.
-    texts = vectors.filter("path is not null and not other and chars > 0").select("host", "path", "chars")
+    texts = vectors.filter("path is not null and plain > 0").select("host", "path", F.col("plain").alias("chars"))
     parts = F.split("path", "/")
     up = texts.withColumn("depth", F.explode(F.sequence(F.lit(1), F.size(parts)))).select(
         "host", F.col("path").alias("of"), "chars", "depth",
@@ -291,7 +326,7 @@ def main_text(blocks: list[Block], main: str | None, same: set[int]) -> str:
     """The blocks below ``main`` that are neither other regions' nor the
     template's; of a page without such blocks, all but other regions'; of a
     page that words mark as a whole, all that elements do not mark."""
-    kept = [b for b in blocks if not b.other and text_token(b) not in same]
+    kept = [b for b in blocks if not b.other and (text_token(b) not in same or ARTICLE.search(b.path))]
     if not any(not b.other for b in blocks):
         kept = [b for b in blocks if b.other < ELEMENT]
     inside = [b for b in kept if main is not None and (b.path + "/").startswith(main + "/")]

@@ -291,6 +291,20 @@ def test_html_attributes_do_not_hide_the_article(tag):
     assert html_text.main_text(blocks, None, set()) == "First one\nSecond two"
 
 
+@pytest.mark.parametrize("body", ["<article><h1>T</h1><p>Long story<p>Its end</article>", "<h1>T</h1><p>Long story<p>Its end"])
+def test_html_copies_of_a_page_keep_their_text(spark, body):
+    rows = [(i, f"http://h{n}.example/{i}", body) for n in (4, 5, 50, 5000) for i in range(n)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    got = html_text.extracted(pages).groupBy("host", "text").count().collect()
+    assert sorted((r["count"], r.text) for r in got) == [(n, "T\nLong story\nIts end") for n in (4, 5, 50, 5000)]
+
+
+def test_html_paragraph_of_all_pages_stays_in_the_article(spark):
+    rows = [(i, f"http://h.example/{i}", f"<div>Log in<article><h1>T{i}</h1><p>Same here<p>Own {i}</article>") for i in range(9)]
+    got = html_text.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"T{i}\nSame here\nOwn {i}" for i in range(9)}
+
+
 def test_empty_tables(no_docs, spark):
     for df in (exact_dedup.exact_dedup(no_docs), exact_dedup.without_copies(no_docs), simhash.simhash_groups(no_docs),
                bpe.token_counts(no_docs), token_store.stored(no_docs), packing.packed(no_docs), hmm.scored(no_docs),
