@@ -5,11 +5,19 @@ and classes, and its text blocks. A token's occurrence vector is how often each
 page of the same host has it; tokens with one vector form an equivalence class.
 Classes of enough tokens and pages whose tokens nest (all hang below one other
 class) make the host's template. What no template token covers is a slot: the
-text below its nearest template element. The slot with the most text over the
-host's pages, outside regions that are marked as something else, holds the
-article; text blocks of the template itself (the same text on every page, and
-not in an article element) are notices, not article. Copies of a page are one
-page for all this.
+text below its nearest template element. All slots whose texts differ between
+pages hold the article, wherever they stand; slots with the same texts on every
+page are notices, and slots of many short links are lists of links. Neither is
+dropped inside an article or main element. Where a host has too few pages to
+tell, the page's article element decides, else all its text is kept. Copies of
+a page are one page for all this; if a host's pages share more text than they
+differ in, they are near copies of an article and no text is a notice.
+
+Besides, fixed lists name elements (navigation, footers, forms) and words of
+class, id and role (advertisements, comments) that mark other regions. The
+template overrules the words where nearly all of a host's differing text stands
+in marked regions and none in an article element, and it keeps a header that
+differs between pages.
 
 Vectors are compared by two sums of hashes, so they are aggregated before they
 are shuffled, and a host with a third of all pages is no larger group than
@@ -37,6 +45,12 @@ from fleetlens.llm.common import written
 SAME_TEXT_PAGES = 5
 #: Tokens of a class in the template, at least.
 CLASS_TOKENS = 2
+#: A list of links: fewer characters a text than this, and more than one a page.
+LINK_CHARS = 50
+#: Words are overruled if marked text is more than so many times the plain one.
+OVERRULE = 4
+# What a slot is: texts differ; too few pages to tell; notices; links.
+VARIED, UNKNOWN, FIXED, LINKS = range(4)
 
 # HTML's elements by how they are parsed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -276,8 +290,8 @@ def text_token(block: Block) -> int:
 
 
 def templates(found: DataFrame, same_text_pages: int = SAME_TEXT_PAGES, class_tokens: int = CLASS_TOKENS) -> DataFrame:
-    """Per host: ``main``, the path of the slot that holds the article, and
-    ``same``, the tokens of the template's own texts."""
+    """Per host: ``slots``, the template's paths that have text, with what
+    each is, and ``overruled``, whether words do not mark other regions."""
     vectors = written(
         found.groupBy("host", "token").agg(
             F.count("*").alias("pages"), F.sum("one").alias("one"), F.sum("two").alias("two"),
@@ -286,13 +300,10 @@ def templates(found: DataFrame, same_text_pages: int = SAME_TEXT_PAGES, class_to
         .filter("path is not null or pages > 1"), "vectors")
     roots = vectors.filter("path = ''").select("host", F.col("pages").alias("host_pages"),
                                                F.col("one").alias("root_one"), F.col("two").alias("root_two"))
-    # Texts that every page has.
-    same = (vectors.filter(f"path is null and pages >= {same_text_pages}")
-            .join(roots, "host").filter("pages = host_pages")
-            .groupBy("host").agg(F.collect_list("token").alias("same")))
+    paths = vectors.filter("path is not null").join(roots, "host")
     # Elements that at least half of the pages have, by class.
-    members = (vectors.filter("path is not null").join(roots, "host").filter("2 * pages >= host_pages")
-               .select("host", "path", F.struct("pages", "one", "two").alias("class"),
+    members = (paths.filter("2 * pages >= host_pages")
+               .select("host", "path", "pages", F.struct("pages", "one", "two").alias("class"),
                        (F.struct("pages", "one", "two") == F.struct(
                            F.col("host_pages"), F.col("root_one"), F.col("root_two"))).alias("in_root"),
                        F.regexp_replace("path", "/[^/]*$", "").alias("parent")))
@@ -302,37 +313,74 @@ def templates(found: DataFrame, same_text_pages: int = SAME_TEXT_PAGES, class_to
     valid = (nested.groupBy("host", "class").agg(
         F.count("*").alias("tokens"), F.count_distinct(outside).alias("parents"), F.max("in_root").alias("in_root"))
         .filter(F.col("in_root") | ((F.col("tokens") >= class_tokens) & (F.col("parents") <= 1))))
-    template = members.join(valid.select("host", "class"), ["host", "class"]).select("host", "path")
+    template = members.join(valid.select("host", "class"), ["host", "class"]).select(
+        "host", "path", F.col("pages").alias("slot_pages"))
+    # Texts on every page that has their path.
+    same = (vectors.filter("path is null")
+            .join(paths.filter("2 * pages >= host_pages").select("host", "at", F.col("pages").alias("path_pages")), ["host", "at"])
+            .filter("pages = path_pages").groupBy("host", "at")
+            .agg(F.sum("plain").alias("same_plain"), F.sum("marked").alias("same_marked")))
     # Each path's text goes to its nearest template element, its slot.
-    texts = vectors.filter("path is not null and plain > 0").select("host", "path", F.col("plain").alias("chars"))
+    sums = ["plain", "marked", "linked", "blocks", "same_plain", "same_marked"]
+    texts = (paths.filter("plain + marked > 0").join(same, ["host", "at"], "left")
+             .select("host", "host_pages", "path", *[F.coalesce(c, F.lit(0)).alias(c) for c in sums]))
     parts = F.split("path", "/")
     up = texts.withColumn("depth", F.explode(F.sequence(F.lit(1), F.size(parts)))).select(
-        "host", F.col("path").alias("of"), "chars", "depth",
+        "host", "host_pages", F.col("path").alias("of"), "depth", *sums,
         F.array_join(F.slice(parts, F.lit(1), F.col("depth")), "/").alias("path"))
     slots = (up.join(template, ["host", "path"]).groupBy("host", "of")
-             .agg(F.max(F.struct("depth", "path", "chars")).alias("slot"))
-             .groupBy("host", F.col("slot.path").alias("path")).agg(F.sum("slot.chars").alias("chars")))
-    best = slots.groupBy("host").agg(F.max(F.struct("chars", F.length("path"), "path")).alias("best"))
-    # The article around the slot, if the page names one; for a paragraph or
-    # heading its parent.
-    path = F.col("best.path")
-    article = F.regexp_extract(path, r"^(.*?/(?:article|main)(?:\.[^/]*)?)(?:/|$)", 1)
-    leaf = F.regexp_replace(path, r"/(?:p|h[1-6]|blockquote|pre|li)(?:\.[^/]*)?$", "")
-    main = best.select("host", F.when(article != "", article).otherwise(leaf).alias("main"))
-    return written(main.join(same, "host", "left"), "templates")
-
-
-def main_text(blocks: list[Block], main: str | None, same: set[int]) -> str:
-    """The blocks below ``main`` that are neither other regions' nor the
-    template's; of a page without such blocks, all but other regions'; of a
-    page that words mark as a whole, all that elements do not mark."""
-    kept = [b for b in blocks if not b.other and (text_token(b) not in same or ARTICLE.search(b.path))]
-    if not any(not b.other for b in blocks):
-        kept = [b for b in blocks if b.other < ELEMENT]
-    inside = [b for b in kept if main is not None and (b.path + "/").startswith(main + "/")]
-    if not inside:
-        inside = [b for b in kept if "/article" in b.path or "/main" in b.path] or kept
-    return "\n".join(b.text for b in inside)
+             .agg(F.max(F.struct("depth", "path", "slot_pages", "host_pages", *sums)).alias("slot"))
+             .groupBy("host", "slot.path", "slot.slot_pages", "slot.host_pages")
+             .agg(*[F.sum(f"slot.{c}").alias(c) for c in sums])
+             .withColumn("in_article", F.col("path").rlike(ARTICLE.pattern))
+             .withColumn("links", F.expr(
+                 f"not in_article and not path rlike '/h[1-6](?:[.][^/]*)?$' and 5 * linked >= 4 * (plain + marked) "
+                 f"and blocks >= 2 * slot_pages and plain + marked < {LINK_CHARS} * blocks"))
+             .withColumn("same", F.expr("same_plain + same_marked >= plain + marked")))
+    kind = (F.when(F.col("links"), LINKS).when(F.col("host_pages") < 2, UNKNOWN).when(~F.col("same"), VARIED)
+            .when(F.col("host_pages") < same_text_pages, UNKNOWN).otherwise(FIXED))
+    per_host = (slots.groupBy("host").agg(
+        F.max("host_pages").alias("host_pages"),
+        F.collect_list(F.struct("path", kind.alias("kind"))).alias("slots"),
+        F.sum(F.expr("if(links, 0, plain - same_plain)")).alias("plain"),
+        F.sum(F.expr("if(links, 0, marked - same_marked)")).alias("marked"),
+        F.sum(F.expr("if(same and not links and not in_article, same_plain, 0)")).alias("fixed"),
+        F.max(F.expr("in_article and plain > 0")).alias("has_article")))
+    # Pages that share more than they differ in are near copies.
+    copies = F.col("fixed") > F.col("plain") + F.col("marked")
+    known = F.transform("slots", lambda x: F.struct(x["path"].alias("path"), F.when(
+        copies & (x["kind"] == FIXED), UNKNOWN).otherwise(x["kind"]).alias("kind")))
+    overruled = (~F.col("has_article") & (F.col("host_pages") >= same_text_pages)
+                 & (F.col("marked") > OVERRULE * F.col("plain")))
+    return written(per_host.select("host", known.alias("slots"), overruled.alias("overruled")), "templates")
+
+
+def main_text(blocks: list[Block], slots: dict[str, int], overruled: bool = False) -> str:
+    """The blocks that are neither other regions' nor in a slot of notices or
+    links; of a page without such blocks, all but other regions'; of a page
+    that words mark as a whole, all that elements do not mark."""
+    kinds: dict[str, tuple[int, bool]] = {}
+    for b in blocks:
+        if b.path not in kinds:
+            at = b.path
+            while at and at not in slots:
+                at = at.rpartition("/")[0]
+            kinds[b.path] = slots.get(at, UNKNOWN), ARTICLE.search(b.path) is not None
+    articles = [b.other for b in blocks if b.other < ELEMENT and kinds[b.path][1]]
+    # An article in a marked region is the page's, if it is the only one.
+    lost = bool(articles) and min(articles) == WORD
+
+    def holds(b: Block) -> bool:
+        kind, inside = kinds[b.path]
+        if b.other == ELEMENT or (b.other == WORD and not overruled and not (lost and inside)):
+            return False
+        if b.other == HEADER and kind != VARIED:
+            return False
+        return inside or kind == VARIED or (kind == UNKNOWN and not articles)
+
+    kept = ([b for b in blocks if holds(b)] or [b for b in blocks if b.other == PLAIN]
+            or [b for b in blocks if b.other < ELEMENT])
+    return "\n".join(b.text for b in kept)
 
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
@@ -348,12 +396,16 @@ def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", sour
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))),
                             r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     joined = rows.withColumn("host", host).join(learned, "host", "left").select(
-        "page_id", "url", "html", "host", "main", "same")
+        "page_id", "url", "html", "host", "slots", "overruled")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(parse(h or "")[0], main, set(same or ()))
-                     for h, main, same in zip(*(b.column(i).to_pylist() for i in (2, 4, 5)), strict=True)]
+            known: dict[str, dict[str, int]] = {}  # a host's slots are read once a batch
+            texts = []
+            for i, (h, host, overruled) in enumerate(zip(*(b.column(k).to_pylist() for k in (2, 3, 5)), strict=True)):
+                if host not in known:
+                    known[host] = {x["path"]: x["kind"] for x in b.column(4)[i].as_py() or ()}
+                texts.append(main_text(parse(h or "")[0], known[host], bool(overruled)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64()), b.column(3)],

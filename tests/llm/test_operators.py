@@ -288,7 +288,7 @@ def test_html_text(spark):
     "div class='widget'", "form id='all'", "body class='menu'"])
 def test_html_attributes_do_not_hide_the_article(tag):
     blocks, _ = html_text.parse(f"<{tag}><p>First one<p>Second two</{tag.split()[0]}><p hidden>No</p><nav>No</nav>")
-    assert html_text.main_text(blocks, None, set()) == "First one\nSecond two"
+    assert html_text.main_text(blocks, {}) == "First one\nSecond two"
 
 
 @pytest.mark.parametrize("body", ["<article><h1>T</h1><p>Long story<p>Its end</article>", "<h1>T</h1><p>Long story<p>Its end"])
@@ -305,6 +305,40 @@ def test_html_paragraph_of_all_pages_stays_in_the_article(spark):
     assert {r.page_id: r.text for r in got} == {i: f"T{i}\nSame here\nOwn {i}" for i in range(9)}
 
 
+NOTICE = "<div class='legal'>All rights</div><div class='list'><p><a href='/'>Home</a><p><a href='/x'>News {0}</a></div>"
+LAYOUTS = {
+    "title.example": ("<div class='post'><h1>T{0}</h1><div class='body'><p>One {0}<p>Two {0} and more of it</div></div>",
+                      "T{0}\nOne {0}\nTwo {0} and more of it"),
+    "parts.example": ("<div class='intro'>Intro {0}</div><div class='body'><p>Main {0}</div><div class='body'><p>More {0}</div>"
+                      "<div class='end'>End {0}</div>", "Intro {0}\nMain {0}\nMore {0}\nEnd {0}"),
+    "table.example": ("<h2><a href='/{0}'>T{0}</a></h2><p>Before {0}<table><tr><td>A long cell of page {0}<td>And one more, {0}"
+                      "</table><p>After {0}", "T{0}\nBefore {0}\nA long cell of page {0}\nAnd one more, {0}\nAfter {0}"),
+    "outside.example": ("<h1>T{0}</h1><article><p>One {0}</article>", "T{0}\nOne {0}"),
+    "marked.example": ("<h1>T{0}</h1><div class='widget'><p>A long text of the page {0}, all of it</div>",
+                       "T{0}\nA long text of the page {0}, all of it")}
+
+
+def test_html_all_slots_that_vary_are_kept(spark):
+    rows, want = [], {}
+    for host, (body, text) in LAYOUTS.items():
+        for i in range(12):
+            url = f"http://{host}/{i}"
+            rows.append((i, url, f"<body>{body.format(i)}{NOTICE.format(i)}</body>"))
+            want[url] = text.format(i)
+    two = [LAYOUTS["title.example"], LAYOUTS["parts.example"], LAYOUTS["table.example"]]
+    for i in range(30):  # layouts of different shares
+        body, text = two[0 if i < 18 else 1 if i < 26 else 2]
+        url = f"http://mixed.example/{i}"
+        rows.append((i, url, f"<body>{body.format(i)}</body>"))
+        want[url] = text.format(i)
+    for i in range(8):  # near copies
+        url = f"http://near.example/{i}"
+        rows.append((i, url, f"<h1>Title</h1><p>A long story, the same on all pages<div class='when'>At {i}</div>"))
+        want[url] = f"Title\nA long story, the same on all pages\nAt {i}"
+    got = html_text.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.url: r.text for r in got} == want
+
+
 def test_empty_tables(no_docs, spark):
     for df in (exact_dedup.exact_dedup(no_docs), exact_dedup.without_copies(no_docs), simhash.simhash_groups(no_docs),
                bpe.token_counts(no_docs), token_store.stored(no_docs), packing.packed(no_docs), hmm.scored(no_docs),
