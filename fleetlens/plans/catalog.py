@@ -101,6 +101,20 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SF.filter_manifest(remote, ".zip").select("path", "size")
 
 
+def whole_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#6: the .zip entries of the manifest of all documents."""
+    return SF.filter_manifest(Views(spark, sf_dir).local_files, ".zip").select("path", "size")
+
+
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#6: all documents written as text files below a folder per source, the
+    files listed; their bytes per folder."""
+    path = FX.write_text_files(spark, Views(spark, sf_dir).documents)
+    files = SF.list_files(spark, path, glob="*.txt")
+    source = F.regexp_extract("path", r"/source=([^/]*)/", 1)
+    return files.groupBy(source.alias("source")).agg(F.sum("size").alias("bytes"))
+
+
 def killable_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#7: apps named etl that are not in a terminal state."""
     return A.select_killable(Views(spark, sf_dir).apps, name="etl")
@@ -284,6 +298,8 @@ QUERIES: dict[str, Query] = {
     "log_html": log_html,
     "site_config": site_config,
     "file_manifest": file_manifest,
+    "whole_manifest": whole_manifest,
+    "listed_files": listed_files,
     "killable_apps": killable_apps,
     "container_status": container_status,
     "log_search": log_search,

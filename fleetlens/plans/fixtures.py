@@ -134,6 +134,15 @@ def write_site_xml(spark: SparkSession, raw_config: DataFrame) -> str:
     return path
 
 
+def write_text_files(spark: SparkSession, documents: DataFrame) -> str:
+    """Documents as text files, a line end after each, in a folder per source:
+    at most one file per write task and source."""
+    path = scratch_path(spark, "text-files")
+    (documents.select("source", "text").write.partitionBy("source")
+     .option("compression", "none").text(path))
+    return path
+
+
 ROWS_PER_FILE = 1_000_000
 
 

@@ -123,6 +123,12 @@ FROM pages"""
     q["file_manifest"] = with_views(
         "SELECT path, size FROM remote_files WHERE ends_with(path, '.zip')", "remote_files")
 
+    q["whole_manifest"] = with_views(
+        "SELECT path, size FROM local_files WHERE ends_with(path, '.zip')", "local_files")
+
+    q["listed_files"] = """
+SELECT source, CAST(sum(coalesce(strlen(text), 0) + 1) AS BIGINT) AS bytes FROM documents GROUP BY source"""
+
     q["killable_apps"] = with_views(f"""
 SELECT app_id, state FROM apps
 WHERE name = 'etl' AND (state IS NULL OR state NOT IN {TERMINAL})""", "apps")

@@ -97,3 +97,14 @@ def test_file_listing_is_metadata_only(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
     all_files = SF.filter_manifest(SF.list_files(spark, str(tmp_path)), ".txt")
     assert [r.size for r in all_files.collect()] == [1]
+
+
+def test_manifest_queries_cover_all_documents(spark):
+    from conftest import SF_SMALL
+    from fleetlens.plans.catalog import QUERIES
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert QUERIES["whole_manifest"](spark, SF_SMALL).count() == docs.filter("doc_id % 4 = 0").count()
+    want = {r["source"]: r["n"] for r in docs.groupBy("source").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()}
+    listed = {r["source"]: r["bytes"] for r in QUERIES["listed_files"](spark, SF_SMALL).collect()}
+    assert set(listed) == set(want) and all(listed[s] > want[s] for s in want)
