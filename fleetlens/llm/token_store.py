@@ -266,7 +266,8 @@ def read_store(manifest: DataFrame, folder: str) -> DataFrame:
                 [pa.array(shard.doc_ids, mask=null), pa.array(starts + row["before"]), pa.array(sizes),
                  pa.array(crcs)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return (shards.repartition("shard").select("name", "before")
+    # A task per shard: adaptive execution merges no partitions of a given number.
+    return (shards.repartitionByRange(max(1, manifest.count()), "shard").select("name", "before")
             .mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"))
 
 

@@ -127,6 +127,21 @@ def test_token_store(docs, spark):
     assert all(token_store.Shard(f"{folder}/{m['name']}").get(987654) is None for m in manifest)
 
 
+def test_token_store_is_read_by_a_task_per_shard(spark):
+    from pyspark.sql import functions as F
+
+    folder = scratch_path(spark, "store")
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several small shards
+    try:
+        manifest = token_store.write_store(docs, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.count() > 1
+    got = token_store.read_store(manifest, folder).groupBy(F.spark_partition_id()).count().collect()
+    assert len(got) == manifest.count() and sum(r["count"] for r in got) == 20000
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 20000])
 def test_perfect_hash_is_minimal(n):
     keys = token_store.hashed(np.arange(n, dtype=np.int64) * 7, np.zeros(n, np.int64))
