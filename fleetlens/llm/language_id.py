@@ -114,12 +114,27 @@ class Segmenter:
         for end in range(n, 0, -1):
             for start, _, p in edges[end]:
                 backward[start] += p[0] * backward[end]
-        if forward[n] > 0:  # else the word is too long for this; it is not learnt from
+        if forward[n] > 1e-290:
             for end in range(1, n + 1):
                 for start, piece, p in edges[end]:
                     uses = forward[start] * p[0] * backward[end] / forward[n]
                     for name in [piece] if piece else [f"<0x{b:02X}>" for b in marked[start].encode()]:
                         yield name, uses
+            return
+        # Below a double's range: the same sums of logarithms.
+        forward, backward = [0.0] + [-math.inf] * n, [-math.inf] * n + [0.0]
+        logs = [[(start, piece, math.log(p[0])) for start, piece, p in edges[end] if p[0] > 0] for end in range(n + 1)]
+        for end in range(1, n + 1):
+            forward[end] = float(np.logaddexp.reduce([-math.inf, *(forward[start] + p for start, _, p in logs[end])]))
+        for end in range(n, 0, -1):
+            for start, _, p in logs[end]:
+                backward[start] = float(np.logaddexp(backward[start], p + backward[end]))
+        if forward[n] > -math.inf:  # else no segmentation is possible
+            for end in range(1, n + 1):
+                for start, piece, p in logs[end]:
+                    uses = math.exp(forward[start] + p + backward[end] - forward[n])
+                    for name in [piece] if piece else [f"<0x{b:02X}>" for b in marked[start].encode("utf-8", "replace")]:
+                        yield name, uses
 
 
 class LanguageModel:

@@ -250,6 +250,23 @@ def test_segmentations_are_summed():
         assert scorer._new([word, "b"])[0][0] == pytest.approx(want)
 
 
+def test_long_words_are_learnt_from():
+    low = 1 / 32000
+    bytes_of = {f"<0x{b:02X}>": (low,) for b in range(256)}
+    s = language_id.Segmenter({"▁": (low,), "a": (low,), "b": (low,), "ab": (low,), **bytes_of}, 1)
+    for word in ("日本語文" * 20, "ab" * 400, "日ab本" * 300):
+        uses = Counter()
+        for piece, x in s.expected(word):
+            uses[piece] += x
+        covered = sum(x * (1 / 3 if p.startswith("<0x") else len(p)) for p, x in uses.items())
+        assert uses["▁"] == pytest.approx(1) and covered == pytest.approx(len(word) + 1)
+    short, long = (Counter() for _ in range(2))
+    for found, n in ((short, 4), (long, 400)):
+        for piece, x in s.expected("abé" * n):
+            found[piece] += x / n
+    assert all(long[p] == pytest.approx(short[p]) for p in ("a", "b", "ab", "<0xC3>"))
+
+
 def test_hmm_scores(docs):
     got = hmm.scored(docs).collect()
     want = brute.unigram_rows(texts())
