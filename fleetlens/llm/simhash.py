@@ -14,9 +14,11 @@ within 2 bits of the other, so the pair meets. At each anchor fingerprints are
 compared in all 64 bits.
 
 Copies are gone before that (a fingerprint is one row however many documents
-have it). An anchor with many distinct fingerprints is dealt out again by the
-pieces of all 64 bits: cut into ``max_distance + 1`` pieces, a linked pair
-agrees in at least one. Of a group of over 16 fingerprints only a spanning
+have it). An anchor with many distinct fingerprints is dealt out again by
+pieces of the bits that it does not cover: cut into ``max_distance + 1`` pieces,
+a linked pair agrees in at least one. Groups that are still large are dealt out
+by pieces of the bits left over, and so on until too few bits are left; what
+then shares a group differs in few bits that are not held fast. Of a group of over 16 fingerprints only a spanning
 forest of its links is reported, not all pairs.
 """
 
@@ -223,21 +225,62 @@ def compare_groups(rows: DataFrame, keys: list[str], max_distance: int, crowd: i
             .mapInArrow(run, "a bigint, b bigint, key bigint"))
 
 
+def free_bits(deal: int, max_distance: int) -> list[int]:
+    """The bits that neither the anchor covers nor a piece has fixed, of a
+    group's deal: its block, and from it the pieces' numbers (from 1) as digits."""
+    blocks, n = blocks_of(max_distance), max_distance + 2
+    deal, block = divmod(deal, len(blocks))
+    first, width = blocks[block]
+    covered = range(first, first + (1 << ((width + 1).bit_length() - 1)) - 1)
+    free = [b for b in range(64) if b not in covered]
+    while deal:
+        deal, piece = divmod(deal, n)
+        fixed = pieces_of(free, max_distance)[piece - 1]
+        free = [b for b in free if b not in fixed]
+    return free
+
+
+def pieces_of(free: list[int], max_distance: int) -> list[list[int]]:
+    cuts = [len(free) * i // (max_distance + 1) for i in range(max_distance + 2)]
+    return [free[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def dealt_again(crowded: DataFrame, level: int, max_distance: int) -> DataFrame:
+    """Each fingerprint of a crowded group (deal, anchor) at each piece of the
+    group's free bits: deal, anchor, fp. The new anchor is a hash of the group
+    and the piece's bits (groups that share one are compared in all bits)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = len(blocks_of(max_distance)) * (max_distance + 2) ** level
+        for b in batches:
+            deals, anchors, fps = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            for deal in np.unique(deals).tolist():
+                at = deals == deal
+                for i, bits in enumerate(pieces_of(free_bits(deal, max_distance), max_distance), 1):
+                    part = (fps[at].view(np.uint64) & np.uint64(sum(1 << x for x in bits))).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(at.sum(), deal + i * step, dtype=np.int64)), pa.array(anchors[at]),
+                         pa.array(part), pa.array(fps[at])], ["deal", "anchor", "part", "fp"])
+
+    return (crowded.select("deal", "anchor", "fp").mapInArrow(run, "deal bigint, anchor bigint, part bigint, fp bigint")
+            .select("deal", F.xxhash64("deal", "anchor", "part").alias("anchor"), "fp"))
+
+
 def fingerprint_links(distinct: DataFrame, max_distance: int = MAX_DISTANCE, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) of at most ``max_distance`` bits, enough of them to join
     whatever distinct ``fp`` such links can join."""
     met = written(compare_groups(at_anchors(distinct, max_distance), ["block", "anchor"], max_distance, crowd),
                   "anchors")
-    cuts = [64 * i // (max_distance + 1) for i in range(max_distance + 2)]
-    pieces = F.array(*[
-        F.struct(F.lit(i).cast("long").alias("piece"),
-                 F.shiftrightunsigned("fp", low).bitwiseAND((1 << (high - low)) - 1).alias("part"))
-        for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False))])
-    crowded = (met.filter("key is not null")
-               .select(F.col("key").alias("block"), F.col("b").alias("anchor"), F.col("a").alias("fp"))
-               .withColumn("x", F.explode(pieces)).select("block", "anchor", "x.piece", "x.part", "fp"))
-    again = compare_groups(crowded, ["block", "anchor", "piece", "part"], max_distance, None)
-    return met.filter("key is null").select("a", "b").union(again.select("a", "b"))
+    links, level = met.filter("key is null").select("a", "b"), 0
+    left = max(len(free_bits(i, max_distance)) for i in range(len(blocks_of(max_distance))))
+    while left > max_distance and not met.filter("key is not null").isEmpty():
+        crowded = met.filter("key is not null").select(
+            F.col("key").alias("deal"), F.col("b").alias("anchor"), F.col("a").alias("fp"))
+        left -= left // (max_distance + 1)
+        met = written(compare_groups(dealt_again(crowded, level, max_distance), ["deal", "anchor"], max_distance,
+                                     crowd if left > max_distance else None), "anchors")
+        links, level = links.union(met.filter("key is null").select("a", "b")), level + 1
+    return links
 
 
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,

@@ -78,6 +78,25 @@ def test_simhash_links_of_close_fingerprints(spark):
         assert brute.joined(fps, pairs) == want
 
 
+def test_simhash_crowd_of_one_half_is_dealt_in_small_groups(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    half = 0x12345678
+    fps = {half | int(x) << 32 for x in rng.integers(0, 1 << 20, 3000)} | {half ^ 1 << 5 | int(x) << 32 for x in range(300)}
+    fps = sorted(fps)
+    seen = []
+    compare = simhash.compare_groups
+
+    def noted(rows, keys, *more):
+        seen.append(rows.groupBy(*keys).count().agg({"count": "max"}).first()[0])
+        return compare(rows, keys, *more)
+
+    monkeypatch.setattr(simhash, "compare_groups", noted)
+    df = spark.createDataFrame([(f,) for f in fps], "fp bigint")
+    links = simhash.fingerprint_links(df, 2, 64).collect()
+    assert brute.joined(fps, [(r.a, r.b) for r in links]) == brute.components(fps, 2)
+    assert seen[0] > 2000 and seen[-1] <= 500 and len(seen) > 2
+
+
 def test_every_pair_within_the_threshold_shares_an_anchor():
     rng = np.random.default_rng(5)
     for word in rng.integers(0, 1 << 63, 3, dtype=np.uint64).tolist():
