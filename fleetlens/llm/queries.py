@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, exact_dedup, fingerprint, hmm, html_text, language_id, packing, pieces, simhash, token_store
+from fleetlens.llm import (
+    bpe, divergence, exact_dedup, fingerprint, hmm, html_text, language_id, packing, pieces, runs, secret_scan, simhash,
+    token_store)
 from fleetlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their terms."""
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents, a tenth with a repeating tail."""
+    return runs.run_digests(documents(spark, sf_dir))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secret_scan.secret_digests(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -72,4 +89,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_html_text, op2_sentencepiece, op3_simhash, op4_token_counts, op5_token_store, op6_best_fit_packing, op7_exact_dedup, op8_fingerprints,
-    op9_hmm_score, op10_language_id, pipeline)}
+    op9_hmm_score, op10_language_id, op11_source_divergence, op12_periodic_runs, op13_secret_scan, pipeline)}
