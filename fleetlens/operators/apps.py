@@ -8,15 +8,23 @@ running sums that cut only hot applications into time slices.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+import fleetlens.operators.udf  # noqa: F401  (package functions pickle by value)
 from fleetlens.functions import ids
 from fleetlens.functions.running import running_sums
 from fleetlens.session import materialize
 
 # The terminal application states.
 TERMINAL_STATES = ("FINISHED", "FAILED", "KILLED")
+LINE_END = re.compile("\n")
 
 
 def is_terminal(state: Column) -> Column:
@@ -62,6 +70,51 @@ def search_logs(logs: DataFrame, needle: str, id_col: str = "container_id") -> D
             .filter(F.col("n_lines") > 0))
 
 
+def search_many(logs: DataFrame, needles: Sequence[str], id_col: str = "container_id") -> DataFrame:
+    """``id_col, log_type, needle, n_lines``: for every needle at once, the
+    lines of a log that have it (overlapping needles each count; a line counts
+    once a needle). Logs without a needle give no row for it, nor do null logs.
+
+    One pass of an automaton over each log finds all needles together, however
+    many they are; ``search_logs`` reads every line once a needle. Needles are
+    parameters of the query, not data; an empty one, or one with a line end, is an
+    error.
+    """
+    wanted = list(dict.fromkeys(needles))
+    if not wanted or not all(wanted) or any("\n" in n for n in wanted):
+        raise ValueError("needles must be non-empty and without line ends")
+    src = logs.select(id_col, "log_type", "content")
+    schema = T.StructType([*src.schema.fields[:2], T.StructField("needle", T.StringType()),
+                           T.StructField("n_lines", T.IntegerType())])
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for i, n in enumerate(wanted):
+            automaton.add_word(n, i)
+        automaton.make_automaton()
+        names = pa.array(wanted)
+        for b in batches:
+            row, needle, count = [], [], []
+            for r, text in enumerate(b.column(2).to_pylist()):
+                found = np.array(list(automaton.iter(text or "")), np.int64).reshape(-1, 2)
+                if len(found):
+                    ends = np.array([m.start() for m in LINE_END.finditer(text)], np.int64)
+                    line = np.searchsorted(ends, found[:, 0])
+                    which, n = np.unique(np.unique(found[:, 1] * (len(ends) + 1) + line) // (len(ends) + 1),
+                                         return_counts=True)
+                    row += [r] * len(which)
+                    needle += which.tolist()
+                    count += n.tolist()
+            kept = b.take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [kept.column(0), kept.column(1), names.take(pa.array(needle, pa.int64())), pa.array(count, pa.int32())],
+                names=schema.names)
+
+    return src.mapInArrow(hits, schema)
+
+
 # --- aggregates ------------------------------------------------------------
 
 def state_counts(apps: DataFrame) -> DataFrame:
@@ -76,8 +129,31 @@ def with_app_id(containers: DataFrame, key: str = "application") -> DataFrame:
     return containers.withColumn("app_id", ids.application_id(F.col("container_id")))
 
 
-def completion_summary(containers: DataFrame, key: str = "application") -> DataFrame:
-    """Requested, completed and failed containers per application.
+def well_formed(containers: DataFrame, observed: Observation | None = None) -> DataFrame:
+    """The rows whose container id has a container id's form; others (null
+    ids too) belong to no application. ``observed`` gets ``n_rows`` and
+    ``n_malformed`` of whatever action runs the result; ``malformed`` gives the rows."""
+    ok = F.coalesce(ids.is_container_id(F.col("container_id")), F.lit(False))
+    if observed is not None:
+        containers = containers.observe(observed, F.count(F.lit(1)).alias("n_rows"), F.count_if(~ok).alias("n_malformed"))
+    return containers.filter(ok)
+
+
+def malformed(containers: DataFrame) -> DataFrame:
+    """``container_id, n, reason`` of the ids that have not the form: what the
+    aggregates by application leave out. Partial counts by id, so that one id in
+    many rows is reduced before the shuffle."""
+    cid = F.col("container_id")
+    reason = (F.when(cid.isNull(), "null").when(~cid.startswith("container_"), "prefix")
+              .when(F.size(F.split(cid, "_")) < 5, "parts").otherwise("form"))
+    return (containers.filter(~F.coalesce(ids.is_container_id(cid), F.lit(False)))
+            .groupBy("container_id").agg(F.count(F.lit(1)).alias("n")).withColumn("reason", reason))
+
+
+def completion_summary(containers: DataFrame, key: str = "application",
+                       observed: Observation | None = None) -> DataFrame:
+    """Requested, completed and failed containers per application. Malformed
+    ids count for no application (``well_formed``).
 
     ``final_status`` follows the master's completion callback: FAILED once
     every requested container completed and at least one failed; UNDEFINED
@@ -85,7 +161,7 @@ def completion_summary(containers: DataFrame, key: str = "application") -> DataF
     status there); RUNNING while some are outstanding. One hash aggregate
     with map-side partial counts.
     """
-    c = with_app_id(containers.select("container_id", "completed", "exit_status"), key)
+    c = with_app_id(well_formed(containers.select("container_id", "completed", "exit_status"), observed), key)
     done = F.col("completed") == 1
     agg = c.groupBy("app_id").agg(
         F.count(F.lit(1)).alias("requested"),
@@ -110,33 +186,36 @@ def progress(summary: DataFrame) -> DataFrame:
 
 def latest_attempt_containers(containers: DataFrame) -> DataFrame:
     """Ids of the containers of each application's last attempt, sorted and
-    joined by ``,``. One shuffle on the application: the window finds the
-    last attempt and the aggregate that follows reuses its partitioning. The
-    output row of an application holds all of its ids by definition."""
-    c = with_app_id(containers).select(
+    joined by ``,``. Ids are gathered by attempt, after a partial aggregate, and
+    the last attempt of an application is the maximum of its attempts' rows; no
+    task sorts or holds an application's earlier attempts beside it. The output
+    row of an application holds all ids of its last attempt by definition.
+    Malformed ids are left out."""
+    c = with_app_id(well_formed(containers)).select(
         "app_id", "container_id", ids.attempt(F.col("container_id")).alias("attempt"))
-    w = Window.partitionBy("app_id")
-    last = c.withColumn("_last", F.max("attempt").over(w)).filter(F.col("attempt") == F.col("_last"))
-    return last.groupBy("app_id").agg(
-        F.array_join(F.array_sort(F.collect_list("container_id")), ",").alias("ids"))
+    last = c.groupBy("app_id").agg(F.max("attempt").alias("attempt"))
+    return (c.join(last, ["app_id", "attempt"]).groupBy("app_id")
+            .agg(F.array_join(F.array_sort(F.collect_list("container_id")), ",").alias("ids")))
 
 
-def used_containers(containers: DataFrame) -> DataFrame:
-    c = with_app_id(containers)
+def used_containers(containers: DataFrame, observed: Observation | None = None) -> DataFrame:
+    """Containers still in use per application. Malformed ids are left out."""
+    c = with_app_id(well_formed(containers, observed))
     return c.groupBy("app_id").agg(F.count_if(F.col("completed") == 0).alias("n_used"))
 
 
 # --- ordering and latest values ---------------------------------------------
 
-def worker_containers(containers: DataFrame) -> DataFrame:
+def worker_containers(containers: DataFrame, observed: Observation | None = None) -> DataFrame:
     """All containers but the first id of each application (the master's).
+    Malformed ids are neither workers nor masters.
 
     The first id per app comes from a partial (map-side) ``min``, so a hot
     application is reduced before the shuffle, and is removed by an anti join
     on the unique container id instead of a window over each application.
     (``min`` of a string is a sort-based aggregate in Spark.)
     """
-    c = with_app_id(containers).select("container_id", "app_id")
+    c = with_app_id(well_formed(containers.select("container_id"), observed))
     first = c.groupBy("app_id").agg(F.min("container_id").alias("container_id")).select("container_id")
     return c.join(first, on="container_id", how="left_anti")
 

@@ -32,13 +32,14 @@ def host_port_rollup(df: DataFrame, addr_col: str = "url") -> DataFrame:
             .groupBy("host", "port").agg(F.count(F.lit(1)).alias("n")))
 
 
-def resolve_layers(rows: DataFrame, key: str = "key") -> DataFrame:
+def resolve_layers(rows: DataFrame, key: str = "key", by: tuple[str, ...] = ()) -> DataFrame:
     """The winning value per key when layers override each other: highest
-    ``priority`` wins, then the latest ``seq`` within a layer. Map-side
-    ``max_by``; a hot key is reduced before the shuffle."""
-    return (rows.groupBy(key)
+    ``priority`` wins, then the latest ``seq`` within a layer (of any type that
+    has an order). ``by`` names columns that keys belong to, such as a cluster.
+    Map-side ``max_by``; a hot key is reduced before the shuffle."""
+    return (rows.groupBy(*by, key)
             .agg(F.max_by(F.struct("layer", "value"), F.struct("priority", "seq")).alias("_w"))
-            .select(key, "_w.layer", "_w.value"))
+            .select(*by, key, "_w.layer", "_w.value"))
 
 
 def derive_parameters(raw: DataFrame, universe: DataFrame, cluster_key: str = "cluster_key",
@@ -49,18 +50,26 @@ def derive_parameters(raw: DataFrame, universe: DataFrame, cluster_key: str = "c
     The web-app address wins over the host name and also gives the port; an
     address without a port leaves ``rm_port`` null, as in the reference.
     Defaults: localhost, 8088, 8090, 3.
+
+    Where a key repeats in a cluster the last one wins: rows with ``priority``
+    and ``seq`` are resolved by ``resolve_layers`` first. Without them no order is
+    known; then the greatest text wins, and the greatest number for replication.
     """
     keys = [KEY_HOSTNAME, KEY_WEBAPP, KEY_WEBAPP_HTTPS, KEY_REPLICATION]
-    wide = (raw.filter(F.col("key").isin(*keys))
-            .groupBy(cluster_key)
-            .agg(*[F.max(F.when(F.col("key") == k, F.col("value"))).alias(f"_k{i}")
-                   for i, k in enumerate(keys)]))
+    raw = raw.filter(F.col("key").isin(*keys))
+    if {"priority", "seq"} <= set(raw.columns):
+        layer = F.col("layer") if "layer" in raw.columns else F.lit(None).cast("string")
+        raw = resolve_layers(raw.withColumn("layer", layer), by=(cluster_key,))
+    of = {k: F.when(F.col("key") == k, F.col("value")) for k in keys}
+    wide = raw.groupBy(cluster_key).agg(
+        *[F.max(of[k]).alias(f"_k{i}") for i, k in enumerate(keys[:3])],
+        F.max(F.trim(of[KEY_REPLICATION]).try_cast("int")).alias("_k3"))
     hostname, webapp, https, repl = (F.col(f"_k{i}") for i in range(4))
     u = universe.select(F.col(universe_key)).join(
         wide.withColumnRenamed(cluster_key, universe_key), on=universe_key, how="left")
     rm = F.when(webapp.isNotNull(), host_of(webapp)).otherwise(F.coalesce(hostname, F.lit(DEFAULT_RM)))
     rm_port = F.when(webapp.isNotNull(), port_of(webapp)).otherwise(F.lit(DEFAULT_RM_PORT))
     rm_port_https = F.when(https.isNotNull(), port_of(https)).otherwise(F.lit(DEFAULT_RM_PORT_HTTPS))
-    rf = F.coalesce(repl.try_cast("int"), F.lit(DEFAULT_REPLICATION))
+    rf = F.coalesce(repl, F.lit(DEFAULT_REPLICATION))
     return u.select(universe_key, rm.alias("rm"), rm_port.alias("rm_port"),
                     rm_port_https.alias("rm_port_https"), rf.alias("replication_factor"))

@@ -5,12 +5,16 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import fleetlens.operators.udf  # noqa: F401  (package functions pickle by value)
+from fleetlens.session import materialize
 
 
 def base_name(path: Column) -> Column:
@@ -77,44 +81,70 @@ def set_fingerprint(df: DataFrame, group: str, item: str, out: str = "fp",
     Items are taken as strings. Null items count for nothing; a group without
     any other item has the hash of the empty text. A null group is one group.
 
-    SHA-1 is not mergeable, so the items of a group must pass one hasher in
-    order; they are never gathered into one row. Distinct (group, item)
-    pairs come from a hash aggregate (map-side dedup), are hash-partitioned
-    by group and sorted within partitions (spillable), and each partition's
-    rows stream through ``hashlib`` in Arrow batches with O(batch) memory.
-    A hot group is sequential by nature of the hash, but it streams.
+    SHA-1 is not mergeable: the bytes of a group must pass one hasher in order.
+    All else is spread. Distinct (group, item) pairs come from a hash aggregate
+    and are written; they are dealt by ranges of (group, item), so a hot group
+    spans as many tasks as it needs, and each task joins the items of a group into
+    chunks of bytes, an Arrow batch at a time, without touching single items. Only
+    the chunks, a few large rows, meet by group, where a task hashes one after the
+    other.
     """
     last = F.lit(False) if channel is None else F.coalesce(F.col(channel), F.lit(False))
     pairs = df.select(F.col(group).alias("_g"), last.alias("_c"), F.col(item).cast("string").alias("_i")).distinct()
-    ordered = pairs.repartition("_g").sortWithinPartitions("_g", "_c", "_i")
-    schema = T.StructType([df.schema[group], T.StructField(out, T.StringType(), False)])
+    ranges = materialize(df.sparkSession, pairs).repartitionByRange("_g", "_c", "_i").sortWithinPartitions("_g", "_c", "_i")
+    key = df.schema[group]
+    place = [T.StructField("_range", T.IntegerType()), T.StructField("_at", T.LongType()),
+             T.StructField("_chunk", T.BinaryType())]
+    digest = T.StructType([key, T.StructField(out, T.StringType(), False)])
     joiner = sep.encode()
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, h, empty = None, None, True  # key: an array of one, its type kept
-
-        def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([key, pa.array([h.hexdigest()])], [group, out])
+    def group_starts(values: pa.Array) -> np.ndarray:
+        """Where another group begins in a sorted array, the first place included."""
+        codes = values.dictionary_encode("encode").indices.to_numpy()
+        return np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
 
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, task = 0, TaskContext.get().partitionId()
         for b in batches:
             if not b.num_rows:
                 continue
+            starts = group_starts(b.column(0))
+            items = b.column(2).cast(pa.binary())
+            there = items.is_valid()
+            kept = items.filter(there)
+            # Null items leave their group's list shorter, or empty.
+            before = np.append(0, np.cumsum(there.to_numpy(zero_copy_only=False)))
+            offsets = before[np.append(starts, b.num_rows)].astype(np.int32)
+            joined = pc.binary_join(pa.ListArray.from_arrays(offsets, kept), joiner)
+            joined = pc.if_else(pa.array(np.diff(offsets) > 0), joined, None)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(starts)), pa.array(np.full(len(starts), task, np.int32)),
+                 pa.array(np.arange(at, at + len(starts))), joined], names=["_g", "_range", "_at", "_chunk"])
+            at += len(starts)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, h, empty = None, None, True  # now: an array of one, its type kept
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([now, pa.array([h.hexdigest()])], names=[group, out])
+
+        for b in batches:
             groups = b.column(0)
-            values = groups.to_pylist()
-            cuts = [0, *(i for i in range(1, len(values)) if values[i] != values[i - 1]), len(values)]
-            for start, stop in zip(cuts, cuts[1:], strict=False):
-                if h is None or key[0].as_py() != values[start]:
+            for i, (value, chunk) in enumerate(zip(groups.to_pylist(), b.column(3), strict=True)):
+                if h is None or now[0].as_py() != value:
                     if h is not None:
                         yield made()
-                    key, h, empty = groups.slice(start, 1), hashlib.sha1(), True
-                items = [i.encode() for i in b.column(2).slice(start, stop - start).to_pylist() if i is not None]
-                if items:
-                    h.update((b"" if empty else joiner) + joiner.join(items))
+                    now, h, empty = groups.slice(i, 1), hashlib.sha1(), True
+                if chunk.is_valid:
+                    if not empty:
+                        h.update(joiner)
+                    h.update(chunk.as_buffer())
                     empty = False
         if h is not None:
             yield made()
 
-    return ordered.mapInArrow(digest, schema)
+    parts = ranges.mapInArrow(chunks, T.StructType([T.StructField("_g", key.dataType), *place]))
+    return parts.repartition("_g").sortWithinPartitions("_g", "_range", "_at").mapInArrow(hashed, digest)
 
 
 def first_by_key(df: DataFrame, group: str, item: str, order: str,

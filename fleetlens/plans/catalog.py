@@ -17,14 +17,19 @@ from fleetlens.operators import apps as A
 from fleetlens.operators import config as C
 from fleetlens.operators import files as FL
 from fleetlens.operators import resources as R
+from fleetlens.operators.barrier import run_in_tasks, run_status
 from fleetlens.operators.udf import map_partitions_with_outcome
 from fleetlens.plans import fixtures as FX
 from fleetlens.plans.views import Views
 from fleetlens.session import materialize, scratch_path
 from fleetlens.sources import envelopes as E
 from fleetlens.sources import files as SF
+from fleetlens.sources import log_ranges as LR
 from fleetlens.sources import logs as L
+from fleetlens.sources import queues as Q
 from fleetlens.sources import rest as REST
+from fleetlens.streaming import deadlines as DL
+from fleetlens.streaming import final_status as FS
 from fleetlens.streaming.completion import run_stream_completion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -264,8 +269,8 @@ def derive_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#32: completion counters per app from a stream of copied event files."""
     v = Views(spark, sf_dir)
-    src = FX.copy_events(spark, v.events)
-    n_files = len(spark.read.parquet(src).inputFiles())
+    n_files = spark.sparkContext.defaultParallelism
+    src = FX.copy_events(spark, v.events, n_files)
     out = scratch_path(spark, "completion-sink")
     ckpt = scratch_path(spark, "completion-ckpt")
     # two micro-batches whatever the number of files: state carries over
@@ -275,6 +280,114 @@ def stream_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  max_files_per_trigger=max(1, -(-n_files // 2)))
 
 
+def stream_final_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#32: requests and callbacks of all containers on a stream, a third of the
+    callbacks replayed; the final status of every application that has one."""
+    src, files = FX.write_slices(spark, FX.container_events(Views(spark, sf_dir).containers), F.col("at"), "container-events")
+    log = FS.run_final_status(spark, src, scratch_path(spark, "status-sink"), scratch_path(spark, "status-ckpt"), 2 * files)
+    return FS.ended(log)
+
+
+def stream_deadlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#28 on a stream: every application whose day has run out by the
+    watermark, with its wait if it ended in time."""
+    events = Views(spark, sf_dir).state_events
+    src, files = FX.write_slices(spark, events, FX.time_slice(events), "state-events")
+    judged = DL.run_deadlines(spark, src, events.schema, scratch_path(spark, "deadline-sink"),
+                              scratch_path(spark, "deadline-ckpt"), ONE_DAY_US, "6 hours", files)
+    return judged.select("app_id", F.timestamp_micros("first_us").cast("timestamp_ntz").alias("first"), "wait_us", "in_time")
+
+
+def log_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#3 with offsets: conversations as aggregated container logs, read by byte
+    ranges; each section's bytes, and the place behind the section before it."""
+    path = FX.write_container_logs(spark, Views(spark, sf_dir).conversations)
+    found = LR.read_logs_with_offsets(spark, path)
+    return found.select("container_id", "node_id", "log_type", "content", F.col("length").alias("section_bytes"))
+
+
+def queue_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#1 at any depth: customers as queues of scheduler responses, read back
+    with path and depth."""
+    bodies = FX.queue_responses(Views(spark, sf_dir).queue_nodes)
+    return (Q.queue_tree(bodies, keep=("response",))
+            .select("response", "path", "depth", "queue", "state", "capacity", "n_apps"))
+
+
+def _count_words(batches, task) -> int:
+    """The user function of the fixture: counts its documents' words, waits for
+    the other tasks, and ends with status 3 if the count is odd."""
+    n_docs = n_words = 0
+    for b in batches:
+        texts = b.column(1).to_pylist()
+        n_docs += len(texts)
+        n_words += sum(len((t or "").encode().split()) for t in texts)
+    task.barrier()
+    print(f"{n_docs} documents, {n_words} words", end="")
+    return 3 * (n_words % 2)
+
+
+def barrier_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#33 in four tasks at once over all documents; each task's outcome and the
+    status of the run."""
+    docs = Views(spark, sf_dir).documents.select("doc_id", "text")
+    out = materialize(spark, run_in_tasks(docs, _count_words, 4, F.col("doc_id") % 4))
+    return (out.select("task", "n_tasks", "exit_status", "output", "error")
+            .join(run_status(out).select("n_tasks", "failed", "final_status"), "n_tasks"))
+
+
+def site_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#5 into #30 into #31: two site files a cluster, with repeats; a later
+    property and a later file override."""
+    v = Views(spark, sf_dir)
+    conf = SF.read_site_layers(spark, FX.write_site_layers(spark, v.site_properties), glob="*.xml")
+    key = F.regexp_extract("source", r"^cluster-(\d+)$", 1).cast("bigint")
+    return C.derive_parameters(conf.withColumn("cluster_key", key), v.nodes)
+
+
+NEEDLES = ("tion", "ion", "on", "en", "the", "th", "role=user", "role=", "e e", ". ", "ung", "a" * 3)
+
+
+def log_search_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#9 for many needles, some within others, in one pass."""
+    conv = Views(spark, sf_dir).conversations
+    wide = conv.select(
+        FX.conversation_container_id(F.col("conv_id"), FX.padded(F.col("turn"), 6)).alias("container_id"),
+        F.col("text").alias("stdout"), F.concat(F.lit("role="), F.col("role")).alias("stderr"))
+    return A.search_many(A.unpivot_logs(wide), NEEDLES)
+
+
+def malformed_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of #20, #23 and #25: container ids without the form."""
+    return A.malformed(Views(spark, sf_dir).captured_containers)
+
+
+def captured_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#20 over captured ids, malformed ones left out."""
+    return A.completion_summary(Views(spark, sf_dir).captured_containers)
+
+
+def channel_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#26 into #24 into #15: the first package of each leading word, with the
+    environment's channels, fingerprinted; archives, folders or a build."""
+    v = Views(spark, sf_dir)
+    first = FL.first_by_key(v.packages, "env_name", "spec", "pos").select("env_name", "spec", F.lit(False).alias("channel"))
+    specs = first.unionByName(v.channels.select("env_name", "spec", F.lit(True).alias("channel")))
+    sets = materialize(spark, FL.set_fingerprint(specs, "env_name", "spec", channel="channel"))
+    return FL.resolve_cached_sets(sets, sets.filter(_env_num() % 3 == 0), sets.filter(_env_num() % 3 == 1))
+
+
+def rest_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#16 on captured node responses."""
+    v = Views(spark, sf_dir)
+    return R.admission_check(v.requests, REST.admission_nodes(FX.node_responses(v.nodes)))
+
+
+def rest_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """#20 on captured container responses."""
+    return A.completion_summary(REST.completion_containers(FX.container_responses(Views(spark, sf_dir).containers)))
+
+
 def _words_or_fail(text: str) -> int:
     """The user function of the fixture: words of a whole text; tables fail."""
     if "|" in text:
@@ -327,4 +440,16 @@ QUERIES: dict[str, Query] = {
     "derive_parameters": derive_parameters,
     "stream_completion": stream_completion,
     "map_outcome": map_outcome,
+    "stream_final_status": stream_final_status,
+    "stream_deadlines": stream_deadlines,
+    "log_sections": log_sections,
+    "queue_tree": queue_tree,
+    "barrier_run": barrier_run,
+    "site_parameters": site_parameters,
+    "log_search_many": log_search_many,
+    "malformed_containers": malformed_containers,
+    "captured_summary": captured_summary,
+    "channel_sets": channel_sets,
+    "rest_admission": rest_admission,
+    "rest_completion": rest_completion,
 }

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.session import scratch_path
+from fleetlens.functions import ids
+from fleetlens.session import materialize, scratch_path
 
 # Cluster timestamp used in derived container ids.
 CLUSTER_TS = "1700000000000"
@@ -143,14 +144,116 @@ def write_text_files(spark: SparkSession, documents: DataFrame) -> str:
     return path
 
 
-ROWS_PER_FILE = 1_000_000
-
-
 def copy_events(spark: SparkSession, events: DataFrame, n_files: int | None = None) -> str:
-    """Events copied once into several parquet files, as a stream source:
-    one file per task (``n_files``, default one per core) and at most
-    ``ROWS_PER_FILE`` rows per file, so the copy is parallel at any size."""
+    """Events copied once into ``n_files`` parquet files (default one per
+    core), as a stream source. A parquet file is read in splits, so a stream's
+    batch is parallel however large its files are."""
     path = scratch_path(spark, "event-stream")
-    n = n_files or spark.sparkContext.defaultParallelism
-    events.repartition(n).write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+    events.repartition(n_files or spark.sparkContext.defaultParallelism).write.parquet(path)
+    return path
+
+
+#: Folders of events are written one after the other, so that their files'
+#: times put them in this order on a stream.
+SLICES = 4
+
+
+def write_slices(spark: SparkSession, rows: DataFrame, slice_of: Column, name: str) -> tuple[str, int]:
+    """``rows`` as the files of a stream source, slice 0 first; the folder and
+    the number of files a slice has."""
+    path, files = scratch_path(spark, name), spark.sparkContext.defaultParallelism
+    held = materialize(spark, rows.withColumn("_slice", slice_of))
+    for i in range(SLICES):
+        held.filter(F.col("_slice") == i).drop("_slice").repartition(files).write.mode("append").parquet(path)
+    return path, files
+
+
+def container_events(containers: DataFrame) -> DataFrame:
+    """What a master hears of its containers, with the slice in which it comes:
+    every container is asked for by itself; the callbacks of completed ones come
+    one slice later or in the same one, and those of a third of the nodes are
+    replayed at the end."""
+    cid = F.col("container_id")
+    asked = F.pmod(F.xxhash64(cid), F.lit(SLICES - 1)).cast("int")
+    app = ids.application_id(cid).alias("app_id")
+    none = F.lit(None).cast("bigint")
+    adds = containers.select(app, F.lit("add").alias("kind"), cid.alias("event_key"), F.lit(1).cast("bigint").alias("amount"),
+                             none.alias("exit_status"), asked.alias("at"))
+    done = containers.filter(F.col("completed") == 1)
+
+    def callbacks(rows: DataFrame, at: Column) -> DataFrame:
+        return rows.select(app, F.lit("completed").alias("kind"), cid.alias("event_key"), none.alias("amount"),
+                           F.col("exit_status").cast("bigint").alias("exit_status"), at.alias("at"))
+
+    return (adds.unionByName(callbacks(done, asked + F.pmod(F.col("node_id"), F.lit(2)).cast("int")))
+            .unionByName(callbacks(done.filter(F.col("node_id") % 3 == 0), F.lit(SLICES - 1))))
+
+
+def time_slice(events: DataFrame, ts: str = "ts") -> Column:
+    """The slice of an event when the table's time is cut into equal parts."""
+    first, last = events.agg(F.min(ts), F.max(ts)).select(
+        *(F.unix_micros(F.col(c).cast("timestamp")) for c in (f"min({ts})", f"max({ts})"))).first()
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    width = max((last or 0) - (first or 0) + 1, 1)
+    return F.floor((us - F.lit(first or 0)) * SLICES / width).cast("int")
+
+
+QUEUE_FANOUT = 3
+
+
+def queue_responses(queue_nodes: DataFrame) -> DataFrame:
+    """``response, body``: scheduler responses with a tree of up to 256 queues
+    each, node i under node (i - 1) div 3. Trees are put together from the
+    deepest level up, one join on (response, parent) a level."""
+    depths = [0]
+    while depths[-1] < 255:
+        depths.append(depths[-1] * QUEUE_FANOUT + QUEUE_FANOUT)  # the last node of each level
+    own = queue_nodes.select("response", "node", F.expr(f"(node - 1) div {QUEUE_FANOUT}").alias("parent"),
+                             F.to_json(F.struct(F.concat(F.lit("q"), "node").alias("queueName"), "state", "capacity",
+                                                F.col("n_apps").alias("numApplications"))).alias("own"))
+    below = None
+    for last, before in zip(reversed(depths), [*reversed(depths[:-1]), -1], strict=True):
+        level = own.filter((F.col("node") > before) & (F.col("node") <= last))
+        if below is None:
+            whole = level.withColumn("whole", F.col("own"))
+        else:
+            children = below.groupBy("response", F.col("parent").alias("node")).agg(
+                F.array_join(F.array_sort(F.collect_list("whole")), ",").alias("children"))
+            joined = level.join(children, ["response", "node"], "left")
+            whole = joined.withColumn("whole", F.when(F.col("children").isNull(), F.col("own")).otherwise(
+                F.concat(F.substring("own", 1, F.length("own") - 1), F.lit(',"queues":{"queue":['), "children", F.lit("]}}"))))
+        below = whole.select("response", "parent", "whole")
+    return below.select("response", F.concat(F.lit('{"scheduler":{"schedulerInfo":'), "whole", F.lit("}}")).alias("body"))
+
+
+def node_responses(nodes: DataFrame) -> DataFrame:
+    """``cluster_id, body``: node responses in pages of 64 node ids."""
+    item = F.struct(F.col("node_id").cast("string").alias("id"), F.lit("RUNNING").alias("state"),
+                    F.col("avail_mb").alias("availMemoryMB"), F.col("avail_vcores").alias("availableVirtualCores"))
+    body = F.to_json(F.struct(F.struct(F.collect_list(item).alias("node")).alias("nodes")))
+    return nodes.groupBy("cluster_id", F.expr("node_id div 64").alias("page")).agg(body.alias("body"))
+
+
+def container_responses(containers: DataFrame) -> DataFrame:
+    """Container responses, in pages of one application's containers on 64
+    nodes."""
+    item = F.struct(F.col("container_id").alias("id"), F.col("node_id").cast("string").alias("nodeId"),
+                    F.when(F.col("completed") == 1, "COMPLETE").otherwise("RUNNING").alias("state"),
+                    F.when(F.col("completed") == 1, F.col("exit_status")).alias("exitCode"))
+    body = F.to_json(F.struct(F.struct(F.collect_list(item).alias("container")).alias("containers")))
+    return containers.groupBy(ids.application_id(F.col("container_id")).alias("app_id"),
+                              F.expr("node_id div 64").alias("page")).agg(body.alias("body"))
+
+
+def write_site_layers(spark: SparkSession, site_properties: DataFrame) -> str:
+    """The two site files of every cluster as configuration dumps in folders
+    ``yarn-site`` and ``core-site``, one file per write task; a cluster's
+    properties stand in one file, in their order."""
+    path = scratch_path(spark, "site-layers")
+    for layer in ("yarn-site", "core-site"):
+        (site_properties.filter(F.col("layer") == layer)
+         .repartition(spark.sparkContext.defaultParallelism, "cluster_key").sortWithinPartitions("cluster_key", "seq")
+         .select(F.col("key").alias("name"), "value",
+                 F.concat(F.lit("cluster-"), F.col("cluster_key").cast("string")).alias("source"))
+         .write.format("xml").option("rootTag", "configuration").option("rowTag", "property").save(f"{path}/{layer}"))
     return path

@@ -8,7 +8,6 @@ Aggregates are cast to the Spark result types (DuckDB sums are HUGEINT).
 
 from __future__ import annotations
 
-from fleetlens.functions.addr import BRACKETS, HOST_PORT_PATTERN, URL_PATTERN
 from fleetlens.plans.views import with_views
 
 APP_ID = ("concat('application_', split_part(container_id, '_', 2), '_', "
@@ -18,18 +17,39 @@ APP_NUM = "CAST(split_part(container_id, '_', 3) AS BIGINT)"
 TERMINAL = "('FINISHED', 'FAILED', 'KILLED')"
 
 
+# Addresses by string functions alone: what stands behind ``://`` up to the
+# next ``/``, ``?`` or ``#``, without user and password.
+def _authority(a: str) -> str:
+    for stop in "/?#":
+        a = f"split_part({a}, '{stop}', 1)" if stop != "/" else f"split_part(substr({a}, strpos({a}, '://') + 3), '/', 1)"
+    return f"split_part({a}, '@', -1)"
+
+
+def _is_url(a: str) -> str:
+    return f"strpos({a}, '://') > 1"
+
+
+def _is_pair(a: str) -> str:
+    """``host:port``: one colon, no slash, digits behind it."""
+    return (f"(len(string_split({a}, ':')) = 2 AND strpos({a}, '/') = 0 AND split_part({a}, ':', 1) <> '' "
+            f"AND split_part({a}, ':', 2) <> '' AND translate(split_part({a}, ':', 2), '0123456789', '') = '')")
+
+
+def _behind_host(a: str) -> str:
+    """A URL's authority behind its host; an IPv6 host stands in brackets."""
+    x = _authority(a)
+    return f"CASE WHEN starts_with({x}, '[') THEN split_part({x}, ']', 2) ELSE substr({x}, length(split_part({x}, ':', 1)) + 1) END"
+
+
 def sql_host(a: str) -> str:
-    return (f"CASE WHEN regexp_matches({a}, '{URL_PATTERN}') "
-            f"THEN lower(regexp_replace(regexp_extract({a}, '{URL_PATTERN}', 1), '{BRACKETS}', '')) "
-            f"WHEN regexp_matches({a}, '{HOST_PORT_PATTERN}') "
-            f"THEN regexp_extract({a}, '{HOST_PORT_PATTERN}', 1) ELSE {a} END")
+    x = _authority(a)
+    return (f"CASE WHEN {_is_url(a)} THEN lower(CASE WHEN starts_with({x}, '[') THEN split_part(substr({x}, 2), ']', 1) "
+            f"ELSE split_part({x}, ':', 1) END) WHEN {_is_pair(a)} THEN split_part({a}, ':', 1) ELSE {a} END")
 
 
 def sql_port(a: str) -> str:
-    return (f"CASE WHEN regexp_matches({a}, '{URL_PATTERN}') "
-            f"THEN TRY_CAST(NULLIF(regexp_extract({a}, '{URL_PATTERN}', 2), '') AS INT) "
-            f"WHEN regexp_matches({a}, '{HOST_PORT_PATTERN}') "
-            f"THEN TRY_CAST(regexp_extract({a}, '{HOST_PORT_PATTERN}', 2) AS INT) END")
+    return (f"CASE WHEN {_is_url(a)} THEN TRY_CAST(NULLIF(split_part({_behind_host(a)}, ':', 2), '') AS INT) "
+            f"WHEN {_is_pair(a)} THEN TRY_CAST(split_part({a}, ':', 2) AS INT) END")
 
 
 CONTAINER_SUMMARY = f"""
@@ -111,12 +131,17 @@ SELECT container_id, node_id, 'stderr' AS log_type, concat('turns=', CAST(turns
 UNION ALL
 SELECT container_id, node_id, 'stdout' AS log_type, rtrim(body, chr(10)) AS content FROM s"""
 
-    q["log_html"] = r"""
-SELECT page_id,
-  CASE WHEN contains(html, 'Cannot find this log') THEN ''
-    ELSE regexp_extract(regexp_extract(html, '(?s)<title>(.*?)</title>', 1),
-                        '(?s)^\s*(?:<pre>)?(.*?)(?:</pre>)?\s*$', 1) END AS content
-FROM pages"""
+    # Between the marks; then white space and one <pre> pair are cut by position.
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    q["log_html"] = f"""
+WITH t AS (SELECT page_id, html, substr(html, strpos(html, '<title>') + 7) AS tail FROM pages),
+i AS (
+  SELECT page_id, html, CASE WHEN strpos(html, '<title>') > 0 AND strpos(tail, '</title>') > 0
+    THEN ltrim(substr(tail, 1, strpos(tail, '</title>') - 1), {space}) ELSE '' END AS x FROM t),
+o AS (SELECT page_id, html, rtrim(CASE WHEN starts_with(x, '<pre>') THEN substr(x, 6) ELSE x END, {space}) AS x FROM i)
+SELECT page_id, CASE WHEN contains(html, 'Cannot find this log') THEN ''
+    WHEN ends_with(x, '</pre>') THEN substr(x, 1, length(x) - 6) ELSE x END AS content
+FROM o"""
 
     q["site_config"] = with_views("SELECT cluster_key, key, value FROM raw_config", "raw_config")
 
@@ -284,4 +309,111 @@ SELECT doc_id, CASE WHEN contains(text, '|') THEN 'error' ELSE 'ok' END AS statu
   CASE WHEN NOT contains(text, '|') THEN CAST(len(regexp_extract_all(text, '[^ \x09-\x0D]+')) AS BIGINT) END AS n_words
 FROM documents"""
 
+    q["stream_final_status"] = with_views(
+        f"SELECT * FROM ({CONTAINER_SUMMARY}) t WHERE final_status <> 'RUNNING'", "containers")
+
+    # The watermark is the last event less six hours, in whole milliseconds; a
+    # deadline is up at its next whole millisecond.
+    q["stream_deadlines"] = with_views(f"""
+SELECT app_id, first, CASE WHEN in_time THEN wait_us END AS wait_us, in_time FROM (
+  SELECT app_id, min(ts) AS first, date_diff('microsecond', min(ts), min(CASE WHEN state IN {TERMINAL} THEN ts END)) AS wait_us,
+    coalesce(date_diff('microsecond', min(ts), min(CASE WHEN state IN {TERMINAL} THEN ts END)) < 86400000000, false) AS in_time
+  FROM state_events GROUP BY app_id) t
+WHERE ceil((epoch_us(first) + 86400000000) / 1000) <= (SELECT floor(epoch_us(max(ts)) / 1000) - 6 * 3600000 FROM state_events)""",
+                                       "state_events")
+
+    # A section's bytes: header, its stderr block, its stdout block, line ends.
+    q["log_sections"] = f"""
+WITH s AS (
+  SELECT {LOG_CONTAINER} AS container_id,
+    concat('host_', CAST(conv_id % 5 AS VARCHAR)) AS node_id, concat('turns=', CAST(count(*) AS VARCHAR)) AS err,
+    CAST(sum(length(text)) + count(*) - 1 AS VARCHAR) AS out_len,
+    string_agg(CASE WHEN turn % 3 = 0 THEN concat('Container: - ', text) ELSE text END, chr(10) ORDER BY turn) AS body
+  FROM conversations GROUP BY conv_id, role),
+l AS (
+  SELECT *, strlen(concat('Container: ', container_id, ' on ', node_id, chr(10), 'LogType:stderr', chr(10), 'LogLength:',
+    CAST(length(err) AS VARCHAR), chr(10), 'Log Contents:', chr(10), err, chr(10), 'LogType:stdout', chr(10), 'LogLength:',
+    out_len, chr(10), 'Log Contents:', chr(10), body, chr(10))) AS section_bytes FROM s)
+SELECT container_id, node_id, 'stderr' AS log_type, err AS content, section_bytes FROM l
+UNION ALL
+SELECT container_id, node_id, 'stdout' AS log_type, rtrim(body, chr(10)) AS content, section_bytes FROM l"""
+
+    q["queue_tree"] = "WITH RECURSIVE " + with_views("""
+SELECT response, path, depth, queue, state, capacity, n_apps FROM tree""", "queue_nodes").replace("WITH ", "", 1).replace(
+        "\nSELECT response", """, tree AS (
+  SELECT response, node, concat('q', CAST(node AS VARCHAR)) AS path, 0 AS depth, concat('q', CAST(node AS VARCHAR)) AS queue,
+    state, capacity, CAST(n_apps AS BIGINT) AS n_apps FROM queue_nodes WHERE node = 0
+  UNION ALL
+  SELECT n.response, n.node, concat(t.path, '.q', CAST(n.node AS VARCHAR)), t.depth + 1, concat('q', CAST(n.node AS VARCHAR)),
+    n.state, n.capacity, CAST(n.n_apps AS BIGINT)
+  FROM queue_nodes n JOIN tree t ON t.response = n.response AND t.node = (n.node - 1) // 3 AND n.node > 0)
+SELECT response""", 1)
+
+    q["barrier_run"] = r"""
+WITH t AS (
+  SELECT CAST(doc_id % 4 AS INT) AS task, count(*) AS n_docs,
+    sum(len(regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+'))) AS n_words FROM documents GROUP BY 1),
+r AS (
+  SELECT task, CAST(4 AS INT) AS n_tasks, CAST(3 * (n_words % 2) AS INT) AS exit_status,
+    concat(n_docs, ' documents, ', n_words, ' words') AS output FROM t)
+SELECT task, n_tasks, exit_status, output, CAST(NULL AS VARCHAR) AS error,
+  (SELECT count(*) FROM r WHERE exit_status <> 0) AS failed,
+  CASE WHEN EXISTS (FROM r WHERE exit_status <> 0) THEN 'FAILED' ELSE 'UNDEFINED' END AS final_status FROM r"""
+
+    q["site_parameters"] = with_views(f"""
+SELECT n.node_id,
+  CASE WHEN w.wa IS NOT NULL THEN {sql_host('w.wa')} ELSE coalesce(w.hn, 'localhost') END AS rm,
+  CASE WHEN w.wa IS NOT NULL THEN {sql_port('w.wa')} ELSE 8088 END AS rm_port,
+  CASE WHEN w.hs IS NOT NULL THEN {sql_port('w.hs')} ELSE 8090 END AS rm_port_https,
+  coalesce(TRY_CAST(w.rf AS INT), 3) AS replication_factor
+FROM nodes n LEFT JOIN ({RAW_WIDE.replace('FROM raw_config', """FROM (
+  SELECT cluster_key, key, value FROM site_properties
+  QUALIFY row_number() OVER (PARTITION BY cluster_key, key ORDER BY layer = 'core-site' DESC, seq DESC) = 1) p""")}) w
+  ON n.node_id = w.cluster_key""", "nodes", "site_properties")
+
+    needles = ", ".join(f"('{n}')" for n in ("tion", "ion", "on", "en", "the", "th", "role=user", "role=", "e e", ". ", "ung", "aaa"))
+    q["log_search_many"] = f"""
+WITH w AS (
+  SELECT concat('container_1700000000000_', lpad(CAST(conv_id AS VARCHAR), CAST(greatest(9, length(CAST(conv_id AS VARCHAR))) AS INT), '0'), '_01_',
+      lpad(CAST(turn AS VARCHAR), CAST(greatest(6, length(CAST(turn AS VARCHAR))) AS INT), '0')) AS container_id,
+    text AS stdout, concat('role=', role) AS stderr
+  FROM conversations),
+l AS (
+  SELECT container_id, 'stdout' AS log_type, unnest(string_split(stdout, chr(10))) AS line FROM w
+  UNION ALL SELECT container_id, 'stderr', unnest(string_split(stderr, chr(10))) FROM w)
+SELECT container_id, log_type, needle, CAST(count(*) AS INT) AS n_lines
+FROM l JOIN (VALUES {needles}) n(needle) ON contains(line, needle) GROUP BY ALL"""
+
+    # The form by its parts: container, perhaps an epoch, then four numbers.
+    parts = "string_split(container_id, '_')"
+    skip = f"CASE WHEN starts_with({parts}[2], 'e') THEN 1 ELSE 0 END"
+    digits = "len(list_filter({p}[2 + {k}:], lambda x: x = '' OR translate(x, '0123456789', '') <> '')) = 0"
+    formed = (f"(container_id IS NOT NULL AND {parts}[1] = 'container' AND len({parts}) = 5 + {skip} AND "
+              f"({skip} = 0 OR (length({parts}[2]) > 1 AND translate(substr({parts}[2], 2), '0123456789', '') = '')) AND "
+              + digits.format(p=parts, k=f"({skip})") + ")")
+    q["malformed_containers"] = with_views(f"""
+SELECT container_id, count(*) AS n, CASE WHEN container_id IS NULL THEN 'null'
+    WHEN NOT starts_with(container_id, 'container_') THEN 'prefix' WHEN len({parts}) < 5 THEN 'parts' ELSE 'form' END AS reason
+FROM captured_containers WHERE NOT {formed} GROUP BY container_id""", "captured_containers")
+
+    q["captured_summary"] = with_views(f"""
+SELECT app_id, requested, completed, failed,
+  CASE WHEN completed < requested THEN 'RUNNING' WHEN failed > 0 THEN 'FAILED' ELSE 'UNDEFINED' END AS final_status
+FROM (SELECT concat('application_', split_part(container_id, '_', -4), '_', split_part(container_id, '_', -3)) AS app_id,
+    count(*) AS requested, count(*) FILTER (completed = 1) AS completed,
+    count(*) FILTER (completed = 1 AND exit_status <> 0) AS failed
+  FROM captured_containers WHERE {formed} GROUP BY 1) s""", "captured_containers")
+
+    channel_fp = r"""
+SELECT env_name, sha1(string_agg(spec, '-' ORDER BY channel, spec)) AS fp, CAST(split_part(env_name, '#', 2) AS INT) AS num FROM (
+  SELECT env_name, arg_min(spec, pos) AS spec, false AS channel FROM packages GROUP BY env_name, split_part(spec, ' ', 1)
+  UNION ALL SELECT DISTINCT env_name, spec, true FROM channels) x GROUP BY env_name"""
+    q["channel_sets"] = with_views(f"""
+SELECT s.env_name, s.fp, CASE WHEN s.fp IN (SELECT fp FROM ({channel_fp}) a WHERE num % 3 = 0) THEN 'reuse'
+    WHEN s.fp IN (SELECT fp FROM ({channel_fp}) d WHERE num % 3 = 1) THEN 'zip' ELSE 'build' END AS action
+FROM ({channel_fp}) s""", "packages", "channels")
+
+    q["rest_admission"] = q["admission_check"]
+    q["rest_completion"] = q["completion_summary"]
+
     return q

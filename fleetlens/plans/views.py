@@ -75,6 +75,47 @@ SELECT CAST(user_id % 4 AS INT) AS priority,
   concat(event_type, CAST(event_id % 20 AS STRING)) AS key, event_id AS seq,
   CAST(value AS STRING) AS value
 FROM events""",
+    # Captured ids as they come: one in 50 has lost its last part, one in 77 its
+    # prefix, and some are null.
+    "captured_containers": """
+SELECT CASE WHEN l_orderkey % 50 = 1 THEN concat('container_1700000000000_', CAST(l_orderkey AS STRING), '_01')
+    WHEN l_orderkey % 77 = 2 THEN concat('1700000000000_', CAST(l_orderkey AS STRING), '_01_', CAST(l_linenumber AS STRING))
+    WHEN l_orderkey % 91 = 3 THEN NULL
+    ELSE concat('container_', CASE WHEN l_suppkey % 4 = 0 THEN 'e17_' ELSE '' END,
+      CASE WHEN l_orderkey % 2 = 0 THEN '1700000000000_' ELSE '1700000099999_' END, CAST(l_orderkey AS STRING),
+      '_01_', CAST(l_linenumber AS STRING)) END AS container_id,
+  CASE WHEN l_shipdate < TIMESTAMP '2000-01-01 00:00:00' THEN 1 ELSE 0 END AS completed,
+  CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS exit_status
+FROM lineitem""",
+    # Properties of two site files a cluster, with repeats within a file (seq) and across.
+    "site_properties": """
+SELECT s_suppkey AS cluster_key, 'yarn-site' AS layer, 0 AS seq, 'yarn.resourcemanager.hostname' AS key,
+  concat('host', CAST(s_suppkey AS STRING)) AS value FROM supplier WHERE s_suppkey % 2 = 0
+UNION ALL
+SELECT s_suppkey, 'yarn-site', 1, 'dfs.replication', '9' FROM supplier
+UNION ALL
+SELECT s_suppkey, 'yarn-site', 2, 'dfs.replication', CAST(s_suppkey % 4 + 10 AS STRING) FROM supplier WHERE s_suppkey % 3 = 0
+UNION ALL
+SELECT s_suppkey, 'yarn-site', 3, 'yarn.resourcemanager.webapp.address',
+  concat('web', CAST(s_suppkey AS STRING), '.example.com:', CAST(9000 + s_suppkey AS STRING))
+FROM supplier WHERE s_suppkey % 3 = 1
+UNION ALL
+SELECT s_suppkey, 'core-site', 0, 'dfs.replication', '2' FROM supplier WHERE s_suppkey % 5 = 0
+UNION ALL
+SELECT s_suppkey, 'core-site', 1, 'yarn.resourcemanager.webapp.address', concat('Core', CAST(s_suppkey AS STRING))
+FROM supplier WHERE s_suppkey % 6 = 1
+UNION ALL
+SELECT s_suppkey, 'core-site', 2, 'yarn.resourcemanager.webapp.https.address',
+  concat('web', CAST(s_suppkey AS STRING), ':', CAST(9500 + s_suppkey AS STRING))
+FROM supplier WHERE s_suppkey % 5 = 1""",
+    # A node of a queue tree: 256 of them to a response, each under one before it.
+    "queue_nodes": """
+SELECT CAST(floor(c_custkey / 256) AS BIGINT) AS response, CAST(c_custkey % 256 AS INT) AS node,
+  CAST(c_custkey % 100 AS DOUBLE) / 4 AS capacity, CASE WHEN c_nationkey % 5 = 0 THEN 'STOPPED' ELSE 'RUNNING' END AS state,
+  c_nationkey AS n_apps
+FROM customer""",
+    "channels": """
+SELECT p_brand AS env_name, concat('channel-', CAST(p_size % 7 AS STRING)) AS spec FROM part WHERE p_size % 3 = 0""",
     "raw_config": """
 SELECT s_suppkey AS cluster_key, 'yarn.resourcemanager.hostname' AS key,
   concat('host', CAST(s_suppkey AS STRING)) AS value FROM supplier WHERE s_suppkey % 2 = 0

@@ -38,27 +38,25 @@ STATUS_NOT_JSON = "not_json"      # body is not JSON: raw text is the message
 STATUS_UNKNOWN = "unknown"        # JSON without RemoteException
 
 
-# A JSON value's form: bracketed, a string, a number or a literal, alone.
-JSON_FORM = (r'(?s)^\s*(?:\{.*\}|\[.*\]|"(?:[^"\\]|\\.)*+"'
-             r'|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)\s*$')
-
-
 def split_error_responses(df: DataFrame, text_col: str = "body") -> DataFrame:
     """Add ``status`` and ``message`` for failed-response bodies, in one pass.
 
     Message: the RemoteException's message; else the exception value's own
     text; else the raw body when it is not JSON. Valid JSON without a
     RemoteException (a KeyError or TypeError in the reference) gets status
-    ``unknown``. The body is parsed once into a VARIANT with
-    ``try_parse_json``, which is NULL when the text is not JSON. That parser
-    ignores what follows a value, so the text must also have a whole value's
-    form: ``404 page not found`` is not JSON. (Only an object or list followed
-    by text that ends in the same bracket still passes as its first value.)
+    ``unknown``.
+
+    ``try_parse_json`` gives a VARIANT, or NULL when the text is not JSON, but
+    ignores what follows a value. So a body is parsed twice, as an object's only
+    value and as an array's only item: text behind its first value would have to
+    close the object with ``}`` and the array with ``]``, so only a body that is
+    one value alone passes both.
     """
-    v = F.try_parse_json(F.col(text_col))
-    rex = F.try_variant_get(v, "$.RemoteException", "string")
-    msg = F.try_variant_get(v, "$.RemoteException.message", "string")
-    not_json = v.isNull() | ~F.col(text_col).rlike(JSON_FORM)
+    body = F.col(text_col)
+    v = F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}")))
+    rex = F.try_variant_get(v, "$.v.RemoteException", "string")
+    msg = F.try_variant_get(v, "$.v.RemoteException.message", "string")
+    not_json = v.isNull() | F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))).isNull()
     status = (F.when(not_json, STATUS_NOT_JSON)
               .when(msg.isNotNull(), STATUS_REMOTE)
               .when(rex.isNotNull(), STATUS_REMOTE_OTHER)

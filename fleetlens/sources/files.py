@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,40 @@ def read_site_config(spark: SparkSession, path: str, glob: str = "*-site.xml") -
                      F.col("name").alias("key"), "value", "final", "source")
 
 
+def _named(parts: Column, name: str) -> Column:
+    return F.exists(parts, lambda p: p.startswith(name))
+
+
+#: Site files in the order in which they are read; a later one overrides.
+SITE_ORDER = ("yarn-site", "core-site")
+
+
+def read_site_layers(spark: SparkSession, path: str, glob: str = "*-site*.xml",
+                     order: tuple[str, ...] = SITE_ORDER) -> DataFrame:
+    """``read_site_config`` with the order in which properties override each
+    other: ``file, key, value, final, source, layer, priority, seq``.
+
+    ``layer`` is the name of ``order`` that the file's name or its folder's
+    begins with, and ``priority`` its place there (null and -1 for other files, so
+    that any named file overrides them). ``seq`` is the place of a property among
+    those of one priority: files of one layer by path, then block of the file,
+    then row; rows of a block are read in order by one task. Feed it to
+    ``resolve_layers``.
+    """
+    df = (spark.read.format("xml").option("rowTag", "property").option("ignoreSurroundingSpaces", "false")
+          .option("pathGlobFilter", glob).option("recursiveFileLookup", "true").schema(PROPERTY_SCHEMA).load(path))
+    file = F.col("_metadata.file_path")
+    parts = F.slice(F.split(file, "/"), -2, 2)
+    place = F.lit(None).cast("int")
+    for i, name in enumerate(order):
+        place = F.when(_named(parts, name), i).otherwise(place)
+    return df.select(
+        file.alias("file"), F.col("name").alias("key"), "value", "final", "source",
+        F.get(F.array(*map(F.lit, order)), place).alias("layer"), F.coalesce(place, F.lit(-1)).alias("priority"),
+        F.struct(file.alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("row")).alias("seq"))
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None,
                recursive: bool = True) -> DataFrame:
     """``path, size, mtime`` of the files below ``path``. Only metadata

@@ -69,3 +69,28 @@ def unwrap_object(df: DataFrame, body: str, key: str, schema: T.StructType,
 def cluster_metrics(df: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """``{"clusterMetrics": {...}}``: capacity as the admission check uses it."""
     return unwrap_object(df, body, "clusterMetrics", schemas.CLUSTER_METRICS, keep)
+
+
+# --- what the operators take ----------------------------------------------------
+
+def admission_nodes(df: DataFrame, body: str = "body", cluster: str = "cluster_id") -> DataFrame:
+    """Node responses as the nodes of ``admission_check`` and
+    ``capacity_rollup``: ``cluster_id, node_id, state, avail_mb, avail_vcores``.
+    The responses' column ``cluster`` says whose they are; a node's id is its id,
+    else its host name."""
+    found = flatten_envelope(df, body, "nodes", "node", schemas.NODE, keep=(cluster,))
+    return found.select(F.col(cluster).alias("cluster_id"), F.coalesce("id", "nodeHostName").alias("node_id"),
+                        F.coalesce("state", F.lit("RUNNING")).alias("state"), F.col("availMemoryMB").alias("avail_mb"),
+                        F.col("availableVirtualCores").alias("avail_vcores"))
+
+
+def completion_containers(df: DataFrame, body: str = "body") -> DataFrame:
+    """Container responses as the containers of ``completion_summary`` and
+    the other operators on containers: ``container_id, node_id, state, memory_mb,
+    completed, exit_status``. A container is completed in state COMPLETE; without
+    an exit code it has not failed."""
+    found = flatten_envelope(df, body, "containers", "container", schemas.CONTAINER)
+    done = F.coalesce(F.col("state") == "COMPLETE", F.lit(False))
+    return found.select(F.col("id").alias("container_id"), F.col("nodeId").alias("node_id"), "state",
+                        F.col("totalMemoryNeededMB").alias("memory_mb"), done.cast("int").alias("completed"),
+                        F.coalesce("exitCode", F.lit(0)).alias("exit_status"))
