@@ -36,15 +36,16 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared checkpoint folder, read back.
+def written(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder, read back;
+    ``options`` are the writer's.
 
     Cuts lineage: what follows starts from the table, whichever executors
     are lost. The folder is removed when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)

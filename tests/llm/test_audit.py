@@ -65,12 +65,22 @@ def test_a_full_filter_costs_no_result(spark, monkeypatch):
 
 def test_prefixes_below_the_threshold_are_discarded(spark):
     rows = [(i, f"kept{'a' * 30} rare{i:02d}{'b' * 30}", "en", "s", "", "", 0) for i in range(10)]
-    bags = divergence.term_bags(spark.createDataFrame(rows, AUDIT))
-    level = divergence.level_counts(bags, 6)
+    cut = divergence.term_slices(spark.createDataFrame(rows, AUDIT))
+    level = divergence.level_counts(cut, 6)
     assert {bytes(r.prefix): r.docs for r in level.collect()} == {b"keptaa": 10, b"rare": 10, b"b" * 6: 10}
     left = divergence.prefix_filter(level.filter("docs >= 10 AND prefix = X'6B6570746161'"))
-    found = divergence.refined(bags, 6, left).collect()
-    assert {bytes(t) for r in found for t in r.terms} == {b"kept" + b"a" * 30} and len(found) == 10
+    found = divergence.refined(cut, 6, left).collect()
+    assert {t for r in found for t in bytes(r.vocabulary).split()} == {b"kept" + b"a" * 30}
+    assert sum(len(r.docs) // 4 for r in found) == 10
+
+
+def test_small_slices_and_early_sums_give_the_same(spark, monkeypatch):
+    rows = audit_rows(80, 4)
+    monkeypatch.setattr(divergence, "CHARS", 40)
+    monkeypatch.setattr(divergence, "SUMS", 5)
+    monkeypatch.setattr(divergence, "PAIRS_AT_ONCE", 3)
+    same_rows(divergence.source_divergence(spark.createDataFrame(rows, AUDIT), 4),
+              brute.divergence([r[1:4] for r in rows], 4))
 
 
 # --- 12 -----------------------------------------------------------------------
