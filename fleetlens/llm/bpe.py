@@ -116,8 +116,9 @@ class Merges:
         return [sum(map(known.__getitem__, x)) + more for x, more in zip(plain, extra, strict=True)]
 
 
-def spaced_words(text: str) -> list[str]:
-    """Parts of a text that no pre-token crosses, in order.
+def spaced_words(text: str, mark: str = " ") -> list[str]:
+    """Parts of a text that no pre-token crosses, in order; all but the first
+    with ``mark`` for the space before them.
 
     A space between two visible characters always begins a pre-token, so the
     text is cut before each of them; runs of several white-space characters
@@ -127,7 +128,7 @@ def spaced_words(text: str) -> list[str]:
         first, *rest = re.split(r"(?<=\S) (?=\S)", text)
     else:
         first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]]
+    return [first, *([mark + w for w in rest] if mark else rest)]
 
 
 #: All white space that a regular expression's ``\\s`` may match.

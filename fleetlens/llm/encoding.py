@@ -1,47 +1,59 @@
-"""Whole texts to token ids with the tokenizers library, word by word.
-
-The library needs about ten microseconds a word; words repeat. Texts are cut
-where no token can cross. A part that is a word with ASCII punctuation behind it
-is two pre-tokens, which the library encodes each by itself, so they are cached
-apart; any other part is encoded as it is. The caches are bounded and live in
-the Python worker.
+"""Whole texts to token ids with the tokenizers library, by distinct words.
+
+The library needs about ten microseconds a word; words repeat. A slice of texts
+is cut where no token can cross, Arrow numbers its distinct parts, each of them is
+encoded once, and the texts' ids are gathered from the parts' by their numbers.
+A part that is a word with ASCII punctuation behind it is two pre-tokens, which
+the library encodes each by itself; its word is looked up in a bounded cache of
+words, which lives in the Python worker from slice to slice. Any other part is
+encoded as it is.
 """
 
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
+import unicodedata
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from fleetlens.llm.bpe import spaced_words
-from fleetlens.llm.common import RecentCache, per_process, tokenizer
+from fleetlens.llm.common import RecentCache, per_process, slices, tokenizer
 
-#: Cached parts and words, in each of a cache's two generations, and the
-#: length of the longest cached one.
-PARTS, WORDS = 300_000, 300_000
+#: Cached words, in each of the cache's two generations, and the length of the
+#: longest cached one.
+WORDS = 200_000
 CACHED_LENGTH = 64
 #: Words that go to the library as one text.
 LINE = 256
+#: Characters of the texts whose distinct parts are encoded together: the more,
+#: the fewer parts for each of them.
+CHARS = 6 << 20
 
 
 class ByteLevel:
     """Byte-level BPE without normaliser: cut before single spaces, which
     belong to the word behind them."""
 
-    between, mark = "\n", " "
+    between, mark, kind = "\n", " ", pa.string()
 
     @staticmethod
     def cut(text: str) -> list[str]:
-        return spaced_words(text)
+        """Parts without the space that begins all but the first."""
+        return spaced_words(text, "")
 
     text = staticmethod(str)
 
+    @staticmethod
+    def letters(word: str) -> bool:
+        return word.isalpha()
+
 
 class Words:
     """BPE over lower-case words that drops white space."""
 
-    between, mark = "|", ""
+    between, mark, kind = "|", "", pa.binary()
 
     @staticmethod
     def cut(text: str) -> list[bytes]:
@@ -51,6 +63,12 @@ class Words:
 
     text = staticmethod(bytes.decode)
 
+    @staticmethod
+    def letters(word: str) -> bool:
+        """Is the word one pre-token of letters after the file's normaliser
+        (NFC, then lower case)? Some letters become a letter and a mark."""
+        return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
 
 class Encoder:
     """Ids of whole texts, each text's as little-endian unsigned 32-bit."""
@@ -58,7 +76,7 @@ class Encoder:
     def __init__(self, scheme: ByteLevel | Words, path: str):
         self.scheme, self.lib = scheme, tokenizer(path)
         [self.separator] = self.lib.encode(scheme.between, add_special_tokens=False).ids
-        self.parts, self.words = RecentCache(PARTS), RecentCache(WORDS)
+        self.words = RecentCache(WORDS)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -66,21 +84,27 @@ class Encoder:
 
     def _lines(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters, many to a text: the separator between them
-        is a pre-token of its own, with an id that no letters give."""
+        is a pre-token of its own, with an id that no letters give. A line whose
+        separators do not all come back alone goes word by word."""
         out: list[bytes] = []
         lines = [words[i:i + LINE] for i in range(0, len(words), LINE)]
-        for e in self.lib.encode_batch_fast([self.scheme.between.join(x) for x in lines], add_special_tokens=False):
+        found = self.lib.encode_batch_fast([self.scheme.between.join(x) for x in lines], add_special_tokens=False)
+        for line, e in zip(lines, found, strict=True):
             ids = np.array(e.ids, dtype="<u4")
             data, start = ids.tobytes(), 0
-            for end in (4 * np.append(np.flatnonzero(ids == self.separator), len(ids))).tolist():
+            cuts = np.flatnonzero(ids == self.separator)
+            if len(cuts) != len(line) - 1:
+                out += self._whole(line)
+                continue
+            for end in (4 * np.append(cuts, len(ids))).tolist():
                 out.append(data[start:end])
                 start = end + 4
         return out
 
-    def _new_parts(self, parts: list) -> list[bytes]:
-        mark, parts = self.scheme.mark, list(map(self.scheme.text, parts))
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        mark, letters = self.scheme.mark, self.scheme.letters
         cores = [p.rstrip(string.punctuation) for p in parts]
-        plain = [c.startswith(mark) and c[len(mark):].isalpha() for c in cores]
+        plain = [c.startswith(mark) and len(c) <= CACHED_LENGTH and letters(c[len(mark):]) for c in cores]
         known = self.words.ready({c for c, ok in zip(cores, plain, strict=True) if ok}, self._lines)
         tails = list({p[len(c):] for p, c, ok in zip(parts, cores, plain, strict=True) if ok and len(p) > len(c)})
         ends = dict(zip(tails, self._whole(tails), strict=True)) | {"": b""}
@@ -88,14 +112,32 @@ class Encoder:
         return [known[c] + ends[p[len(c):]] if ok else next(odd)
                 for p, c, ok in zip(parts, cores, plain, strict=True)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [self.scheme.cut(t) for t in texts]
-        distinct = {p for x in parts for p in x}
-        long = [p for p in distinct if len(p) > CACHED_LENGTH]
-        known = self.parts.ready(distinct.difference(long), self._new_parts)
-        if long:
-            known = known | dict(zip(long, self._whole(list(map(self.scheme.text, long))), strict=True))
-        return [b"".join(map(known.__getitem__, x)) for x in parts]
+    def _slice(self, texts: list[str]) -> Iterator[bytes]:
+        cut = [self.scheme.cut(t) for t in texts]
+        sizes = np.array([len(x) for x in cut])
+        numbered = pa.array([p for x in cut for p in x], self.scheme.kind).dictionary_encode()
+        codes = numbered.indices.to_numpy().astype(np.int64)
+        parts = [self.scheme.mark + self.scheme.text(p) for p in numbered.dictionary.to_pylist()]
+        if self.scheme.mark:
+            # A text's first part has no mark before it.
+            firsts = {p: len(parts) + i for i, p in enumerate(dict.fromkeys(x[0] for x in cut))}
+            codes[np.cumsum(sizes) - sizes] = [firsts[x[0]] for x in cut]
+            parts += firsts
+        del cut, numbered
+        found = self._parts(parts)
+        lengths = np.array([len(x) // 4 for x in found], np.int64)
+        pool, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(lengths) - lengths
+        # Part after part, the places of its ids in the pool.
+        n = lengths[codes]
+        behind = np.cumsum(n)
+        ids = pool[np.repeat(starts[codes] - behind + n, n) + np.arange(behind[-1] if len(behind) else 0)]
+        ends = np.append(0, behind)[np.cumsum(sizes)] if len(sizes) else np.empty(0, np.int64)
+        for start, end in zip(np.append(0, ends).tolist(), ends.tolist(), strict=False):
+            yield ids[start:end].tobytes()
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for some in slices(texts, CHARS):
+            yield from self._slice(some)
 
 
 def encoder(scheme: Callable[[], ByteLevel | Words], path: str) -> Encoder:

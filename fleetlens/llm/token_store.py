@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import slices, text_of, vocabulary_path, written
+from fleetlens.llm.common import text_of, vocabulary_path, written
 from fleetlens.llm.encoding import Words, encoder, tokenizer
 from fleetlens.session import scratch_path
 
@@ -215,11 +215,10 @@ def write_store(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
                 out = fs.open_output_stream(base + ".ids")
             n_null += b.column(0).null_count
             doc_ids.append(b.column(0).fill_null(0).to_numpy(zero_copy_only=False))
-            for part in slices(b.column(1).to_pylist()):
-                for data in encode.encode(part):
-                    ids = data + tail
-                    lengths.append(len(ids) // 4)
-                    out.write(np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes() if item == 2 else ids)
+            for data in encode.encode(b.column(1).to_pylist()):
+                ids = data + tail
+                lengths.append(len(ids) // 4)
+                out.write(np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes() if item == 2 else ids)
         if out is None:
             return
         out.close()

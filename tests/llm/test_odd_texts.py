@@ -27,6 +27,19 @@ def test_ids(scheme, name):
     assert [np.frombuffer(x, "<u4").tolist() for x in encoding.Encoder(scheme(), path).encode(texts)] == want
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("form", ["{}", "ab{}cd", "ab{}", "{}ab", "ab{}."])
+def test_every_character_in_and_at_the_ends_of_words(name, form):
+    path = vocabulary_path(name)
+    scheme = encoding.Words if "word" in name else encoding.ByteLevel
+    lib = Tokenizer.from_file(path)
+    words = [form.format(chr(c)) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(words[i:i + 50]) for i in range(0, len(words), 50)]
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoding.Encoder(scheme(), path).encode(texts)]
+    assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
+
+
 def test_counts():
     path = vocabulary_path(bpe.VOCABULARY)
     texts = odd_texts()
