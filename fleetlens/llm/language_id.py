@@ -35,13 +35,15 @@ SAMPLE = 300
 ROUNDS = 2
 #: Added to each piece's expected count.
 SMOOTHING = 0.05
-#: Cached parts and words, in each of a cache's two generations, and the
-#: length of the longest cached one.
-PARTS, WORDS = 120_000, 150_000
+#: Cached words, in each of the cache's two generations, and the length of the
+#: longest cached one.
+WORDS = 150_000
 CACHED_LENGTH = 64
+#: Characters of the texts whose distinct words are scored together.
+CHARS = 6 << 20
 UNKNOWN = "und"
 BEGIN = "▁"
-LETTERS = r"[^\W\d_]+"
+WORD = re.compile(r"[^\W\d_]+")
 #: Forward values are scaled up when they fall below this, in long words.
 TINY = 1e-150
 
@@ -55,8 +57,14 @@ def public_pieces(path: str) -> list[str]:
             if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
 
 
+def letter_runs(word: str) -> list[str]:
+    """Maximal runs of letters: a regular expression's word characters have
+    numerals too that are no digits (a half, a superscript)."""
+    return [word] if word.isalpha() else "".join(c if c.isalpha() else " " for c in word).split()
+
+
 def words_of(text: str) -> list[str]:
-    return re.findall(LETTERS, text.lower())
+    return [run for word in WORD.findall(text.lower()) for run in letter_runs(word)]
 
 
 class Segmenter:
@@ -204,13 +212,13 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
 
 class Scorer:
-    """Log probabilities of whole texts. Parts between white space repeat:
-    what each adds is cached, and so are the words in them."""
+    """Log probabilities of whole texts: the distinct words of a slice of
+    texts are scored once, by a bounded cache, and added up by their numbers."""
 
     def __init__(self, model: LanguageModel):
         n = len(model.languages)
         self.segments, self.shares = Segmenter(model.table, n), np.array(model.shares)
-        self.parts, self.words = RecentCache(PARTS), RecentCache(WORDS)
+        self.words = RecentCache(WORDS)
         # Row 0: an end of pieces that is none itself.
         self.probabilities = np.array([(0.0,) * n, *model.table.values()])
         self.rows = {p[i:]: 0 for p in model.table for i in range(len(p))}
@@ -268,37 +276,36 @@ class Scorer:
         found = {w: x for w, x, sure in zip(short, logs, values.min(axis=1) > 1e-290, strict=True) if sure}
         return [found[w] if w in found else self.segments.log_likelihoods(w) for w in words]
 
-    def _new_parts(self, parts: list[str]) -> list[tuple[float, ...]]:
-        """Summed log probabilities of each part's words, and their number."""
-        words = [words_of(p) for p in parts]
-        distinct = {w for x in words for w in x}
-        long = [w for w in distinct if len(w) > CACHED_LENGTH]
+    def _values(self, words: list[str]) -> np.ndarray:
+        """A row a word: log probability in each language, and 1; a word with
+        numerals in it has its runs of letters added up, and their number."""
+        runs = [letter_runs(w) for w in words]
+        distinct = {r for x in runs for r in x}
+        long = [r for r in distinct if len(r) > CACHED_LENGTH]
         known = self.words.ready(distinct.difference(long), self._new)
         extra = dict(zip(long, self._new(long), strict=True))
+        of = {r: (*(extra.get(r) or known[r]), 1.0) for r in distinct}
         none = (0.0,) * (self.segments.n + 1)
-        return [(*(extra.get(x[0]) or known[x[0]]), 1.0) if len(x) == 1 else
-                tuple(map(sum, zip(*((*(extra.get(w) or known[w]), 1.0) for w in x), strict=True))) if x else none
-                for x in words]
+        return np.array([of[x[0]] if len(x) == 1 else tuple(map(sum, zip(*map(of.get, x), strict=True))) if x else none
+                         for x in runs]).reshape(len(runs), self.segments.n + 1)
 
-    def posteriors(self, texts: list[str]) -> list[np.ndarray | None]:
+    def posteriors(self, texts: list[str]) -> Iterator[np.ndarray | None]:
         """Of each text the languages' probabilities; None without letters."""
-        split = [t.lower().split() for t in texts]
-        distinct = {p for x in split for p in x}
-        long = [p for p in distinct if len(p) > CACHED_LENGTH]
-        known = self.parts.ready(distinct.difference(long), self._new_parts)
-        extra = dict(zip(long, self._new_parts(long), strict=True))
-        found = {p: i for i, p in enumerate(distinct)}
-        values = np.array([extra.get(p) or known[p] for p in found]).reshape(len(found), self.segments.n + 1)
-        out: list[np.ndarray | None] = []
-        for x in split:
-            sums = values[list(map(found.__getitem__, x))].sum(axis=0) if x else np.zeros(1)
-            if not sums[-1]:
-                out.append(None)
-                continue
-            logs = self.shares + sums[:-1]
-            p = np.exp(logs - logs.max())
-            out.append(p / p.sum())
-        return out
+        for some in slices(texts, CHARS):
+            found = [WORD.findall(t.lower()) for t in some]
+            doc = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            words = pa.array([w for x in found for w in x], pa.string()).dictionary_encode()
+            del found
+            values = self._values(words.dictionary.to_pylist())
+            codes = words.indices.to_numpy()
+            sums = np.stack([np.bincount(doc, values[codes, k], len(some)) for k in range(self.segments.n + 1)], axis=1)
+            for row in sums:
+                if not row[-1]:
+                    yield None
+                    continue
+                logs = self.shares + row[:-1]
+                p = np.exp(logs - logs.max())
+                yield p / p.sum()
 
 
 def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -313,10 +320,10 @@ def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text:
         scorer = per_process("language model", lambda: Scorer(model), model.version)
         for b in batches:
             best, scores = [], []
-            for part in slices([t or "" for t in b.column(1).to_pylist()]):
-                for p in scorer.posteriors(part) if model.languages else [None] * len(part):
-                    best.append(UNKNOWN if p is None else model.languages[int(p.argmax())])
-                    scores.append(0.0 if p is None else float(p.max()))
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            for p in scorer.posteriors(texts) if model.languages else [None] * len(texts):
+                best.append(UNKNOWN if p is None else model.languages[int(p.argmax())])
+                scores.append(0.0 if p is None else float(p.max()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(best, pa.string()), pa.array(scores, pa.float64())],
                                              ["doc_id", "lang_pred", "score"])
 
@@ -345,7 +352,7 @@ def with_language(docs: DataFrame, least: float = 0.5, doc_id: str = "doc_id", t
         scorer = per_process("language model", lambda: Scorer(model), model.version)
         for b in batches:
             texts = [t or "" for t in b.column(place).to_pylist()]
-            found = (p for part in slices(texts) for p in scorer.posteriors(part)) if model.languages else texts
+            found = scorer.posteriors(texts) if model.languages else texts
             keep = [p is not None and p.max() >= least if model.languages else bool(words_of(p)) for p in found]
             yield b.filter(pa.array(keep, pa.bool_()))
 
