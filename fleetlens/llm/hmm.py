@@ -1,58 +1,65 @@
 """A hidden Markov language model, trained by Baum-Welch over all partitions.
 
-Latent states follow a Markov chain; each state emits word classes. The most
-frequent words are classes of their own, all others share classes by their
-ending, so the states' tables have a fixed size however many words the corpus
-has. A word of a shared class has its own probability within the class, from
-the corpus counts; a word never seen takes the place kept for unseen ones. The
-probability of a text is the sum over all state paths, computed exactly by the
-scaled forward recursion, times the words' probabilities within their classes,
-its end included.
-
-Corpus counts are made of all training texts. Their number of distinct words
-has no bound, so no task or driver holds them: documents are dealt into blocks
-of bounded size, each block asks for the counts of its own words, and meets
-them again by its number.
-
-Baum-Welch runs over whole texts: each task sums expected counts of its
-documents, a fixed-size table, and Spark adds the tables up.
+Latent states follow a Markov chain; each state emits word classes. Every word
+that makes up a stated share of all training tokens (``OWN_SHARE``) is a class of
+its own, all others share classes by their ending, as many as there are own ones;
+so the states' tables follow the counts and are bounded by the share. A word of a
+shared class has its own probability within the class, from the corpus counts; a
+word never seen takes the place kept for unseen ones. The probability of a text is
+the sum over all state paths, computed exactly by the scaled forward recursion,
+times the words' probabilities within their classes, its end included.
+
+Texts are cut into words once, in slices of bounded size that hold a vocabulary
+and the words' numbers; every later pass reads those. Corpus counts are made of
+all training texts. Their number of distinct words has no bound, so no task or
+driver holds them: each slice asks for the counts of its own words and meets them
+again by its number.
+
+The first guess of the states comes from all training texts too: how often the
+most frequent words stand in a text together is a table of fixed size, whose rows
+fall into groups of words that go together, and every text counts towards the
+states by the groups its words are of. Then Baum-Welch runs over whole texts until
+a round gains less than ``TOLERANCE`` a token: each task sums the expected counts
+of its documents, and Spark adds the tables up.
 """
 
 from __future__ import annotations
 
-import math
-import uuid
-from collections import Counter
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import RecentCache, per_process, remainder, slices, text_of, written
+from fleetlens.llm.common import remainder, slices, text_of, written
 
 STATES = 8
-ROUNDS = 2
-#: Words with a class of their own, and classes that the others share.
-FREQUENT, SHARED = 4096, 4096
-#: Longer words always share a class, so the list of frequent ones is bounded.
-FREQUENT_BYTES = 64
+#: A word has a class of its own from this share of all training tokens on:
+#: there are at most 1 / OWN_SHARE of them.
+OWN_SHARE = 1 / 20_000
+#: Shared classes, at least; else as many as own ones.
+LEAST_SHARED = 1024
+#: Longer words are known to the list of classes by their digest.
+KEY_BYTES = 64
+#: Frequent words whose company makes the first guess.
+ANCHORS = 128
 #: Weight of the corpus's class frequencies in each state's table.
 PRIOR = 100.0
 STAY = 0.9
-#: Documents the first guess of the states is made from.
-SEEDS = 256
-#: Rows of an input partition that form a block.
-BLOCK = 8192
+#: Baum-Welch ends when a round gains less than this, in log10 a token; the
+#: number of rounds is a guard against a tolerance that is set too small.
+TOLERANCE, MOST_ROUNDS = 0.01, 30
+#: Characters of the texts of a slice (a longer text has one of its own).
+CHARS = 4 << 20
 #: Tokens whose state probabilities are held at once (or one document's).
 HELD = 1 << 18
-#: Distinct words counted before a task passes them on.
-COUNTED = 400_000
-#: Cached classes of words, in each of a worker cache's two generations.
-CACHE = 200_000
-#: The end of a text, as a word: no token has white space.
+#: The end of a text, as a word: no token has white space. It is word 0 of
+#: every slice.
 END = b" "
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -61,6 +68,16 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def key_of(word: bytes) -> bytes:
+    """What the list of classes knows a word by."""
+    return word if len(word) <= KEY_BYTES else hashlib.sha256(word).digest() + END
+
+
+def key_column(word: str) -> Column:
+    return F.when(F.octet_length(word) <= KEY_BYTES, F.col(word)).otherwise(
+        F.concat(F.unhex(F.sha2(word, 256)), F.lit(END)))
+
+
 class Classes:
     """Word classes: frequent words, the end, and the shared ones."""
 
@@ -68,32 +85,22 @@ class Classes:
         self.own = {w: i for i, w in enumerate(frequent)}
         self.end = len(frequent)
         self.own[END] = self.end
-        self.n = len(frequent) + 1 + SHARED
-        self.version = uuid.uuid4().hex
+        self.shared = max(LEAST_SHARED, len(frequent))
+        self.n = len(frequent) + 1 + self.shared
 
-    def of(self, words: list[bytes]) -> list[int]:
+    def of(self, words: list[bytes]) -> np.ndarray:
         """Words without a class of their own share one by the last three bytes
         of their letters and the mark that follows these."""
         import xxhash
 
-        own, first, digest, out = self.own, self.end + 1, xxhash.xxh64_intdigest, []
+        own, first, shared, digest, out = self.own, self.end + 1, self.shared, xxhash.xxh64_intdigest, []
         for w in words:
-            c = own.get(w)
+            c = own.get(w if len(w) <= KEY_BYTES else key_of(w))
             if c is None:
                 n = len(w.rstrip(PUNCTUATION))
-                c = first + digest(w[max(0, n - 3):n + 1]) % SHARED
+                c = first + digest(w[max(0, n - 3):n + 1]) % shared
             out.append(c)
-        return out
-
-    def sequences(self, texts: list[str]) -> list[np.ndarray]:
-        """Each text's classes, the end's at the end."""
-        cache = per_process("word classes", lambda: RecentCache(CACHE), self.version)
-        out = []
-        for part in slices(texts):
-            words = [words_of(t) for t in part]
-            known = cache.ready({w for x in words for w in x}, self.of)
-            out += [np.array([*map(known.__getitem__, x), self.end], dtype=np.int32) for x in words]
-        return out
+        return np.array(out, dtype=np.int32)
 
 
 class Chain:
@@ -138,11 +145,14 @@ class Chain:
             out[np.array(part)[order]] = total
         return out
 
-    def expected(self, sequences: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
-        """Adds the expected counts of starts, moves and emissions."""
+    def expected(self, sequences: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> float:
+        """Adds the expected counts of starts, moves and emissions; the
+        sequences' log10 probability."""
+        total = 0.0
         for part in _parts(sequences):
             _, classes, at = self._laid_out([sequences[i] for i in part])
             alpha, scale = self._forward(classes, at)
+            total += float(np.log10(scale).sum())
             beta = np.ones((int(at[1]), alpha.shape[1]))
             gamma = np.empty_like(alpha)
             bounds = at.tolist()
@@ -159,6 +169,7 @@ class Chain:
             start += gamma[:bounds[1]].sum(axis=0)
             for k in range(alpha.shape[1]):
                 emit[:, k] += np.bincount(classes, weights=gamma[:, k], minlength=len(emit))
+        return total
 
 
 def _parts(sequences: list[np.ndarray]) -> Iterator[list[int]]:
@@ -174,44 +185,86 @@ def _parts(sequences: list[np.ndarray]) -> Iterator[list[int]]:
         yield part
 
 
+def vocabulary_of(blob: bytes) -> list[bytes]:
+    """Words by number; 0 is the end."""
+    return [END, *blob.split(b" ")] if blob else [END]
+
+
+class Slice:
+    """A slice's texts as numbers."""
+
+    def __init__(self, row: dict[str, pa.Scalar]):
+        self.vocabulary = vocabulary_of(row["vocabulary"].as_py())
+        self.tokens = np.frombuffer(row["tokens"].as_buffer(), "<i4")
+        self.lengths = np.frombuffer(row["lengths"].as_buffer(), "<i4")
+        self.held_out = np.frombuffer(row["held"].as_buffer(), np.uint8).astype(bool)
+
+    def training(self) -> np.ndarray:
+        """Tokens of training texts, with their ends."""
+        return self.tokens[np.repeat(~self.held_out, self.lengths)]
+
+    def sequences(self, classes: Classes, only: np.ndarray | None = None) -> list[np.ndarray]:
+        """Each text's classes, the end's at the end; of the texts ``only``."""
+        of = classes.of(self.vocabulary)[self.tokens]
+        ends = np.cumsum(self.lengths)
+        which = np.arange(len(ends)) if only is None else np.flatnonzero(only)
+        return [of[ends[i] - self.lengths[i]:ends[i]] for i in which.tolist()]
+
+
+def each_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+    for b in batches:
+        for i in range(len(b)):
+            yield Slice({n: b.column(n)[i] for n in b.schema.names})
+
+
+NUMBERS = ["vocabulary", "tokens", "lengths", "held"]
+
+
 class Corpus:
-    """What training gathers: blocks of documents, counts of their words."""
+    """What training gathers: slices of texts, counts of their words."""
 
     def __init__(self, docs: DataFrame, doc_id: str, text: str, folds: int, held: int):
         rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"),
                            (remainder(doc_id, folds) == held).alias("held_out"))
-        # Rows of a partition are numbered in the lower 33 bits.
-        rows = rows.withColumn("number", F.monotonically_increasing_id())
-        self.docs = written(rows.withColumn("block", F.expr(f"number div {BLOCK}")).drop("number"), "blocks")
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found: Counter = Counter()
-            block = None
 
-            def emit():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(found), pa.int64()), pa.array(found.keys(), pa.binary()),
-                     pa.array(found.values(), pa.int64())], ["block", "word", "n"])
-                found.clear()
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = TaskContext.get().partitionId() << 33
+            for b in batches:
+                done = 0
+                for texts in slices(b.column(1).to_pylist(), CHARS):
+                    words = [words_of(t) for t in texts]
+                    numbered = pa.array([w for x in words for w in x], pa.binary()).dictionary_encode()
+                    lengths = np.array([len(x) + 1 for x in words])
+                    tokens = np.zeros(int(lengths.sum()), "<i4")
+                    inner = np.ones(len(tokens), bool)
+                    inner[np.cumsum(lengths) - 1] = False
+                    tokens[inner] = numbered.indices.to_numpy() + 1
+                    part = b.slice(done, len(texts))
+                    blobs = (b" ".join(numbered.dictionary.to_pylist()), tokens.tobytes(), lengths.astype("<i4").tobytes(),
+                             part.column(2).to_numpy(zero_copy_only=False).astype(np.uint8).tobytes())
+                    ids = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), part.column(0))
+                    yield pa.RecordBatch.from_arrays([pa.array([block]), ids, *(pa.array([x], pa.binary()) for x in blobs)],
+                                                     names=["block", "doc_ids", *NUMBERS])
+                    block, done = block + 1, done + len(texts)
+
+        kind = rows.schema["doc_id"].dataType.simpleString()
+        self.slices = written(rows.mapInArrow(
+            cut, f"block bigint, doc_ids array<{kind}>, " + ", ".join(f"{c} binary" for c in NUMBERS)), "slices",
+            {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"})
 
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for k, held_out, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    if found and (k != block or len(found) > COUNTED):
-                        yield from emit()
-                    block = k
-                    words = words_of(t)
-                    words.append(END)
-                    if held_out:
-                        for w in words:
-                            found[w] += 0
-                    else:
-                        found.update(words)
-            if found:
-                yield from emit()
-
-        asked = self.docs.select("block", "held_out", "text").mapInArrow(count, "block bigint, word binary, n bigint")
-        # A word has a row for each block at most (and one more for each time
-        # that a task passed its counts on).
+                for i, part in enumerate(each_slice([b])):
+                    n = np.bincount(part.training(), minlength=len(part.vocabulary))
+                    for low in range(0, len(n), 100_000):
+                        high = min(low + 100_000, len(n))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(high - low, b.column("block")[i].as_py())), pa.array(np.arange(low, high), pa.int32()),
+                             pa.array(part.vocabulary[low:high], pa.binary()), pa.array(n[low:high], pa.int64())],
+                            names=["block", "at", "word", "n"])
+
+        asked = self.slices.select("block", *NUMBERS).mapInArrow(count, "block bigint, at int, word binary, n bigint")
+        # A word has a row for each slice, at most.
         word = Window.partitionBy("word")
         self.words = written(
             asked.withColumn("c", F.sum("n").over(word))
@@ -219,8 +272,8 @@ class Corpus:
         distinct = self.words.filter("first and c > 0")
         row = distinct.agg(F.sum("c"), F.count("*")).first()
         self.tokens, self.distinct = row[0] or 0, row[1]
-        frequent = (distinct.filter((F.octet_length("word") <= FREQUENT_BYTES) & (F.col("word") != F.lit(END)))
-                    .orderBy(F.desc("c"), "word").limit(FREQUENT).select("word").collect())
+        frequent = (distinct.filter((F.col("c") >= OWN_SHARE * self.tokens) & (F.col("word") != F.lit(END)))
+                    .orderBy(F.desc("c"), "word").select(key_column("word")).collect())
         self.classes = Classes([bytes(r[0]) for r in frequent])
 
     def class_counts(self) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +283,7 @@ class Corpus:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens, distinct = np.zeros(classes.n, np.int64), np.zeros(classes.n, np.int64)
             for b in batches:
-                c = np.array(classes.of(b.column(0).to_pylist()), dtype=np.int64)
+                c = classes.of(b.column(0).to_pylist())
                 np.add.at(tokens, c, b.column(1).to_numpy())
                 np.add.at(distinct, c, 1)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes.n)), pa.array(tokens), pa.array(distinct)],
@@ -244,70 +297,130 @@ class Corpus:
             tokens[k], distinct[k] = t, w
         return tokens, distinct
 
+    def summed(self, rows: int, columns: int, add: Callable[[Slice, np.ndarray], None]) -> np.ndarray:
+        """A table of fixed size, added up over all slices: ``add`` gets a
+        slice and its task's table."""
+        names = [f"s{i}" for i in range(columns)]
 
-def first_guess(corpus: Corpus, usual: np.ndarray, states: int) -> Chain:
-    """States from a bounded set of training texts (those with the smallest
-    hashes): the texts most unlike one another begin, a mixture of unigram
-    models fitted to the set follows, states rarely change within a text."""
-    classes = corpus.classes
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [np.unique(x, return_counts=True) for x in classes.sequences(b.column(0).to_pylist())]
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = np.zeros((rows, columns))
+            for part in each_slice(batches):
+                add(part, table)
+            used = np.flatnonzero(table.any(axis=1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k.tolist() for k, _ in found], pa.list_(pa.int64())),
-                 pa.array([n.tolist() for _, n in found], pa.list_(pa.int64()))], ["class", "n"])
-
-    # Whole texts; what reaches the driver is at most SEEDS rows of all classes.
-    drawn = (corpus.docs.filter("not held_out").orderBy(F.xxhash64("doc_id", "text")).limit(SEEDS)
-             .select("text").mapInArrow(run, "class array<bigint>, n array<bigint>").collect())
-    counts = np.zeros((max(1, len(drawn)), classes.n))
-    for i, r in enumerate(drawn):
-        counts[i, r["class"]] = r["n"]
-    unit = np.sqrt(counts) / np.maximum(np.sqrt(counts.sum(axis=1)), 1)[:, None]
-    chosen = [int(counts.sum(axis=1).argmax())]
+                [pa.array(used), *[pa.array(np.ascontiguousarray(c)) for c in table[used].T]], ["row", *names])
+
+        found = (self.slices.select(*NUMBERS).mapInArrow(run, "row bigint, " + ", ".join(f"{c} double" for c in names))
+                 .groupBy("row").agg(*[F.sum(c).alias(c) for c in names]).collect())
+        table = np.zeros((rows, columns))
+        for r in found:
+            table[r[0]] = r[1:]
+        return table
+
+
+def groups_of(company: np.ndarray, states: int) -> np.ndarray:
+    """A group for each anchor, from how many texts have two of them: profiles
+    of company (cosine, against what frequency alone would give), centres far from
+    one another, then the nearest centre, centres moved until nothing changes."""
+    texts = np.maximum(np.diag(company), 1.0)
+    profile = company / np.sqrt(np.outer(texts, texts))
+    profile = profile - profile.mean(axis=0)
+    profile /= np.maximum(np.linalg.norm(profile, axis=1), 1e-12)[:, None]
+    chosen = [0]
     while len(chosen) < states:
-        # Long texts first among unlike ones: short ones say little.
-        like = (unit @ unit[chosen].T).max(axis=1)
-        chosen.append(int(((1 - like) * np.log1p(counts.sum(axis=1))).argmax()))
-    emit = counts[chosen] + PRIOR * usual
-    for _ in range(10):
-        logs = counts @ np.log(emit / emit.sum(axis=1, keepdims=True)).T
-        share = np.exp(logs - logs.max(axis=1, keepdims=True))
+        chosen.append(int((profile @ profile[chosen].T).max(axis=1).argmin()))
+    centres, group = profile[chosen], None
+    for _ in range(100):
+        now = (profile @ centres.T).argmax(axis=1)
+        if group is not None and (now == group).all():
+            break
+        group = now
+        centres = np.stack([profile[group == k].mean(axis=0) if (group == k).any() else centres[k] for k in range(states)])
+        centres /= np.maximum(np.linalg.norm(centres, axis=1), 1e-12)[:, None]
+    return group
+
+
+def first_guess(corpus: Corpus, usual: np.ndarray, states: int) -> Chain:
+    """States from all training texts: anchors (the most frequent words) that
+    stand together make a group, a text counts towards the states by the squared
+    share of its anchors in each group (all alike without an anchor)."""
+    classes = corpus.classes
+    anchors = min(ANCHORS, classes.end)
+    flat = Chain(np.full(states, 1.0 / states), _stay(states), np.repeat(usual[:, None], states, axis=1))
+    if anchors < states:
+        # Too few frequent words for a guess: states that differ by a fixed jitter.
+        jitter = np.random.default_rng(0).uniform(0.5, 1.5, flat.emit.shape)
+        flat.emit = flat.emit * jitter / (flat.emit * jitter).sum(axis=0)
+        return flat
+
+    def docs_of(part: Slice) -> tuple[np.ndarray, np.ndarray]:
+        """Class and text number of each token of training texts."""
+        of = classes.of(part.vocabulary)[part.tokens]
+        doc = np.repeat(np.arange(len(part.lengths)), part.lengths)
+        on = np.repeat(~part.held_out, part.lengths)
+        return of[on], doc[on]
+
+    def company(part: Slice, table: np.ndarray) -> None:
+        of, doc = docs_of(part)
+        there = of < anchors
+        for low in range(0, len(part.lengths), 4096):
+            here = there & (doc >= low) & (doc < low + 4096)
+            has = np.zeros((4096, anchors), np.float32)
+            has[doc[here] - low, of[here]] = 1.0
+            table += has.T @ has
+
+    group = groups_of(corpus.summed(anchors, anchors, company), states)
+
+    def lean(part: Slice, table: np.ndarray) -> None:
+        of, doc = docs_of(part)
+        share = np.zeros((len(part.lengths), states))
+        there = of < anchors
+        np.add.at(share, (doc[there], group[of[there]]), 1.0)
+        share = (share + 1e-6) ** 2
         share /= share.sum(axis=1, keepdims=True)
-        emit = share.T @ counts + PRIOR * usual
+        for k in range(states):
+            table[:, k] += np.bincount(of, weights=share[doc, k], minlength=classes.n)
+
+    emit = corpus.summed(classes.n, states, lean) + PRIOR * usual[:, None]
+    return Chain(np.full(states, 1.0 / states), _stay(states), emit / emit.sum(axis=0))
+
+
+def _stay(states: int) -> np.ndarray:
     move = np.full((states, states), (1 - STAY) / max(1, states - 1))
     np.fill_diagonal(move, STAY if states > 1 else 1.0)
-    return Chain(np.full(states, 1.0 / states), move, (emit / emit.sum(axis=1, keepdims=True)).T)
+    return move
 
 
-def baum_welch(corpus: Corpus, chain: Chain, usual: np.ndarray) -> Chain:
-    """One round over all training texts."""
+def baum_welch(corpus: Corpus, chain: Chain, usual: np.ndarray) -> tuple[Chain, float]:
+    """One round over all training texts: the new chain, and the old one's
+    log10 probability of them (of classes)."""
     classes, k = corpus.classes, len(chain.start)
-    schema = "row bigint, " + ", ".join(f"s{i} double" for i in range(k))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((classes.n, k))
-        for b in batches:
-            chain.expected(classes.sequences(b.column(0).to_pylist()), start, move, emit)
-        sums = np.vstack([emit, move, start])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(sums))), *[pa.array(np.ascontiguousarray(c)) for c in sums.T]],
-            ["row", *[f"s{i}" for i in range(k)]])
-
-    found = (corpus.docs.filter("not held_out").select("text").mapInArrow(run, schema)
-             .groupBy("row").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]).collect())
-    sums = np.zeros((classes.n + k + 1, k))
-    for r in found:
-        sums[r[0]] = r[1:]
+
+    def add(part: Slice, table: np.ndarray) -> None:
+        emit, move, start = table[:classes.n], table[classes.n:classes.n + k], table[classes.n + k]
+        table[-1, 0] += chain.expected(part.sequences(classes, ~part.held_out), start, move, emit)
+
+    sums = corpus.summed(classes.n + k + 2, k, add)
     emit = sums[:classes.n] + PRIOR * usual[:, None]
-    move = sums[classes.n:-1] + 1.0
-    start = sums[-1] + 1.0
-    return Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    move = sums[classes.n:classes.n + k] + 1.0
+    start = sums[classes.n + k] + 1.0
+    better = Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    return better, float(sums[-1, 0])
+
+
+def trained(corpus: Corpus, usual: np.ndarray, states: int, tolerance: float = TOLERANCE) -> Chain:
+    """Rounds of Baum-Welch until one gains less than ``tolerance`` a token."""
+    chain, before = first_guess(corpus, usual, states), None
+    for _ in range(MOST_ROUNDS):
+        chain, logs = baum_welch(corpus, chain, usual)
+        if before is not None and logs - before < tolerance * max(corpus.tokens, 1):
+            break
+        before = logs
+    return chain
 
 
 def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, held: int = 2,
-           states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
+           states: int = STATES, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per row: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigrams), score (the model's log10 probability).
 
@@ -320,34 +433,33 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     classes = corpus.classes
     tokens, distinct = corpus.class_counts()
     usual = (tokens + 1.0) / (tokens.sum() + classes.n)
-    chain = first_guess(corpus, usual, states)
-    for _ in range(rounds):
-        chain = baum_welch(corpus, chain, usual)
+    chain = trained(corpus, usual, states, tolerance)
     n, v = int(corpus.tokens), int(corpus.distinct)
     # Within a shared class, a place is kept for unseen words.
     room = tokens + distinct + 1
-
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        spelled = words["word"].to_pylist()
-        place = {w: i for i, w in enumerate(spelled)}
-        c = words["c"].to_numpy()
-        of = np.array(classes.of(spelled), dtype=np.int32)
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def run(block: pa.Table, words: pa.Table) -> pa.Table:
+        if not len(block):
+            return pa.table({c: pa.array([], t) for c, t in zip(names, kinds, strict=True)})
+        row = {c: block[c].combine_chunks()[0] for c in NUMBERS}
+        part = Slice(row)
+        c = np.zeros(len(part.vocabulary), np.int64)
+        c[words["at"].to_numpy()] = words["c"].to_numpy()
+        of = classes.of(part.vocabulary)
         base = np.log10((c + 1) / (n + v + 1))
         inside = np.where(of > classes.end, np.log10((c + 1) / room[of]), 0.0)
-        known = c > 0
-        sequences, rows = [], []
-        for t in texts["text"].to_pylist():
-            at = np.fromiter(map(place.__getitem__, [*words_of(t), END]), dtype=np.int64)
-            sequences.append(of[at])
-            rows.append((len(at), int(known[at].sum()), math.fsum(base[at]), math.fsum(inside[at])))
-        total, seen, unigram, within = zip(*rows, strict=True) if rows else ((), (), (), ())
-        score = chain.log10_likelihoods(sequences) + np.array(within)
-        return pa.table({
-            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(total, pa.int64()),
-            "n_known": pa.array(seen, pa.int64()), "train_tokens": pa.array([n] * len(rows), pa.int64()),
-            "base_score": pa.array(unigram, pa.float64()), "score": pa.array(score, pa.float64())})
-
-    kind = corpus.docs.schema["doc_id"].dataType.simpleString()
-    return (corpus.docs.groupBy("block").cogroup(corpus.words.select("block", "word", "c").groupBy("block"))
-            .applyInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
+        starts = np.cumsum(part.lengths) - part.lengths
+        # Every text has a token, its end.
+        known, unigram, within = (np.add.reduceat(x[part.tokens], starts) for x in ((c > 0).astype(np.int64), base, inside))
+        score = chain.log10_likelihoods(part.sequences(classes)) + within
+        ids = block["doc_ids"].combine_chunks().flatten()
+        columns = (ids, part.held_out, part.lengths.astype(np.int64), known, np.full(len(ids), n, np.int64), unigram, score)
+        return pa.table([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=names)
+
+    element = corpus.slices.schema["doc_ids"].dataType.elementType
+    kinds = [to_arrow_type(element), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    # A block is one slice and its words' counts.
+    return (corpus.slices.groupBy("block").cogroup(corpus.words.select("block", "at", "c").groupBy("block"))
+            .applyInArrow(run, f"doc_id {element.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, "
                                "train_tokens bigint, base_score double, score double"))
