@@ -3,10 +3,11 @@
 A sketch keeps every shingle hash below a fixed fraction of the hash space, so
 its size follows the text's length, and sketches of very unequal texts can be
 compared and merged: hashes below the threshold of both are a uniform sample of
-the union's shingles. Short texts would keep next to nothing; a sketch
-therefore also keeps its ``FLOOR`` smallest hashes, and carries ``limit``, the
-bound up to which it is complete. Two sketches are compared below the smaller
-of their limits; texts of up to ``FLOOR`` shingles are compared exactly.
+the union's shingles. One fraction for all lengths would keep next to nothing of
+a short text, so fractions are a ladder (``LADDER``): all hashes of a text of few
+shingles, a fixed part of a longer text's. A sketch carries ``limit``, the bound up
+to which it is complete, and two sketches are compared below the smaller of their
+limits; texts on the lowest step are compared exactly.
 
 Shingles are ``WORDS`` consecutive words (maximal runs without ASCII white
 space, lower case); a text of fewer words is one shingle, one without words has
@@ -15,6 +16,8 @@ none. DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,14 +25,15 @@ from pyspark.sql.window import Window
 from fleetlens.llm.common import SPACE, text_of, written
 
 WORDS = 5
-#: One hash in SCALE is kept, whatever the text's length.
+#: Distinct shingles up to which one hash in so many is kept; beyond, one in SCALE.
+LADDER = ((256, 1), (2048, 4))
 SCALE = 16
-FLOOR = 64
 #: Hashes are non-negative: XXH64 without its sign bit.
 TOP = (1 << 63) - 1
 
 
-def with_sketch(df: DataFrame, text: str, name: str, scale: int = SCALE, floor: int = FLOOR) -> DataFrame:
+def with_sketch(df: DataFrame, text: str, name: str, ladder: Sequence[tuple[int, int]] = LADDER,
+                scale: int = SCALE) -> DataFrame:
     """``df`` with struct ``name`` (limit long, hashes sorted array<long>).
 
     The steps are columns of their own because a lambda would evaluate an
@@ -42,8 +46,9 @@ def with_sketch(df: DataFrame, text: str, name: str, scale: int = SCALE, floor:
                           lambda i: F.xxhash64(F.slice(words, i, WORDS)).bitwiseAND(TOP))
     df = df.withColumn(hashes, F.when(F.size(words) > 0, F.sort_array(F.array_distinct(shingle)))
                        .otherwise(F.array().cast("array<bigint>")))
-    limit = (F.when(F.size(hashes) <= floor, F.lit(TOP))
-             .otherwise(F.greatest(F.lit(TOP // scale), F.get(hashes, F.lit(floor - 1)))))
+    limit = F.lit(TOP // scale)
+    for up_to, one_in in reversed(ladder):
+        limit = F.when(F.size(hashes) <= up_to, F.lit(TOP // one_in)).otherwise(limit)
     df = df.withColumn(f"{name}_limit", limit)
     kept = F.filter(hashes, lambda h: h <= F.col(f"{name}_limit"))
     return (df.withColumn(name, F.struct(F.col(f"{name}_limit").alias("limit"), kept.alias("hashes")))
