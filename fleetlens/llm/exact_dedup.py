@@ -39,21 +39,19 @@ def _merged(runs: DataFrame, fan_in: int) -> DataFrame:
             .agg(F.min("first").alias("first"), F.sum("copies").alias("copies")))
 
 
-def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                fan_in: int = 8) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Texts are equal when identical after ``normalised``; a null text counts as
-    empty. Of equal texts the row with the smallest doc_id stays; a row
-    without doc_id comes after all others, and of repeated rows one stays.
-    An empty table gives an empty result. Other columns are not read.
-    """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("norm"))
-    leaf = written(rows.select(
-        "doc_id", F.unhex(F.sha2("norm", 256)).alias("digest"),
-        F.xxhash64("norm").alias("witness"), F.octet_length("norm").alias("n_bytes"),
-        F.monotonically_increasing_id().alias("row")), "exact-rows")
-    # The upper bits of a row's number are its input partition.
+def _leaves(docs: DataFrame, doc_id: str, text: str, name: str) -> DataFrame:
+    """``docs`` with a struct ``name``: doc_id, the text's digest, witness and
+    length, and the row's number, whose upper bits are its input partition."""
+    norm = free_name(docs.columns, f"{name}_norm")
+    leaf = F.struct(F.col(doc_id).alias("doc_id"), F.unhex(F.sha2(norm, 256)).alias("digest"),
+                    F.xxhash64(norm).alias("witness"), F.octet_length(norm).alias("n_bytes"),
+                    F.monotonically_increasing_id().alias("row"))
+    return docs.withColumn(norm, normalised(text)).withColumn(name, leaf).drop(norm)
+
+
+def _classes(leaf: DataFrame, fan_in: int) -> DataFrame:
+    """The rows of a written table of leaves with ``first`` (the struct of the
+    row of their class that stays) and ``copies``."""
     leaf = leaf.withColumn("run", F.shiftright("row", 33))
     n_runs = (leaf.agg(F.max("run")).first()[0] or 0) + 1
 
@@ -68,24 +66,32 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         above = answer.withColumnRenamed("run", "parent")
         answer = (lower.select("run", F.expr(f"run div {fan_in}").alias("parent"), *KEY)
                   .join(above, ["parent", *KEY]).drop("parent"))
-    return (leaf.withColumn("run", F.expr(f"run div {fan_in}"))
-            .join(answer, ["run", *KEY])
-            .select("doc_id", F.col("first.doc_id").alias("keep_id"),
-                    F.col("copies").alias("group_size"),
-                    (F.col("row") == F.col("first.row")).alias("kept"),
-                    F.lower(F.hex("digest")).alias("text_sha256")))
+    return leaf.withColumn("run", F.expr(f"run div {fan_in}")).join(answer, ["run", *KEY])
 
 
-def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                   fan_in: int = 8) -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns
-    (of rows equal in doc_id and text, one)."""
-    key = free_name(docs.columns, "kept_key")
+def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                fan_in: int = 8) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when identical after ``normalised``; a null text counts as
+    empty. Of equal texts the row with the smallest doc_id stays; a row
+    without doc_id comes after all others, and of repeated rows one stays.
+    An empty table gives an empty result. Other columns are not read.
+    """
+    leaf = written(_leaves(docs.select(doc_id, text), doc_id, text, "exact_leaf").select("exact_leaf.*"), "exact-rows")
+    return _classes(leaf, fan_in).select(
+        "doc_id", F.col("first.doc_id").alias("keep_id"), F.col("copies").alias("group_size"),
+        (F.col("row") == F.col("first.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
-    def keyed(identifier: Column, sha: Column) -> Column:
-        return F.concat(sha, F.coalesce(identifier.cast("string"), F.lit(""))).alias(key)
 
-    kept = (exact_dedup(docs, doc_id, text, fan_in).filter("kept")
-            .select(keyed(F.col("doc_id"), F.col("text_sha256"))))
-    rows = docs.select("*", keyed(F.col(doc_id), F.sha2(normalised(text), 256)))
-    return rows.dropDuplicates([key]).join(kept, key, "left_semi").drop(key)
+def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                   fan_in: int = 8) -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns.
+
+    Rows are numbered once, in a written table, so that what is dropped is the
+    same rows whichever executor is lost; only digests and numbers are merged."""
+    key = free_name(docs.columns, "exact_key")
+    marked = written(_leaves(docs, doc_id, text, key), "exact-marked")
+    dropped = (_classes(marked.select(f"{key}.*"), fan_in).filter("row <> first.row")
+               .select(F.col("row").alias(key)))
+    return marked.join(dropped, marked[f"{key}.row"] == dropped[key], "left_anti").drop(key)

@@ -27,11 +27,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import checkpointed, written
+from fleetlens.llm.common import checkpointed, free_name, written
 from fleetlens.llm.components import connected_components
 
 WORDS = 3
@@ -307,10 +308,28 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
                         max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's smallest, with
-    all their columns. Rows that share a doc_id are one document, of which one
-    row stays; a row without doc_id has no key to be dropped by and stays."""
-    groups = simhash_groups(docs, doc_id, text, words, max_distance)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    named = docs.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
-    return named.join(kept, doc_id, "left_semi").select(docs.columns).union(docs.filter(F.col(doc_id).isNull()))
+    """One row of each component, with all its columns: that of the smallest
+    doc_id (of rows with one doc_id the first in the table as it is written here).
+    Rows that share a doc_id and are not near copies all stay; so does a row
+    without doc_id, which no other stands for.
+
+    Rows are numbered once, in a written table, so that what is dropped is the
+    same rows whichever executor is lost; only numbers and fingerprints meet."""
+    key = free_name(docs.columns, "near_key")
+
+    @F.pandas_udf("bigint")
+    def fingerprint(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint_of(t or "", words) for t in texts], np.uint64).view(np.int64))
+
+    marked = written(docs.select("*", F.struct(fingerprint(F.col(text).cast("string")).alias("fp"),
+                                               F.monotonically_increasing_id().alias("row")).alias(key)), "near-marked")
+    rows = marked.select(F.col(doc_id).alias("doc_id"), F.col(f"{key}.fp"), F.col(f"{key}.row"))
+    rows = rows.filter(F.col("doc_id").isNotNull())
+    first = F.min(F.struct("doc_id", "row"))
+    # Copies of one fingerprint first, then the fingerprints of a component.
+    distinct = checkpointed(rows.groupBy("fp").agg(first.alias("first")))
+    roots = connected_components(fingerprint_links(distinct.select("fp"), max_distance), "a", "b")
+    kept = (distinct.join(roots, distinct.fp == roots.node, "left").groupBy(F.coalesce("root", "fp"))
+            .agg(F.min("first").alias("first")).select(F.col("first.row").alias("row")))
+    dropped = rows.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", key)
+    return marked.join(dropped, marked[f"{key}.row"] == dropped[key], "left_anti").drop(key)
