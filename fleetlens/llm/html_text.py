@@ -14,7 +14,8 @@ a page are one page for all this; if a host's pages share more text than they
 differ in, they are near copies of an article and no text is a notice.
 
 Besides, fixed lists name elements (navigation, footers, forms) and words of
-class, id and role (advertisements, comments) that mark other regions. The
+class, id and role (advertisements, comments) that mark other regions; a word of
+several parts counts if all of them are such words or name a container. The
 template overrules the words where nearly all of a host's differing text stands
 in marked regions and none in an article element, and it keeps a header that
 differs between pages.
@@ -41,8 +42,12 @@ from pyspark.sql.window import Window
 
 from fleetlens.llm.common import written
 
-#: Pages that must share a text before it counts as the template's.
-SAME_TEXT_PAGES = 5
+#: Pages that must share a text before it counts as the template's: one page
+#: alone says nothing.
+SAME_TEXT_PAGES = 2
+#: Elements deeper than this stand for the element around them at this depth, so
+#: that the paths of a page grow with its size alone.
+DEPTH = 256
 #: Tokens of a class in the template, at least.
 CLASS_TOKENS = 2
 #: A list of links: fewer characters a text than this, and more than one a page.
@@ -65,17 +70,27 @@ CLOSED_BY_SIBLING = {
     "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 # Regions that are not the article, by element and by words of class, id or role.
 OTHER_ELEMENTS = frozenset(
-    "head nav footer aside form button select dialog menu template svg object audio video canvas".split()) | RAW
+    "head nav footer aside form button select dialog menu template svg math object audio video canvas".split()) | RAW
 OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs masthead topbar footer comment comments reply replies cookie cookies consent "
     "notice notices alert popup modal overlay newsletter subscribe subscription share sharing social related "
     "recommended widget toolbar pagination pager login signup search complementary contentinfo".split())
-
+# Parts beside them that only say what kind of container it is.
+CONTAINER_WORDS = frozenset(
+    "area bar block body bottom box button buttons col column container content entry form group head header holder inner "
+    "item items left link links list main module outer page panel post posts primary right row secondary section side site "
+    "slot space spot thread top unit wrap wrapper zone".split())
+# Words that inside an article may as well name what it is about.
+SUBJECT_WORDS = frozenset("social search menu banner alert notice notices complementary widget".split())
+
+# A quote opens a value only behind "=".
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)", re.S)
+HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)")
+NUMBER = re.compile(r"\d+")
+PART = re.compile(r"[-_]+")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 # How surely a text is not the article's: a header can be the page's own, a
 # word of a class can mislead, an element or a hidden one does not.
@@ -100,28 +115,41 @@ class Element(NamedTuple):
     path: str
     other: int
     link: bool
+    depth: int  # block elements around it and itself
 
 
 def _named(attributes: str) -> tuple[str, set[str], bool]:
-    """First class, whole words of class, id and role, and whether it is hidden."""
+    """First class, whole words of class, id and role, and whether it is
+    hidden. Numbers in a class are one sign: ``post-17`` and ``post-18`` are one."""
     first, words, hidden = "", set(), False
     for key, *values in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), "".join(values).lower().split()
-        hidden = hidden or key == "hidden"
-        if key == "class" and value and not first:
-            first = value[0]
+        key, value = key.lower(), "".join(values).lower()
+        hidden = hidden or key == "hidden" or (key == "style" and HIDDEN.search(value) is not None)
+        if key == "class" and value.strip() and not first:
+            first = NUMBER.sub("#", value.split()[0])
         if key in ("class", "id", "role"):
-            words.update(value)
+            words.update(value.split())
     return first, words, hidden
 
 
+def other_word(word: str) -> str | None:
+    """The part of a class word that names another region, if all its parts
+    are such words, containers or numbers."""
+    if word in OTHER_WORDS:
+        return word
+    parts = [p for p in PART.split(word) if p]
+    if len(parts) > 1 and all(p in OTHER_WORDS or p in CONTAINER_WORDS or p.isdigit() for p in parts):
+        return next((p for p in parts if p in OTHER_WORDS), None)
+    return None
+
+
 def mark(name: str, words: set[str], hidden: bool, in_article: bool) -> int:
     """How surely an element is not the article, by itself."""
     if name in WHOLE:
         return ELEMENT if hidden and name not in ("html", "body") else PLAIN
     if hidden or (name in OTHER_ELEMENTS and name not in WRAPPERS):
         return ELEMENT
-    if name in WRAPPERS or not words.isdisjoint(OTHER_WORDS):
+    if name in WRAPPERS or any((w := other_word(x)) and not (in_article and w in SUBJECT_WORDS) for x in words):
         return WORD
     return HEADER if not in_article and (name == "header" or "header" in words) else PLAIN
 
@@ -130,25 +158,35 @@ def parse(page: str) -> tuple[list[Block], Counter]:
     """Text blocks in page order, and how often each block path opens."""
     blocks: list[Block] = []
     paths: Counter = Counter()
-    stack = [Element("", "", PLAIN, False)]
+    stack = [Element("", "", PLAIN, False, 0)]
+    opened: Counter = Counter()  # elements on the stack, by name
     pending: list[str] = []
     linked = 0
 
+    def push(e: Element) -> None:
+        stack.append(e)
+        opened[e.name] += 1
+
+    def cut(depth: int) -> None:
+        opened.subtract(e.name for e in stack[depth:])
+        del stack[depth:]
+
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(pending)).split()) if pending else ""
         pending.clear()
         if text:
-            top = stack[-1]
-            path = next(e.path for e in reversed(stack) if e.name not in INLINE)
-            blocks.append(Block(path, text, top.other, min(linked, len(text))))
+            top = stack[-1]  # an inline element has the path of the block around it
+            blocks.append(Block(top.path, text, top.other, min(linked, len(text))))
         linked = 0
 
     def close(names: set[str], barriers: set[str]) -> None:
+        if not any(opened[n] for n in names):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].name in names:
                 flush()
-                del stack[depth:]
+                cut(depth)
                 return
             if stack[depth].name in barriers:
                 return
@@ -164,24 +202,24 @@ def parse(page: str) -> tuple[list[Block], Counter]:
         if m is None:
             break
         at = m.end()
-        name = m[2] or m[5]
+        name = m[2]
         if name is None:
             if m[0].startswith("<![CDATA["):
                 pending.append(html.escape(m[0][9:].removesuffix("]]>")))
             continue
-        name, closing, attributes = name.lower(), m[1] or m[4], m[3] or m[6] or ""
+        name, closing, attributes = name.lower(), m[1], m[3] or ""
         if closing:
-            if name in INLINE:  # not beyond the block it stands in
+            if name not in INLINE:
+                close({name}, set())
+            elif opened[name]:  # not beyond the block it stands in
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].name not in INLINE:
                         break
                     if stack[depth].name == name:
                         if stack[depth].other != stack[depth - 1].other:
                             flush()
-                        del stack[depth:]
+                        cut(depth)
                         break
-            elif any(e.name == name for e in stack):
-                close({name}, set())
             continue
         if name in VOID:
             if name not in INLINE:
@@ -190,25 +228,27 @@ def parse(page: str) -> tuple[list[Block], Counter]:
                 pending.append(" ")
             continue
         first, words, hidden = _named(attributes) if attributes.strip() else ("", set(), False)
-        in_article = any(e.name in ("article", "main") for e in stack)
+        if name not in INLINE:
+            flush()
+            if name in CLOSED_BY_SIBLING:
+                close(*CLOSED_BY_SIBLING[name])
+            else:
+                close({"p"}, {"table", "td", "th", "li", "button", "object", "article", "section", "div"})
+        in_article = opened["article"] + opened["main"] > 0
         other = max(stack[-1].other, mark(name, words, hidden, in_article))
         if name in INLINE:
             if other != stack[-1].other:
                 flush()
-            stack.append(Element(name, stack[-1].path, other, name == "a" or stack[-1].link))
+            push(Element(name, stack[-1].path, other, name == "a" or stack[-1].link, stack[-1].depth))
             continue
-        flush()
-        if name in CLOSED_BY_SIBLING:
-            close(*CLOSED_BY_SIBLING[name])
-        elif any(e.name == "p" for e in stack):
-            close({"p"}, {"table", "td", "th", "li", "button", "object", "article", "section", "div"})
-        path = f"{stack[-1].path}/{name}" + (f".{first}" if first else "")
-        paths[path] += 1
+        depth = stack[-1].depth + 1
+        path = f"{stack[-1].path}/{name}" + (f".{first}" if first else "") if depth <= DEPTH else stack[-1].path
+        paths[path] += depth <= DEPTH
         if name in RAW:
             close_tag = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
             at = close_tag.end() if close_tag else end
             continue
-        stack.append(Element(name, path, other, stack[-1].link))
+        push(Element(name, path, other, stack[-1].link, depth))
     flush()
     return blocks, paths
 

@@ -210,10 +210,26 @@ def test_edited_fingerprints(docs):
         assert all(tuple(m) == tuple(r) for m in more)
         assert (r.n_chars, r.edited_sha256) == (n, brute.sha(edited))
         near = brute.jaccard(brute.shingles(this[2]), brute.shingles(edited))
-        few = max(len(brute.shingles(this[2])), len(brute.shingles(edited))) <= fingerprint.FLOOR
+        few = max(len(brute.shingles(this[2])), len(brute.shingles(edited))) <= fingerprint.LADDER[0][0]
         assert r.near_edited == pytest.approx(near, abs=1e-12 if few else 0.25)
 
 
+@pytest.mark.parametrize("n", [65, 256, 257, 1000, 2048, 2049, 6000, 20000])
+def test_likeness_of_any_length_is_near_the_exact(spark, n):
+    a = " ".join(f"w{i}" for i in range(n))
+    pairs = [(a, " ".join(f"w{i}" if i < n * share else f"v{i}" for i in range(n))) for share in (0.25, 0.5, 0.9)]
+    df = spark.createDataFrame([*pairs, (a, a), (a, a[:600])], "a string, b string")
+    for c in "ab":
+        df = fingerprint.with_sketch(df, c, f"s{c}")
+    df = fingerprint.compared(df, "sa", "sb", "near", "inside")
+    for r in df.collect():
+        want = brute.jaccard(brute.shingles(r.a), brute.shingles(r.b))
+        exact = max(len(brute.shingles(x)) for x in (r.a, r.b)) <= 256
+        assert r.near == pytest.approx(want, abs=1e-12 if exact or r.a == r.b else 0.17)
+        for s in (r.sa, r.sb):
+            assert all(h <= s.limit for h in s.hashes) and s.limit in {fingerprint.TOP // k for k in (1, 4, 16)}
+
+
 def test_sketches_merge(spark):
     a, b = " ".join(f"a{i}" for i in range(3000)), " ".join(f"b{i}" for i in range(70))
     df = spark.createDataFrame([(a, b)], "a string, b string")
@@ -286,6 +302,30 @@ def test_long_words_are_learnt_from():
     assert all(long[p] == pytest.approx(short[p]) for p in ("a", "b", "ab", "<0xC3>"))
 
 
+def test_hmm_learns_more_than_word_counts_and_ends(spark):
+    df = documents(spark, SF_SMALL)
+    rows = hmm.scored(df).filter("held_out").collect()
+    tokens = sum(r.n_tokens for r in rows)
+    assert sum(r.score for r in rows) / tokens > sum(r.base_score for r in rows) / tokens + 0.2
+
+
+def test_hmm_of_few_words_and_of_long_ones(spark):
+    long = "w" * 300
+    rows = [(i, f"{long} a b {long} c{i % 3}") for i in range(40)] + [(99, None)]
+    got = hmm.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 41 and all(r.score < 0 for r in got)
+    want = brute.unigram_rows([(i, t or "") for i, t in rows])
+    assert Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got) == Counter(
+        (i, n, k, b) for i, _, n, k, _, b in want)
+
+
+def test_hmm_slices_of_any_size_give_the_same_scores(docs, monkeypatch):
+    whole = {(r.doc_id, r.n_tokens): r.score for r in hmm.scored(docs).collect()}
+    monkeypatch.setattr(hmm, "CHARS", 500)
+    for r in hmm.scored(docs).collect():
+        assert r.score == pytest.approx(whole[r.doc_id, r.n_tokens], rel=1e-6)
+
+
 def test_hmm_scores(docs):
     got = hmm.scored(docs).collect()
     want = brute.unigram_rows(texts())
@@ -309,6 +349,21 @@ def test_forward_recursion_sums_all_paths():
     assert better.log10_likelihoods(sequences).sum() > chain.log10_likelihoods(sequences).sum()
 
 
+def test_one_document_id_with_two_texts(spark):
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, EN_TEXT), (1, long), (1, long), (2, long + " end"), (3, EN_TEXT), (None, EN_TEXT)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, row string").repartition(3)
+    near = [(r.doc_id, r.text) for r in simhash.without_near_copies(df).collect()]
+    roots = {t: c for (_, t), (_, _, c) in zip(rows, brute.simhash_groups(rows))}
+    assert Counter(near)[1, EN_TEXT] == Counter(near)[1, long] == 1 and (3, EN_TEXT) not in near
+    assert ((2, long + " end") in near) == (roots[long + " end"] == 2)
+    exact = [(r.doc_id, r.text) for r in exact_dedup.without_copies(df).collect()]
+    assert Counter(exact) == Counter([(1, EN_TEXT), (1, long), (2, long + " end")])
+
+
+EN_TEXT = "the cat sat on the mat and the dog ran after the cat in the garden " * 3
+
+
 PAGE = ("<!DOCTYPE html><html><head><title>t</title><script>var x='</p><p>no';</script></head><body>"
         "<header>Site</header><nav><ul><li><a href='/a'>A{0}</a><li>B</ul></nav><div class='ad'>Buy {0}</div>"
         "<article><h1>Title {0}</h1><p>One &amp; two<br>three{0}<p>Four <b>five</b>  six &eacute;<!-- no --></p>"
@@ -390,6 +445,58 @@ def test_html_all_slots_that_vary_are_kept(spark):
     assert {r.url: r.text for r in got} == want
 
 
+CLASSES = ["comment-list", "comments-area", "post-comments", "cookie-banner", "ad-slot", "ad_container", "share-buttons",
+           "related-posts-3"]
+
+
+@pytest.mark.parametrize("word", CLASSES)
+def test_html_regions_named_by_parts_of_words(word):
+    page = f"<article><h1>T</h1><p>Prose<div class='x {word}'><p>Not this</div><p>More</article><div id='{word}'>Nor this</div>"
+    assert html_text.main_text(html_text.parse(page)[0], {}) == "T\nProse\nMore"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p title=it's>One<p>Two<p title=don't>Three</article>", "One\nTwo\nThree"),
+    ("<article><p data-x='a>b' data-y=\"c>d\">One<p a = 'e>f'>Two</article>", "One\nTwo"),
+    ("<article><p>One<p style='display:none'>No<p style=\"color:red; Display : None !important\">No"
+     "<p style='visibility:hidden'>No<p style='display:nonesuch'>Two</article>", "One\nTwo"),
+    ("<article><p>One<math><mi>x</mi></math><section class='social'><p>Society</section></article>", "One\nSociety")])
+def test_html_odd_attributes(page, text):
+    assert html_text.main_text(html_text.parse(page)[0], {}) == text
+
+
+@pytest.mark.parametrize("page", ["<b>x" * 20_000, "<div>x" * 20_000, "<p><i>" + "<b>x</b>" * 20_000, "<ul>" + "<li><a>x" * 20_000])
+def test_html_very_deep_and_long_pages_take_linear_time(page):
+    import time
+
+    begun = time.time()
+    blocks, paths = html_text.parse(page)
+    assert sum(b.text.count("x") for b in blocks) == 20_000
+    assert max(map(len, paths), default=0) <= 5 * html_text.DEPTH and time.time() - begun < 5
+
+
+def test_html_numbered_classes_are_one_path(spark):
+    body = "<body class='page-{0}'><div class='post post-{0}'><h1>T{0}</h1><p>Own text of page {0} alone</div><div class='end'>Filed under all</div>"
+    rows = [(i, f"http://h.example/{i}", body.format(i)) for i in range(8)]
+    got = html_text.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"T{i}\nOwn text of page {i} alone" for i in range(8)}
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 6])
+def test_html_notices_go_on_hosts_of_any_size(spark, n):
+    rows = [(i, f"http://h.example/{i}", f"<div class='b'><h1>T{i}</h1><p>Own text of page {i}</div><p>All rights") for i in range(n)]
+    got = html_text.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"T{i}\nOwn text of page {i}" for i in range(n)}
+
+
+def test_numerals_that_are_no_letters_have_no_language(spark):
+    docs = spark.createDataFrame([(1, "good morning", "en"), (2, "bonjour monde", "fr"), (3, "½ ² ① 7", "en"),
+                                  (4, "x²good½morning①", "en")], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identified(docs).collect()}
+    assert got[3] == ("und", 0.0) and got[4][0] != "und"
+    assert language_id.words_of("x²Good½ ① Ⅷ ab1c") == ["x", "good", "ab", "c"]
+
+
 def test_empty_tables(no_docs, spark):
     for df in (exact_dedup.exact_dedup(no_docs), exact_dedup.without_copies(no_docs), simhash.simhash_groups(no_docs),
                bpe.token_counts(no_docs), token_store.stored(no_docs), packing.packed(no_docs), hmm.scored(no_docs),
