@@ -41,9 +41,9 @@ BITS = 1 << 24
 #: Bytes of the first level's prefixes; every level doubles them.
 FIRST_LENGTH = 4
 #: Characters of the texts of a slice (a longer text has one of its own).
-CHARS = 2 << 20
+CHARS = 3 << 20
 #: Rows of sums that a task holds before it adds them up, or sends them.
-SUMS = 300_000
+SUMS = 800_000
 #: Pairs of sources that are compared at once.
 PAIRS_AT_ONCE = 200_000
 
