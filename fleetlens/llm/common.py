@@ -118,6 +118,12 @@ def slices(texts: list[str], chars: int = 1 << 20) -> Iterator[list[str]]:
         yield part
 
 
+def listed(values: pa.Array) -> list:
+    """A string or binary array without nulls as a list; the way over NumPy makes
+    no scalar for each value."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def tokenizer(path: str):
     """The tokenizers library's object for a .json file, one per worker."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

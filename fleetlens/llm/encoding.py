@@ -4,9 +4,9 @@ The library needs about ten microseconds a word; words repeat. A slice of texts
 is cut where no token can cross, Arrow numbers its distinct parts, each of them is
 encoded once, and the texts' ids are gathered from the parts' by their numbers.
 A part that is a word with ASCII punctuation behind it is two pre-tokens, which
-the library encodes each by itself; its word is looked up in a bounded cache of
-words, which lives in the Python worker from slice to slice. Any other part is
-encoded as it is.
+the library encodes each by itself. Any other part is encoded as it is. Words and
+other parts are looked up in bounded caches, which live in the Python worker from
+slice to slice.
 """
 
 from __future__ import annotations
@@ -14,16 +14,18 @@ from __future__ import annotations
 import string
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from fleetlens.llm.bpe import spaced_words
-from fleetlens.llm.common import RecentCache, per_process, slices, tokenizer
+from fleetlens.llm.common import RecentCache, listed, per_process, slices, tokenizer
 
-#: Cached words, in each of the cache's two generations, and the length of the
-#: longest cached one.
-WORDS = 200_000
+#: Cached words and other parts, in each of a cache's two generations, and the
+#: length of the longest cached one.
+WORDS, ODD = 300_000, 50_000
 CACHED_LENGTH = 64
 #: Words that go to the library as one text.
 LINE = 256
@@ -76,7 +78,7 @@ class Encoder:
     def __init__(self, scheme: ByteLevel | Words, path: str):
         self.scheme, self.lib = scheme, tokenizer(path)
         [self.separator] = self.lib.encode(scheme.between, add_special_tokens=False).ids
-        self.words = RecentCache(WORDS)
+        self.words, self.odd = RecentCache(WORDS), RecentCache(ODD)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -101,38 +103,58 @@ class Encoder:
                 start = end + 4
         return out
 
-    def _parts(self, parts: list[str]) -> list[bytes]:
+    def _encoded(self, parts: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids of pieces, and for each part the numbers of its two: its word
+        and the punctuation behind it (0: none), or the part as a whole."""
         mark, letters = self.scheme.mark, self.scheme.letters
-        cores = [p.rstrip(string.punctuation) for p in parts]
-        plain = [c.startswith(mark) and len(c) <= CACHED_LENGTH and letters(c[len(mark):]) for c in cores]
-        known = self.words.ready({c for c, ok in zip(cores, plain, strict=True) if ok}, self._lines)
-        tails = list({p[len(c):] for p, c, ok in zip(parts, cores, plain, strict=True) if ok and len(p) > len(c)})
-        ends = dict(zip(tails, self._whole(tails), strict=True)) | {"": b""}
-        odd = iter(self._whole([p for p, ok in zip(parts, plain, strict=True) if not ok]))
-        return [known[c] + ends[p[len(c):]] if ok else next(odd)
-                for p, c, ok in zip(parts, cores, plain, strict=True)]
+        trimmed = pc.utf8_rtrim(parts, string.punctuation)
+        cores = trimmed.dictionary_encode()
+        words = listed(cores.dictionary)
+        plain = [w.startswith(mark) and len(w) <= CACHED_LENGTH and letters(w[len(mark):]) for w in words]
+        known = self.words.ready({w for w, ok in zip(words, plain, strict=True) if ok}, self._lines)
+        pieces = [b"", *(known[w] if ok else b"" for w, ok in zip(words, plain, strict=True))]
+        core = cores.indices.to_numpy()
+        is_plain = np.array(plain, bool)[core]
+        first, second = core + 1, np.zeros(len(core), np.int64)
+        # Punctuation is ASCII: as many characters as bytes.
+        cut = pc.subtract(pc.binary_length(parts), pc.binary_length(trimmed)).to_numpy()
+        some = np.flatnonzero(is_plain & (cut > 0))
+        tails = pa.array([p[-n:] for p, n in zip(listed(parts.take(pa.array(some))), cut[some].tolist(), strict=True)],
+                         pa.string()).dictionary_encode()
+        second[some] = len(pieces) + tails.indices.to_numpy()
+        pieces += self._whole(listed(tails.dictionary))
+        rest = np.flatnonzero(~is_plain)
+        odd = listed(parts.take(pa.array(rest)))
+        short = self.odd.ready({p for p in odd if len(p) <= CACHED_LENGTH}, self._whole)
+        long = [p for p in odd if len(p) > CACHED_LENGTH]
+        found = dict(zip(long, self._whole(long), strict=True))
+        first[rest] = len(pieces) + np.arange(len(rest))
+        pieces += [short[p] if len(p) <= CACHED_LENGTH else found[p] for p in odd]
+        return pieces, np.stack([first, second], axis=1)
 
     def _slice(self, texts: list[str]) -> Iterator[bytes]:
         cut = [self.scheme.cut(t) for t in texts]
         sizes = np.array([len(x) for x in cut])
-        numbered = pa.array([p for x in cut for p in x], self.scheme.kind).dictionary_encode()
+        numbered = pa.array(list(chain.from_iterable(cut)), self.scheme.kind).dictionary_encode()
         codes = numbered.indices.to_numpy().astype(np.int64)
-        parts = [self.scheme.mark + self.scheme.text(p) for p in numbered.dictionary.to_pylist()]
+        parts = numbered.dictionary.cast(pa.string())
         if self.scheme.mark:
             # A text's first part has no mark before it.
             firsts = {p: len(parts) + i for i, p in enumerate(dict.fromkeys(x[0] for x in cut))}
             codes[np.cumsum(sizes) - sizes] = [firsts[x[0]] for x in cut]
-            parts += firsts
+            marked = pc.binary_join_element_wise(self.scheme.mark, parts, "")
+            parts = pa.concat_arrays([marked, pa.array(list(firsts), pa.string())])
         del cut, numbered
-        found = self._parts(parts)
-        lengths = np.array([len(x) // 4 for x in found], np.int64)
-        pool, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(lengths) - lengths
-        # Part after part, the places of its ids in the pool.
-        n = lengths[codes]
-        behind = np.cumsum(n)
-        ids = pool[np.repeat(starts[codes] - behind + n, n) + np.arange(behind[-1] if len(behind) else 0)]
-        ends = np.append(0, behind)[np.cumsum(sizes)] if len(sizes) else np.empty(0, np.int64)
-        for start, end in zip(np.append(0, ends).tolist(), ends.tolist(), strict=False):
+        pieces, of = self._encoded(parts)
+        lengths = np.array([len(x) // 4 for x in pieces], np.int64)
+        pool, starts = np.frombuffer(b"".join(pieces), "<u4"), np.cumsum(lengths) - lengths
+        # Piece after piece, the places of its ids in the pool.
+        which = of[codes].ravel()
+        n = lengths[which]
+        behind = np.append(0, np.cumsum(n))
+        ids = pool[np.repeat(starts[which] - behind[:-1], n) + np.arange(behind[-1])]
+        ends = behind[2 * np.cumsum(sizes)].tolist()
+        for start, end in zip([0, *ends], ends, strict=False):
             yield ids[start:end].tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
