@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import slices, text_of, written
+from fleetlens.llm.common import listed, slices, text_of, written
 
 #: Bits of a filter: two megabytes.
 BITS = 1 << 24
@@ -74,7 +74,7 @@ def term_slices(docs: DataFrame, text: str = "text", lang: str = "lang", source:
         doc, term = np.divmod(pairs, n)
         names = sources.dictionary_encode()
         numbers = (doc, term, counts, names.indices.to_numpy())
-        blobs = [b" ".join(flat.dictionary.to_pylist()), *(x.astype("<i4").tobytes() for x in numbers)]
+        blobs = [b" ".join(listed(flat.dictionary)), *(x.astype("<i4").tobytes() for x in numbers)]
         return pa.RecordBatch.from_arrays(
             [pa.array([lang]), pa.array([names.dictionary.to_pylist()], pa.list_(pa.string())),
              *(pa.array([x], pa.binary()) for x in blobs)],
@@ -219,7 +219,7 @@ def prefix_filter(prefixes: DataFrame) -> bytes | None:
 def held(lang: str, cuts: pa.Array, kept: bytes) -> np.ndarray:
     """Which prefixes the filter has."""
     words = np.frombuffer(kept, np.uint64)
-    code = marks(lang, cuts.to_pylist())
+    code = marks(lang, listed(cuts))
     out = np.ones(len(code), bool)
     for spot in places(code):
         out &= (words[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) > 0
@@ -241,7 +241,7 @@ def refined(rows: DataFrame, length: int, left: bytes) -> DataFrame:
                 continue
             new = np.cumsum(keep, dtype=np.int32) - 1
             on = keep[row["terms"]]
-            vocabulary = b" ".join(row["vocabulary"].filter(pa.array(keep)).to_pylist())
+            vocabulary = b" ".join(listed(row["vocabulary"].filter(pa.array(keep))))
             blobs = (vocabulary, row["docs"][on].tobytes(), new[row["terms"][on]].astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([row["lang"]]), *(pa.array([x], pa.binary()) for x in blobs)],
                                              names=["lang", "vocabulary", "docs", "terms"])

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import remainder, slices, text_of, written
+from fleetlens.llm.common import listed, remainder, slices, text_of, written
 
 STATES = 8
 #: A word has a class of its own from this share of all training tokens on:
@@ -240,7 +240,7 @@ class Corpus:
                     inner[np.cumsum(lengths) - 1] = False
                     tokens[inner] = numbered.indices.to_numpy() + 1
                     part = b.slice(done, len(texts))
-                    blobs = (b" ".join(numbered.dictionary.to_pylist()), tokens.tobytes(), lengths.astype("<i4").tobytes(),
+                    blobs = (b" ".join(listed(numbered.dictionary)), tokens.tobytes(), lengths.astype("<i4").tobytes(),
                              part.column(2).to_numpy(zero_copy_only=False).astype(np.uint8).tobytes())
                     ids = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), part.column(0))
                     yield pa.RecordBatch.from_arrays([pa.array([block]), ids, *(pa.array([x], pa.binary()) for x in blobs)],
@@ -283,7 +283,7 @@ class Corpus:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens, distinct = np.zeros(classes.n, np.int64), np.zeros(classes.n, np.int64)
             for b in batches:
-                c = classes.of(b.column(0).to_pylist())
+                c = classes.of(listed(b.column(0)))
                 np.add.at(tokens, c, b.column(1).to_numpy())
                 np.add.at(distinct, c, 1)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes.n)), pa.array(tokens), pa.array(distinct)],

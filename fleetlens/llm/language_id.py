@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import RecentCache, per_process, remainder, slices, vocabulary_path, written
+from fleetlens.llm.common import RecentCache, listed, per_process, remainder, slices, vocabulary_path, written
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Training documents for each language, at most.
@@ -296,7 +296,7 @@ class Scorer:
             doc = np.repeat(np.arange(len(found)), [len(x) for x in found])
             words = pa.array([w for x in found for w in x], pa.string()).dictionary_encode()
             del found
-            values = self._values(words.dictionary.to_pylist())
+            values = self._values(listed(words.dictionary))
             codes = words.indices.to_numpy()
             sums = np.stack([np.bincount(doc, values[codes, k], len(some)) for k in range(self.segments.n + 1)], axis=1)
             for row in sums:
