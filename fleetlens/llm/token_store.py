@@ -178,11 +178,16 @@ class Shard:
         return None if slot < 0 else self.ids(slot)
 
 
+#: Hadoop's names of stores that pyarrow knows by another.
+OTHER_NAMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
 def _files(path: str):
     """The file system of a path or URI, and the path in it."""
     from pyarrow.fs import FileSystem
 
-    return FileSystem.from_uri(path)
+    scheme, _, rest = path.partition("://")
+    return FileSystem.from_uri(f"{OTHER_NAMES.get(scheme, scheme)}://{rest}" if rest else path)
 
 
 def write_store(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text",
@@ -270,6 +275,48 @@ def read_store(manifest: DataFrame, folder: str) -> DataFrame:
             .mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"))
 
 
+def lookup(keys: DataFrame, manifest: DataFrame, folder: str, doc_id: str = "doc_id") -> DataFrame:
+    """doc_id and ids (array<bigint>) of every stored document that has one of
+    the ``keys``: several rows where a doc_id repeats in the store, none for a key
+    that it has not; null keys find nothing, repeated ones count once.
+
+    Shards hold ascending ranges of doc_id, so the manifest, a row per shard, tells
+    each key's shards; a task opens a shard once, and its perfect hash gives the
+    places of all keys dealt to it.
+    """
+    shards = [r for r in manifest.filter("first_id is not null").orderBy("shard").collect()]
+    first = np.array([r["first_id"] for r in shards], np.int64)
+    last = np.array([r["last_id"] for r in shards], np.int64)
+    names = [r["name"] for r in shards]
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            low, high = np.searchsorted(last, ids, "left"), np.searchsorted(first, ids, "right")
+            n = np.maximum(high - low, 0)
+            shard = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(np.repeat(ids, n))], names=["shard", "doc_id"])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, shard = None, None
+        for b in batches:
+            out_ids, out = [], []
+            for k, doc in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if k != number:
+                    number, shard = k, Shard(f"{folder}/{names[k]}")
+                repeat = 0
+                while (ids := shard.get(doc, repeat)) is not None:
+                    out_ids.append(doc)
+                    out.append(ids.astype(np.int64))
+                    repeat += 1
+            yield pa.RecordBatch.from_arrays([pa.array(out_ids, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
+                                             names=["doc_id", "ids"])
+
+    asked = keys.select(F.col(doc_id).cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    return (asked.mapInArrow(placed, "shard bigint, doc_id bigint").repartitionByRange(max(1, len(shards)), "shard")
+            .sortWithinPartitions("shard").mapInArrow(found, "doc_id bigint, ids array<bigint>"))
+
+
 def stored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None,
            end: int = END) -> DataFrame:
     """Writes ``docs`` as a token store in the shared folder and reads it back.

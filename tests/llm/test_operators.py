@@ -146,6 +146,22 @@ def test_token_store(docs, spark):
     assert all(token_store.Shard(f"{folder}/{m['name']}").get(987654) is None for m in manifest)
 
 
+def test_lookup_over_the_whole_store(spark, docs):
+    encode = tokens(token_store.VOCABULARY)
+    more = [(i, f"text number {i}") for i in range(1000, 3000)] + [(1500, "again"), (1500, "and again")]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string")).repartition(6)
+    folder = scratch_path(spark, "lookup-store")
+    manifest = token_store.write_store(df, folder)
+    assert manifest.count() > 1
+    asked = [0, 3, 9, 10, 1000, 1500, 1500, 2999, 5000, -7, None]
+    keys = spark.createDataFrame([(k, "x") for k in asked], "doc_id long, ids string")
+    got = Counter((r.doc_id, tuple(r.ids)) for r in token_store.lookup(keys, manifest, folder).collect())
+    want = Counter((i, (*encode(t), 2)) for i, t in [*texts(), *more] if i in set(asked) - {None})
+    assert got == want
+    nothing = token_store.write_store(df.limit(0), folder)
+    assert token_store.lookup(keys, nothing, folder).collect() == []
+
+
 def test_token_store_is_read_by_a_task_per_shard(spark):
     from pyspark.sql import functions as F
 
