@@ -36,6 +36,8 @@ NAME = "container_logs"
 SCHEMA = "file string, offset bigint, length bigint, value string"
 # A section's first line, and the endings of compressed files.
 HEADER = re.compile(rb"^Container: [a-zA-Z0-9_]+ on [a-zA-Z0-9_]", re.MULTILINE)
+# Hadoop's names of stores that pyarrow knows by another.
+OTHER_NAMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
 COMPRESSED = (".gz", ".bz2", ".zst", ".lz4")
 
 RANGE_BYTES = 128 << 20
@@ -54,8 +56,9 @@ class LogRange(InputPartition):
 
 def store_of(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
+    scheme, mark, rest = path.partition("://")
+    if mark:
+        return fs.FileSystem.from_uri(f"{OTHER_NAMES.get(scheme, scheme)}://{rest}")
     local = path.removeprefix("file:")
     return fs.LocalFileSystem(), local
 
