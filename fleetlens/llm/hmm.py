@@ -56,8 +56,9 @@ STAY = 0.9
 TOLERANCE, MOST_ROUNDS = 0.01, 30
 #: Characters of the texts of a slice (a longer text has one of its own).
 CHARS = 4 << 20
-#: Tokens whose state probabilities are held at once (or one document's).
-HELD = 1 << 18
+#: Tokens whose state probabilities are held at once (or one document's), and
+#: tokens of texts that are sorted by length together.
+HELD, TOGETHER = 1 << 18, 1 << 22
 #: The end of a text, as a word: no token has white space. It is word 0 of
 #: every slice.
 END = b" "
@@ -297,15 +298,14 @@ class Corpus:
             tokens[k], distinct[k] = t, w
         return tokens, distinct
 
-    def summed(self, rows: int, columns: int, add: Callable[[Slice, np.ndarray], None]) -> np.ndarray:
-        """A table of fixed size, added up over all slices: ``add`` gets a
-        slice and its task's table."""
+    def summed(self, rows: int, columns: int, add: Callable[[Iterator[Slice], np.ndarray], None]) -> np.ndarray:
+        """A table of fixed size, added up over all slices: ``add`` gets the
+        slices of a task and its table."""
         names = [f"s{i}" for i in range(columns)]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = np.zeros((rows, columns))
-            for part in each_slice(batches):
-                add(part, table)
+            add(each_slice(batches), table)
             used = np.flatnonzero(table.any(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used), *[pa.array(np.ascontiguousarray(c)) for c in table[used].T]], ["row", *names])
@@ -360,26 +360,28 @@ def first_guess(corpus: Corpus, usual: np.ndarray, states: int) -> Chain:
         on = np.repeat(~part.held_out, part.lengths)
         return of[on], doc[on]
 
-    def company(part: Slice, table: np.ndarray) -> None:
-        of, doc = docs_of(part)
-        there = of < anchors
-        for low in range(0, len(part.lengths), 4096):
-            here = there & (doc >= low) & (doc < low + 4096)
-            has = np.zeros((4096, anchors), np.float32)
-            has[doc[here] - low, of[here]] = 1.0
-            table += has.T @ has
+    def company(parts: Iterator[Slice], table: np.ndarray) -> None:
+        for part in parts:
+            of, doc = docs_of(part)
+            there = of < anchors
+            for low in range(0, len(part.lengths), 4096):
+                here = there & (doc >= low) & (doc < low + 4096)
+                has = np.zeros((4096, anchors), np.float32)
+                has[doc[here] - low, of[here]] = 1.0
+                table += has.T @ has
 
     group = groups_of(corpus.summed(anchors, anchors, company), states)
 
-    def lean(part: Slice, table: np.ndarray) -> None:
-        of, doc = docs_of(part)
-        share = np.zeros((len(part.lengths), states))
-        there = of < anchors
-        np.add.at(share, (doc[there], group[of[there]]), 1.0)
-        share = (share + 1e-6) ** 2
-        share /= share.sum(axis=1, keepdims=True)
-        for k in range(states):
-            table[:, k] += np.bincount(of, weights=share[doc, k], minlength=classes.n)
+    def lean(parts: Iterator[Slice], table: np.ndarray) -> None:
+        for part in parts:
+            of, doc = docs_of(part)
+            share = np.zeros((len(part.lengths), states))
+            there = of < anchors
+            np.add.at(share, (doc[there], group[of[there]]), 1.0)
+            share = (share + 1e-6) ** 2
+            share /= share.sum(axis=1, keepdims=True)
+            for k in range(states):
+                table[:, k] += np.bincount(of, weights=share[doc, k], minlength=classes.n)
 
     emit = corpus.summed(classes.n, states, lean) + PRIOR * usual[:, None]
     return Chain(np.full(states, 1.0 / states), _stay(states), emit / emit.sum(axis=0))
@@ -396,9 +398,17 @@ def baum_welch(corpus: Corpus, chain: Chain, usual: np.ndarray) -> tuple[Chain,
     log10 probability of them (of classes)."""
     classes, k = corpus.classes, len(chain.start)
 
-    def add(part: Slice, table: np.ndarray) -> None:
+    def add(parts: Iterator[Slice], table: np.ndarray) -> None:
         emit, move, start = table[:classes.n], table[classes.n:classes.n + k], table[classes.n + k]
-        table[-1, 0] += chain.expected(part.sequences(classes, ~part.held_out), start, move, emit)
+        waiting: list[np.ndarray] = []
+        for part in parts:
+            waiting += part.sequences(classes, ~part.held_out)
+            # A place is a step for all texts that go on there: the more long texts
+            # together, the fewer steps for each.
+            if sum(map(len, waiting)) >= TOGETHER:
+                table[-1, 0] += chain.expected(waiting, start, move, emit)
+                waiting = []
+        table[-1, 0] += chain.expected(waiting, start, move, emit)
 
     sums = corpus.summed(classes.n + k + 2, k, add)
     emit = sums[:classes.n] + PRIOR * usual[:, None]
