@@ -41,9 +41,9 @@ BITS = 1 << 24
 #: Bytes of the first level's prefixes; every level doubles them.
 FIRST_LENGTH = 4
 #: Characters of the texts of a slice (a longer text has one of its own).
-CHARS = 3 << 20
+CHARS = 2 << 20
 #: Rows of sums that a task holds before it adds them up, or sends them.
-SUMS = 800_000
+SUMS = 400_000
 #: Pairs of sources that are compared at once.
 PAIRS_AT_ONCE = 200_000
 
@@ -144,6 +144,7 @@ class Sums:
         if self.size:
             yield from self._added().to_batches(max_chunksize=100_000)
         self.parts, self.size = [], 0
+        pa.default_memory_pool().release_unused()
 
 
 def cut_terms(vocabulary: pa.Array, length: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
