@@ -4,9 +4,12 @@ One stream carries what an application's master hears: containers asked for
 (``add``) and completion callbacks (``completed``). Callbacks may be replayed, so
 ``dropDuplicates`` keeps the ids already seen as state of (application, event),
 which spreads a hot application over all tasks. The events that are new are added
-up per application within each Arrow batch, and only the sums reach the
-application's own state (``transformWithState``): requested, completed, failed and
-the status last told.
+up per application within each task, and only the sums reach the applications'
+state (``transformWithState``): requested, completed, failed, from which follows
+the status last told. An application's state lies with that of others whose hash
+falls into the same of ``BUCKETS`` buckets: a bucket is read and written once a
+batch, whatever the number of its applications, as every access to state is a
+message between Python and the JVM. A checkpoint goes with its number of buckets.
 
 A row is sent when all requested containers have completed, once: FAILED if one
 failed, else UNDEFINED (the master never sets success). Containers added
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +44,11 @@ EVENT = T.StructType([
     T.StructField("exit_status", T.LongType())])
 
 COUNTS = "requested bigint, completed bigint, failed bigint"
-SUMS = f"app_id string, {COUNTS}"
+#: The counters of a bucket's applications, one element each.
+BUCKET = "app_id array<string>, requested array<bigint>, completed array<bigint>, failed array<bigint>"
+BUCKETS = 2048
+#: Events whose sums a task holds before it sends them.
+HELD = 400_000
 STATUS = f"app_id string, {COUNTS}, final_status string"
 
 
@@ -51,31 +59,51 @@ def status_of(requested: int, completed: int, failed: int) -> str:
 
 
 class StatusProcessor(StatefulProcessor):
-    """Counters of one application and the row last sent for it."""
+    """Counters of a bucket's applications."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("counters", f"{COUNTS}, told string")
+        self.state = handle.getValueState("counters", BUCKET)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        requested, completed, failed, told = self.state.get() or (0, 0, 0, "RUNNING")
-        before = (requested, completed, failed)
+        new: dict[str, tuple[int, int, int]] = {}
         for r in rows:
-            requested, completed, failed = requested + r.requested, completed + r.completed, failed + r.failed
-        status = status_of(requested, completed, failed)
-        changed = status != told or status != "RUNNING" and (requested, completed, failed) != before
-        self.state.update((requested, completed, failed, status))
-        if changed:
-            yield Row(app_id=key[0], requested=requested, completed=completed, failed=failed, final_status=status)
+            for app, *more in zip(r.app_id, r.requested, r.completed, r.failed, strict=True):
+                new[app] = tuple(map(sum, zip(new[app], more, strict=True))) if app in new else tuple(more)
+        counters = {app: tuple(counts) for app, *counts in zip(*(self.state.get() or ((),) * 4), strict=True)}
+        for app, more in new.items():
+            before = counters.get(app)
+            now = counters[app] = tuple(map(sum, zip(before, more, strict=True))) if before else more
+            told, status = status_of(*before) if before else "RUNNING", status_of(*now)
+            if status != told or status != "RUNNING" and now != (before or (0, 0, 0)):
+                yield Row(app_id=app, requested=now[0], completed=now[1], failed=now[2], final_status=status)
+        self.state.update((list(counters), *map(list, zip(*counters.values(), strict=True))))
 
     def close(self) -> None:
         pass
 
 
+def _packed(parts: list[pa.Table]) -> pa.RecordBatch:
+    """The sums of each bucket's applications, a row a bucket."""
+    names = ["requested", "completed", "failed"]
+    t = (pa.concat_tables(parts).group_by(["bucket", "app_id"], use_threads=False)
+         .aggregate([(c, "sum") for c in names]).sort_by("bucket"))
+    bucket = t["bucket"].to_numpy()
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    offsets = pa.array(np.append(starts, len(bucket)), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, t[c].combine_chunks()) for c in ("app_id", *(f"{n}_sum" for n in names))]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *lists], ["bucket", "app_id", *names])
+
+
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts, size = [], 0
     for b in batches:
-        t = pa.Table.from_batches([b]).group_by("app_id").aggregate(
-            [("requested", "sum"), ("completed", "sum"), ("failed", "sum")])
-        yield from t.rename_columns(["app_id", "requested", "completed", "failed"]).to_batches()
+        parts.append(pa.Table.from_batches([b]))
+        size += len(b)
+        if size >= HELD:
+            yield _packed(parts)
+            parts, size = [], 0
+    if size:
+        yield _packed(parts)
 
 
 def final_status(events: DataFrame) -> DataFrame:
@@ -92,8 +120,9 @@ def final_status(events: DataFrame) -> DataFrame:
               F.when(done, 1).otherwise(0).cast("bigint").alias("completed"),
               F.when(done & (F.col("exit_status") != 0), 1).otherwise(0).cast("bigint").alias("failed"))
     new = (events.filter((add | done) & F.col("app_id").isNotNull() & F.col("event_key").isNotNull())
-           .dropDuplicates(["app_id", "kind", "event_key"]).select("app_id", *counts))
-    return new.mapInArrow(_sums, SUMS).groupBy("app_id").transformWithState(
+           .dropDuplicates(["app_id", "kind", "event_key"])
+           .select(F.pmod(F.xxhash64("app_id"), F.lit(BUCKETS)).cast("int").alias("bucket"), "app_id", *counts))
+    return new.mapInArrow(_sums, f"bucket int, {BUCKET}").groupBy("bucket").transformWithState(
         StatusProcessor(), STATUS, "Append", "None")
 
 

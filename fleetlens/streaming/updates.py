@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Else every write looks first whether the key is there, to count keys for the
+#: progress report.
+COUNT_KEYS = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
 
 
 def stateful_session(spark: SparkSession) -> SparkSession:
@@ -25,6 +28,7 @@ def stateful_session(spark: SparkSession) -> SparkSession:
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         session.conf.set(key, spark.conf.get(key))
     session.conf.set(PROVIDER, ROCKSDB)
+    session.conf.set(COUNT_KEYS, "false")
     return session
 
 

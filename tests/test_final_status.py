@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -77,6 +78,35 @@ def test_stream_of_all_containers_equals_batch_with_a_hot_application(spark):
     assert log.select("batch_id").distinct().count() >= 2
 
 
+def test_a_bucket_of_applications_is_read_and_written_once():
+    class State:
+        reads, writes, value = 0, 0, None
+
+        def get(self):
+            self.reads += 1
+            return self.value
+
+        def update(self, value):
+            self.writes, self.value = self.writes + 1, value
+
+    class Handle:
+        state = State()
+
+        def getValueState(self, name, schema):
+            return self.state
+
+    processor, apps = FS.StatusProcessor(), [f"a{i}" for i in range(500)]
+    processor.init(Handle)
+    rows = [Row(app_id=apps, requested=[1] * 500, completed=[0] * 500, failed=[0] * 500),
+            Row(app_id=apps[:9], requested=[0] * 9, completed=[1] * 9, failed=[0, 1] * 4 + [0])]
+    told = {r.app_id: r.final_status for r in processor.handleInputRows((0,), rows, None)}
+    assert told == {a: ("UNDEFINED", "FAILED")[i % 2] for i, a in enumerate(apps[:9])}
+    again = list(processor.handleInputRows((0,), [Row(app_id=["a0", "a9"], requested=[2, 0], completed=[0, 1], failed=[0, 0])], None))
+    assert again == [Row(app_id="a0", requested=3, completed=1, failed=0, final_status="RUNNING"),
+                     Row(app_id="a9", requested=1, completed=1, failed=0, final_status="UNDEFINED")]
+    assert (Handle.state.reads, Handle.state.writes) == (2, 2)
+
+
 # --- deadlines ------------------------------------------------------------------
 
 STATE = "app_id long, ts timestamp, state string"
