@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -314,14 +315,21 @@ def queue_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("response", "path", "depth", "queue", "state", "capacity", "n_apps"))
 
 
+def _words_of_docs(batches):
+    """The words of each document, counted where the documents are read: a
+    barrier task reads a number for each of its documents, not their texts."""
+    for b in batches:
+        n_words = [len((t or "").encode().split()) for t in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64())], ["doc_id", "n_words"])
+
+
 def _count_words(batches, task) -> int:
-    """The user function of the fixture: counts its documents' words, waits for
-    the other tasks, and ends with status 3 if the count is odd."""
+    """The user function of the fixture: adds up its documents and their words,
+    waits for the other tasks, and ends with status 3 if the count is odd."""
     n_docs = n_words = 0
     for b in batches:
-        texts = b.column(1).to_pylist()
-        n_docs += len(texts)
-        n_words += sum(len((t or "").encode().split()) for t in texts)
+        n_docs += len(b)
+        n_words += sum(b.column(1).to_pylist())
     task.barrier()
     print(f"{n_docs} documents, {n_words} words", end="")
     return 3 * (n_words % 2)
@@ -331,7 +339,8 @@ def barrier_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#33 in four tasks at once over all documents; each task's outcome and the
     status of the run."""
     docs = Views(spark, sf_dir).documents.select("doc_id", "text")
-    out = materialize(spark, run_in_tasks(docs, _count_words, 4, F.col("doc_id") % 4))
+    counted = docs.mapInArrow(_words_of_docs, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words bigint")
+    out = materialize(spark, run_in_tasks(counted, _count_words, 4, F.col("doc_id") % 4))
     return (out.select("task", "n_tasks", "exit_status", "output", "error")
             .join(run_status(out).select("n_tasks", "failed", "final_status"), "n_tasks"))
 

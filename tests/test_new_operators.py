@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetlens.operators import apps as A
 from fleetlens.operators import files as FL
 from fleetlens.operators.barrier import run_in_tasks, run_status, shell
+from fleetlens.plans import catalog
 
 
 def test_tasks_run_at_once_and_one_failure_is_reported(spark):
@@ -103,3 +104,21 @@ def test_malformed_ids_belong_to_no_application(spark):
     assert rejected == {"bad-1": (2, "prefix"), None: (1, "null"), "container_1_0001_01": (1, "parts"),
                         "container_1_0001_01_x": (1, "form"), "": (1, "prefix"), "container_e_1_0001_01_000001": (1, "form")}
     assert A.malformed(df.limit(0)).collect() == [] and A.completion_summary(df.limit(0)).collect() == []
+
+
+def test_barrier_tasks_read_counts_instead_of_texts(spark, tmp_path, monkeypatch):
+    texts = ["a b", None, "", "c\td e\u00a0f", "g", "h i j"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = {}
+
+    def watched(df, *more):
+        got["columns"] = df.columns
+        return run_in_tasks(df, *more)
+
+    monkeypatch.setattr(catalog, "run_in_tasks", watched)
+    rows = {r.task: (r.exit_status, r.output, r.error, r.failed, r.final_status)
+            for r in catalog.barrier_run(spark, str(tmp_path)).collect()}
+    assert got["columns"] == ["doc_id", "n_words"]
+    assert rows == {t: (3 * (n % 2), f"{d} documents, {n} words", None, 3, "FAILED")
+                    for t, d, n in ((0, 2, 3), (1, 2, 3), (2, 1, 0), (3, 1, 3))}
