@@ -26,6 +26,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Writer's options of tables whose rows are large: the writer must not wait for
+#: many rows, and a reader holds a row group's columns at once.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1",
+              "parquet.block.size": str(4 << 20)}
+
+
 def remainder(doc_id: str, by: int) -> Column:
     """crc32 of the doc_id as text, modulo ``by``; 0 without doc_id."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % by
@@ -104,7 +110,13 @@ class RecentCache:
         return self.young
 
 
-def slices(texts: list[str], chars: int = 1 << 20) -> Iterator[list[str]]:
+def texts_of(column: pa.Array) -> Iterator[str]:
+    """A column's texts one after the other, null as empty: a batch of long
+    texts is not held twice."""
+    return (t.as_py() or "" for t in column)
+
+
+def slices(texts: Iterable[str], chars: int = 1 << 20) -> Iterator[list[str]]:
     """``texts`` in order, in lists of about ``chars`` characters (a longer
     text makes a list of its own), to bound what a step holds."""
     part, size = [], 0

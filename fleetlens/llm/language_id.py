@@ -18,8 +18,9 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import RecentCache, listed, per_process, remainder, slices, vocabulary_path, written
+from fleetlens.llm.common import RecentCache, listed, per_process, remainder, slices, texts_of, vocabulary_path, written
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Training documents for each language, at most.
@@ -37,10 +38,11 @@ ROUNDS = 2
 SMOOTHING = 0.05
 #: Cached words, in each of the cache's two generations, and the length of the
 #: longest cached one.
-WORDS = 150_000
+WORDS = 75_000
 CACHED_LENGTH = 64
-#: Characters of the texts whose distinct words are scored together.
-CHARS = 6 << 20
+#: Characters of the texts whose distinct words are scored together, and new
+#: words whose forward passes are: a worker holds the edges of so many.
+CHARS, AT_ONCE = 2 << 20, 16_384
 UNKNOWN = "und"
 BEGIN = "▁"
 WORD = re.compile(r"[^\W\d_]+")
@@ -231,16 +233,23 @@ class Scorer:
             self.rows.update({c: first + i for i, c in enumerate(unknown)})
             self.probabilities = np.vstack([self.probabilities, [self.segments.spelled(c) for c in unknown]])
 
-    def _new(self, words: list[str]) -> list[tuple[float, ...]]:
-        """The forward pass over all words at once, as a trie: a node's value
+    def _new(self, words: list[str]) -> list[array]:
+        """Each word's log probabilities, packed."""
+        self._spell_unknown(words)
+        short = sorted(w for w in words if len(w) <= CACHED_LENGTH)
+        found = {}
+        for low in range(0, len(short), AT_ONCE):
+            found |= self._forward(short[low:low + AT_ONCE])
+        return [found.get(w) or array("d", self.segments.log_likelihoods(w)) for w in words]
+
+    def _forward(self, short: list[str]) -> dict[str, array]:
+        """The forward pass over sorted words at once, as a trie: a node's value
         is the sum, over the pieces that its prefix ends with, of the piece's
         probability times the value of the node before it. Edges are listed
         first, then summed by the nodes' depth. A word below a double's range
-        goes through the scaled pass."""
-        self._spell_unknown(words)
+        is left to the scaled pass."""
         row_of, heads, tails, rows, depths, ends = self.rows.get, [], [], [], [0], []
         path, before = [0], ""
-        short = sorted(w for w in words if len(w) <= CACHED_LENGTH)
         for word in short:
             marked, shared = BEGIN + word, 0
             for a, b in zip(before, marked, strict=False):
@@ -272,9 +281,8 @@ class Scorer:
                 nodes, first = np.unique(head[at], return_index=True)
                 forward[nodes] = np.add.reduceat(forward[tail[at]] * self.probabilities[row[at]], first)
         values = forward[ends]
-        logs = map(tuple, np.log(np.maximum(values, 1e-300)).tolist())
-        found = {w: x for w, x, sure in zip(short, logs, values.min(axis=1) > 1e-290, strict=True) if sure}
-        return [found[w] if w in found else self.segments.log_likelihoods(w) for w in words]
+        logs = np.log(np.maximum(values, 1e-300))
+        return {w: array("d", x.tobytes()) for w, x, sure in zip(short, logs, values.min(axis=1) > 1e-290, strict=True) if sure}
 
     def _values(self, words: list[str]) -> np.ndarray:
         """A row a word: log probability in each language, and 1; a word with
@@ -284,12 +292,13 @@ class Scorer:
         long = [r for r in distinct if len(r) > CACHED_LENGTH]
         known = self.words.ready(distinct.difference(long), self._new)
         extra = dict(zip(long, self._new(long), strict=True))
-        of = {r: (*(extra.get(r) or known[r]), 1.0) for r in distinct}
-        none = (0.0,) * (self.segments.n + 1)
-        return np.array([of[x[0]] if len(x) == 1 else tuple(map(sum, zip(*map(of.get, x), strict=True))) if x else none
-                         for x in runs]).reshape(len(runs), self.segments.n + 1)
+        packed = b"".join(extra.get(r) or known[r] for x in runs for r in x)
+        out, counts = np.zeros((len(runs), self.segments.n + 1)), [len(x) for x in runs]
+        np.add.at(out[:, :-1], np.repeat(np.arange(len(runs)), counts), np.frombuffer(packed).reshape(-1, self.segments.n))
+        out[:, -1] = counts
+        return out
 
-    def posteriors(self, texts: list[str]) -> Iterator[np.ndarray | None]:
+    def posteriors(self, texts: Iterable[str]) -> Iterator[np.ndarray | None]:
         """Of each text the languages' probabilities; None without letters."""
         for some in slices(texts, CHARS):
             found = [WORD.findall(t.lower()) for t in some]
@@ -320,8 +329,7 @@ def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text:
         scorer = per_process("language model", lambda: Scorer(model), model.version)
         for b in batches:
             best, scores = [], []
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for p in scorer.posteriors(texts) if model.languages else [None] * len(texts):
+            for p in scorer.posteriors(texts_of(b.column(1))) if model.languages else [None] * len(b):
                 best.append(UNKNOWN if p is None else model.languages[int(p.argmax())])
                 scores.append(0.0 if p is None else float(p.max()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(best, pa.string()), pa.array(scores, pa.float64())],
@@ -351,7 +359,7 @@ def with_language(docs: DataFrame, least: float = 0.5, doc_id: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = per_process("language model", lambda: Scorer(model), model.version)
         for b in batches:
-            texts = [t or "" for t in b.column(place).to_pylist()]
+            texts = texts_of(b.column(place))
             found = scorer.posteriors(texts) if model.languages else texts
             keep = [p is not None and p.max() >= least if model.languages else bool(words_of(p)) for p in found]
             yield b.filter(pa.array(keep, pa.bool_()))

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import SF_SMALL
@@ -305,6 +306,20 @@ def test_segmentations_are_summed():
         assert scorer._new([word, "b"])[0][0] == pytest.approx(want)
 
 
+def test_new_words_are_scored_a_bounded_number_at_once(monkeypatch):
+    table = {"▁": (0.1, 0.2), "a": (0.3, 0.1), "ab": (0.15, 0.2), "b": (0.25, 0.3)}
+    scorer = language_id.Scorer(language_id.LanguageModel(["x", "y"], [0.0, 0.0], table))
+    words = ["a" * i + "b" * j for i in range(6) for j in range(6)][1:]
+    sizes, forward = [], scorer._forward
+    monkeypatch.setattr(language_id, "AT_ONCE", 8)
+    monkeypatch.setattr(scorer, "_forward", lambda some: sizes.append(len(some)) or forward(some))
+    for word, got in zip(words, scorer._new(words), strict=True):
+        assert list(got) == pytest.approx(scorer.segments.log_likelihoods(word))
+    assert sum(sizes) == len(words) and max(sizes) == 8
+    assert scorer._values(["a½b"])[0].tolist() == pytest.approx(
+        [x + y for x, y in zip(scorer._new(["a"])[0], scorer._new(["b"])[0], strict=True)] + [2])
+
+
 def test_long_words_are_learnt_from():
     low = 1 / 32000
     bytes_of = {f"<0x{b:02X}>": (low,) for b in range(256)}
@@ -346,6 +361,16 @@ def test_hmm_slices_of_any_size_give_the_same_scores(docs, monkeypatch):
         assert r.score == pytest.approx(whole[r.doc_id, r.n_tokens], rel=1e-6)
 
 
+def test_hmm_trains_on_classes_that_are_found_once(docs):
+    corpus = hmm.Corpus(docs, "doc_id", "text", 7, 2)
+    got = [(hmm.Training(pa.scalar(bytes(r.classes)), pa.scalar(bytes(r.lengths)), corpus.kind)) for r in corpus.training.collect()]
+    got = Counter(tuple(x.tolist()) for part in got for x in hmm.cut_up(part.classes, part.lengths))
+    rows = docs.select("doc_id", "text").collect()
+    want = Counter(tuple(corpus.classes.of([*hmm.words_of(t or ""), hmm.END]).tolist()) for i, t in rows
+                   if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2 or i is None)
+    assert got == want
+
+
 def test_hmm_scores(docs):
     got = hmm.scored(docs).collect()
     want = brute.unigram_rows(texts())
