@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import listed, remainder, slices, text_of, written
+from fleetlens.llm.common import LARGE_ROWS, listed, remainder, slices, text_of, texts_of, written
 
 STATES = 8
 #: A word has a class of its own from this share of all training tokens on:
@@ -120,25 +120,39 @@ class Chain:
         classes = np.concatenate([sequences[i] for i in order])[np.argsort(places, kind="stable")]
         return order, classes, np.concatenate([[0], np.cumsum(np.bincount(places))])
 
-    def _forward(self, classes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _tables(self, parts: list[list[int]], sequences: list[np.ndarray], n: int) -> list[np.ndarray]:
+        """``n`` tables of a row a token, for any of the parts: fresh memory for
+        each part costs more than the sums in it."""
+        most = max((sum(len(sequences[i]) for i in part) for part in parts), default=0)
+        return [np.empty((most, len(self.start))) for _ in range(n)]
+
+    def _emitted(self, classes: np.ndarray, out: np.ndarray) -> np.ndarray:
+        return np.take(self.emit, classes, axis=0, out=out[:len(classes)], mode="clip")
+
+    def _forward(self, classes: np.ndarray, at: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scaled forward values and the scales (probabilities of each token
         given those before it)."""
-        alpha, scale = self.emit[classes], np.empty(len(classes))
-        now = self.start
-        for low, high in zip(at.tolist(), at.tolist()[1:], strict=False):
+        alpha, k = self._emitted(classes, out), len(self.start)
+        # The last column adds a token's values up.
+        moved, now = np.hstack([self.move, np.ones((k, 1))]), self.start[None]
+        bounds = at.tolist()
+        for low, high in zip(bounds, bounds[1:], strict=False):
             a = alpha[low:high]
-            a *= now[:high - low] if now.ndim > 1 else now
-            scale[low:high] = c = a.sum(axis=1)
-            a /= c[:, None]
-            now = a @ self.move
+            a *= now[:high - low]
+            a = a @ moved
+            now = a[:, :k] / a[:, k:]
+        scale = alpha @ np.ones(k)
+        alpha /= scale[:, None]
         return alpha, scale
 
     def log10_likelihoods(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Exact log10 probabilities of class sequences (none is empty)."""
         out = np.empty(len(sequences))
-        for part in _parts(sequences):
+        parts = list(_parts(sequences))
+        values, = self._tables(parts, sequences, 1)
+        for part in parts:
             order, classes, at = self._laid_out([sequences[i] for i in part])
-            _, scale = self._forward(classes, at)
+            _, scale = self._forward(classes, at, values)
             logs = np.log10(scale)
             total = np.zeros(len(part))
             for low, high in zip(at.tolist(), at.tolist()[1:], strict=False):
@@ -150,26 +164,31 @@ class Chain:
         """Adds the expected counts of starts, moves and emissions; the
         sequences' log10 probability."""
         total = 0.0
-        for part in _parts(sequences):
+        parts = list(_parts(sequences))
+        values, backward, ahead = self._tables(parts, sequences, 3)
+        for part in parts:
             _, classes, at = self._laid_out([sequences[i] for i in part])
-            alpha, scale = self._forward(classes, at)
+            alpha, scale = self._forward(classes, at, values)
             total += float(np.log10(scale).sum())
-            beta = np.ones((int(at[1]), alpha.shape[1]))
-            gamma = np.empty_like(alpha)
+            # Backward values times emissions, all scaled; a document's last token
+            # has backward values of one.
+            beta, given, back = backward[:len(classes)], self._emitted(classes, ahead), self.move.T.copy()
+            beta[:] = 1.0
+            given /= scale[:, None]
             bounds = at.tolist()
-            for t in range(len(bounds) - 2, -1, -1):
-                low, high = bounds[t], bounds[t + 1]
-                if t < len(bounds) - 2:
-                    nxt = slice(high, bounds[t + 2])
-                    n = bounds[t + 2] - high
-                    given = self.emit[classes[nxt]] * beta[:n] / scale[nxt][:, None]
-                    move += alpha[low:low + n].T @ given * self.move
-                    beta[:n] = given @ self.move.T
-                    # Documents that end here enter with ones.
-                gamma[low:high] = alpha[low:high] * beta[:high - low]
-            start += gamma[:bounds[1]].sum(axis=0)
-            for k in range(alpha.shape[1]):
+            for t in range(len(bounds) - 3, -1, -1):
+                low, high, end = bounds[t:t + 3]
+                given[high:end] *= beta[high:end]
+                np.matmul(given[high:end], back, out=beta[low:low + end - high])
+            # The token before each one that is not a document's first.
+            first = bounds[1]
+            before = np.arange(first, len(classes)) - np.repeat(np.diff(at)[:-1], np.diff(at)[1:])
+            gamma = np.multiply(alpha, beta, out=beta)
+            start += gamma[:first].sum(axis=0)
+            for k in range(gamma.shape[1]):
                 emit[:, k] += np.bincount(classes, weights=gamma[:, k], minlength=len(emit))
+            earlier = np.take(alpha, before, axis=0, out=beta[:len(before)], mode="clip")
+            move += earlier.T @ given[first:] * self.move
         return total
 
 
@@ -204,12 +223,19 @@ class Slice:
         """Tokens of training texts, with their ends."""
         return self.tokens[np.repeat(~self.held_out, self.lengths)]
 
-    def sequences(self, classes: Classes, only: np.ndarray | None = None) -> list[np.ndarray]:
-        """Each text's classes, the end's at the end; of the texts ``only``."""
-        of = classes.of(self.vocabulary)[self.tokens]
-        ends = np.cumsum(self.lengths)
-        which = np.arange(len(ends)) if only is None else np.flatnonzero(only)
-        return [of[ends[i] - self.lengths[i]:ends[i]] for i in which.tolist()]
+
+class Training:
+    """A slice's training texts as classes."""
+
+    def __init__(self, classes: pa.Scalar, lengths: pa.Scalar, kind: str):
+        self.classes = np.frombuffer(classes.as_buffer(), kind)
+        self.lengths = np.frombuffer(lengths.as_buffer(), "<i4")
+
+
+def cut_up(tokens: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """Each text's tokens, the end's at the end."""
+    ends = np.cumsum(lengths).tolist()
+    return [tokens[low:high] for low, high in zip([0, *ends], ends, strict=False)]
 
 
 def each_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
@@ -232,7 +258,7 @@ class Corpus:
             block = TaskContext.get().partitionId() << 33
             for b in batches:
                 done = 0
-                for texts in slices(b.column(1).to_pylist(), CHARS):
+                for texts in slices(texts_of(b.column(1)), CHARS):
                     words = [words_of(t) for t in texts]
                     numbered = pa.array([w for x in words for w in x], pa.binary()).dictionary_encode()
                     lengths = np.array([len(x) + 1 for x in words])
@@ -250,8 +276,7 @@ class Corpus:
 
         kind = rows.schema["doc_id"].dataType.simpleString()
         self.slices = written(rows.mapInArrow(
-            cut, f"block bigint, doc_ids array<{kind}>, " + ", ".join(f"{c} binary" for c in NUMBERS)), "slices",
-            {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"})
+            cut, f"block bigint, doc_ids array<{kind}>, " + ", ".join(f"{c} binary" for c in NUMBERS)), "slices", LARGE_ROWS)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -266,16 +291,30 @@ class Corpus:
 
         asked = self.slices.select("block", *NUMBERS).mapInArrow(count, "block bigint, at int, word binary, n bigint")
         # A word has a row for each slice, at most.
-        word = Window.partitionBy("word")
+        # One order for both columns: the rows are sorted once.
+        word = Window.partitionBy("word").orderBy("block")
         self.words = written(
-            asked.withColumn("c", F.sum("n").over(word))
-            .withColumn("first", F.row_number().over(word.orderBy("block")) == 1).drop("n"), "words")
+            asked.withColumn("c", F.sum("n").over(word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+            .withColumn("first", F.row_number().over(word) == 1).drop("n"), "words")
         distinct = self.words.filter("first and c > 0")
         row = distinct.agg(F.sum("c"), F.count("*")).first()
         self.tokens, self.distinct = row[0] or 0, row[1]
         frequent = (distinct.filter((F.col("c") >= OWN_SHARE * self.tokens) & (F.col("word") != F.lit(END)))
                     .orderBy(F.desc("c"), "word").select(key_column("word")).collect())
-        self.classes = Classes([bytes(r[0]) for r in frequent])
+        self.classes = classes = Classes([bytes(r[0]) for r in frequent])
+        self.kind = kind = "<u2" if classes.n <= 1 << 16 else "<i4"
+
+        def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in each_slice(batches):
+                lengths = part.lengths[~part.held_out]
+                if len(lengths):
+                    of = classes.of(part.vocabulary).astype(kind)[part.training()]
+                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (of, lengths)],
+                                                     names=["classes", "lengths"])
+
+        # Every pass of the training reads these; the words stay where they are.
+        self.training = written(self.slices.select(*NUMBERS).mapInArrow(classed, "classes binary, lengths binary"),
+                                "classes", LARGE_ROWS)
 
     def class_counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Tokens and distinct words of each class, in the training texts."""
@@ -298,19 +337,19 @@ class Corpus:
             tokens[k], distinct[k] = t, w
         return tokens, distinct
 
-    def summed(self, rows: int, columns: int, add: Callable[[Iterator[Slice], np.ndarray], None]) -> np.ndarray:
-        """A table of fixed size, added up over all slices: ``add`` gets the
-        slices of a task and its table."""
-        names = [f"s{i}" for i in range(columns)]
+    def summed(self, rows: int, columns: int, add: Callable[[Iterator[Training], np.ndarray], None]) -> np.ndarray:
+        """A table of fixed size, added up over all training texts: ``add`` gets
+        the slices of a task and its table."""
+        names, kind = [f"s{i}" for i in range(columns)], self.kind
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = np.zeros((rows, columns))
-            add(each_slice(batches), table)
+            add((Training(*row, kind) for b in batches for row in zip(*b.columns, strict=True)), table)
             used = np.flatnonzero(table.any(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used), *[pa.array(np.ascontiguousarray(c)) for c in table[used].T]], ["row", *names])
 
-        found = (self.slices.select(*NUMBERS).mapInArrow(run, "row bigint, " + ", ".join(f"{c} double" for c in names))
+        found = (self.training.mapInArrow(run, "row bigint, " + ", ".join(f"{c} double" for c in names))
                  .groupBy("row").agg(*[F.sum(c).alias(c) for c in names]).collect())
         table = np.zeros((rows, columns))
         for r in found:
@@ -353,14 +392,11 @@ def first_guess(corpus: Corpus, usual: np.ndarray, states: int) -> Chain:
         flat.emit = flat.emit * jitter / (flat.emit * jitter).sum(axis=0)
         return flat
 
-    def docs_of(part: Slice) -> tuple[np.ndarray, np.ndarray]:
-        """Class and text number of each token of training texts."""
-        of = classes.of(part.vocabulary)[part.tokens]
-        doc = np.repeat(np.arange(len(part.lengths)), part.lengths)
-        on = np.repeat(~part.held_out, part.lengths)
-        return of[on], doc[on]
+    def docs_of(part: Training) -> tuple[np.ndarray, np.ndarray]:
+        """Class and text number of each token."""
+        return part.classes, np.repeat(np.arange(len(part.lengths)), part.lengths)
 
-    def company(parts: Iterator[Slice], table: np.ndarray) -> None:
+    def company(parts: Iterator[Training], table: np.ndarray) -> None:
         for part in parts:
             of, doc = docs_of(part)
             there = of < anchors
@@ -372,7 +408,7 @@ def first_guess(corpus: Corpus, usual: np.ndarray, states: int) -> Chain:
 
     group = groups_of(corpus.summed(anchors, anchors, company), states)
 
-    def lean(parts: Iterator[Slice], table: np.ndarray) -> None:
+    def lean(parts: Iterator[Training], table: np.ndarray) -> None:
         for part in parts:
             of, doc = docs_of(part)
             share = np.zeros((len(part.lengths), states))
@@ -398,11 +434,11 @@ def baum_welch(corpus: Corpus, chain: Chain, usual: np.ndarray) -> tuple[Chain,
     log10 probability of them (of classes)."""
     classes, k = corpus.classes, len(chain.start)
 
-    def add(parts: Iterator[Slice], table: np.ndarray) -> None:
+    def add(parts: Iterator[Training], table: np.ndarray) -> None:
         emit, move, start = table[:classes.n], table[classes.n:classes.n + k], table[classes.n + k]
         waiting: list[np.ndarray] = []
         for part in parts:
-            waiting += part.sequences(classes, ~part.held_out)
+            waiting += cut_up(part.classes, part.lengths)
             # A place is a step for all texts that go on there: the more long texts
             # together, the fewer steps for each.
             if sum(map(len, waiting)) >= TOGETHER:
@@ -462,7 +498,7 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
         starts = np.cumsum(part.lengths) - part.lengths
         # Every text has a token, its end.
         known, unigram, within = (np.add.reduceat(x[part.tokens], starts) for x in ((c > 0).astype(np.int64), base, inside))
-        score = chain.log10_likelihoods(part.sequences(classes)) + within
+        score = chain.log10_likelihoods(cut_up(of[part.tokens], part.lengths)) + within
         ids = block["doc_ids"].combine_chunks().flatten()
         columns = (ids, part.held_out, part.lengths.astype(np.int64), known, np.full(len(ids), n, np.int64), unigram, score)
         return pa.table([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=names)
