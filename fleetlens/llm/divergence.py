@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import listed, slices, text_of, written
+from fleetlens.llm.common import LARGE_ROWS, listed, slices, text_of, texts_of, written
 
 #: Bits of a filter: two megabytes.
 BITS = 1 << 24
@@ -58,8 +58,6 @@ LETTERS = bytes(
 SLICE = ("lang string, sources array<string>, vocabulary binary, docs binary, terms binary, counts binary, "
          "doc_sources binary")
 LEFT = "lang string, vocabulary binary, docs binary, terms binary"
-#: A posting table's file may hold few large rows: the writer must not wait for many.
-FEW_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"}
 
 
 def term_slices(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -86,7 +84,7 @@ def term_slices(docs: DataFrame, text: str = "text", lang: str = "lang", source:
             for i, name in enumerate(langs.to_pylist()):
                 part = b.filter(pa.array(codes == i))
                 done = 0
-                for texts in slices(part.column(2).to_pylist(), CHARS):
+                for texts in slices(texts_of(part.column(2)), CHARS):
                     yield packed(name, texts, part.column(1).slice(done, len(texts)))
                     done += len(texts)
 
@@ -281,7 +279,7 @@ def kept_terms(docs: DataFrame, min_docs: int = 10, text: str = "text", lang: st
     a document of its own; an empty table has no terms. Other columns are not
     read. Terms may be of any length.
     """
-    whole = rows = written(term_slices(docs, text, lang, source), "term-slices", FEW_ROWS)
+    whole = rows = written(term_slices(docs, text, lang, source), "term-slices", LARGE_ROWS)
     length, found = first_length, []
     while True:
         level = written(level_counts(rows, length).filter(F.col("docs") >= min_docs), "term-level")
@@ -289,7 +287,7 @@ def kept_terms(docs: DataFrame, min_docs: int = 10, text: str = "text", lang: st
         left = prefix_filter(level.filter("NOT complete"))
         if left is None:
             break
-        rows = written(refined(rows, length, left), "term-slices", FEW_ROWS)
+        rows = written(refined(rows, length, left), "term-slices", LARGE_ROWS)
         length *= 2
     terms = found[0]
     for more in found[1:]:

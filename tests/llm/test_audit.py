@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fleetlens.llm import divergence, runs, secret_scan
@@ -198,3 +199,19 @@ def test_running_sums_over_blocks(spark):
 
 def test_no_documents_have_no_secrets(no_docs):
     assert secret_scan.secret_digests(no_docs).collect() == []
+
+
+def test_tables_of_large_rows_are_read_a_few_rows_at_once(spark):
+    import pyarrow.parquet as pq
+
+    from fleetlens.llm.common import LARGE_ROWS, written
+
+    def large(batches):
+        for b in batches:
+            for i in range(len(b)):
+                yield pa.RecordBatch.from_arrays([pa.array([random.Random(i).randbytes(3 << 20)])], ["x"])
+
+    files = written(spark.range(0, 8, 1, 1).mapInArrow(large, "x binary"), "large", LARGE_ROWS).inputFiles()
+    groups = [g for f in files for m in [pq.ParquetFile(f.removeprefix("file://")).metadata]
+              for g in map(m.row_group, range(m.num_row_groups))]
+    assert sum(g.num_rows for g in groups) == 8 and max(g.num_rows for g in groups) <= 2
