@@ -96,7 +96,7 @@ def test_a_bucket_of_applications_is_read_and_written_once():
             return self.state
 
     processor, apps = FS.StatusProcessor(), [f"a{i}" for i in range(500)]
-    processor.init(Handle)
+    processor.init(Handle())
     rows = [Row(app_id=apps, requested=[1] * 500, completed=[0] * 500, failed=[0] * 500),
             Row(app_id=apps[:9], requested=[0] * 9, completed=[1] * 9, failed=[0, 1] * 4 + [0])]
     told = {r.app_id: r.final_status for r in processor.handleInputRows((0,), rows, None)}
