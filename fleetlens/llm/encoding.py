@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from fleetlens.llm.bpe import spaced_words
+from fleetlens.llm.bpe import WHITE, spaced_words
 from fleetlens.llm.common import RecentCache, listed, per_process, slices, tokenizer
 
 #: Cached words and other parts, in each of a cache's two generations, and the
@@ -33,43 +33,65 @@ LINE = 256
 #: the fewer parts for each of them.
 CHARS = 6 << 20
 
+_WHITE = "".join(rf"\x{{{ord(c):x}}}" for c in WHITE)
+#: A space beside other white space; a line end between two visible characters,
+#: which is a pre-token of its own.
+TOUCHING, LINE_END = f" [{_WHITE}]|[{_WHITE}] ", f"([^{_WHITE}])\n([^{_WHITE}])"
+
 
 class ByteLevel:
     """Byte-level BPE without normaliser: cut before single spaces, which
-    belong to the word behind them."""
+    belong to the word behind them, and before single line ends."""
 
-    between, mark, kind = "\n", " ", pa.string()
+    between = "\n"
 
     @staticmethod
-    def cut(text: str) -> list[str]:
-        """Parts without the space that begins all but the first."""
-        return spaced_words(text, "")
-
-    text = staticmethod(str)
+    def cut(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Distinct parts, the parts of all texts by number, and how many each
+        text has. Arrow cuts the texts in which no space touches white space."""
+        column = pa.array(texts, pa.string())
+        careful = pc.match_substring_regex(column, TOUCHING)
+        lists = pc.split_pattern(pc.replace_substring_regex(column.filter(pc.invert(careful)), LINE_END, "\\1 \n\\2"), " ")
+        if (care := careful.to_numpy(zero_copy_only=False)).any():
+            others = pa.array([spaced_words(t, "") for t in column.filter(careful).to_pylist()], lists.type)
+            place = np.argsort(np.append(np.flatnonzero(~care), np.flatnonzero(care)))
+            lists = pa.concat_arrays([lists, others]).take(pa.array(place))
+        sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        numbered = lists.flatten().dictionary_encode()
+        codes, parts = numbered.indices.to_numpy().astype(np.int64), numbered.dictionary
+        # The space cut off belongs to the part behind it; a text's first part has
+        # none, and a line end in front of a part stands for itself.
+        at = np.cumsum(sizes) - sizes
+        firsts, first = np.unique(codes[at], return_inverse=True)
+        codes[at] = len(parts) + first
+        marks = pc.if_else(pc.starts_with(parts, "\n"), "", " ")
+        return pa.concat_arrays([pc.binary_join_element_wise(marks, parts, ""), parts.take(pa.array(firsts))]), codes, sizes
 
     @staticmethod
-    def letters(word: str) -> bool:
-        return word.isalpha()
+    def plain(words: pa.Array) -> np.ndarray:
+        """Which are one pre-token of letters, behind a space or a line end?"""
+        return pc.match_substring_regex(words, r"^[ \n]?\p{L}+$").to_numpy(zero_copy_only=False)
 
 
 class Words:
     """BPE over lower-case words that drops white space."""
 
-    between, mark, kind = "|", "", pa.binary()
+    between = "|"
 
     @staticmethod
-    def cut(text: str) -> list[bytes]:
+    def cut(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         # Special strings are matched before the library lowers letters.
-        data = text.encode()
-        return (data if b"<|" in data else data.lower()).split()
-
-    text = staticmethod(bytes.decode)
+        cut = [(data if b"<|" in data else data.lower()).split() for data in map(str.encode, texts)]
+        sizes = np.array([len(x) for x in cut])
+        numbered = pa.array(list(chain.from_iterable(cut)), pa.binary()).dictionary_encode()
+        return numbered.dictionary.cast(pa.string()), numbered.indices.to_numpy().astype(np.int64), sizes
 
     @staticmethod
-    def letters(word: str) -> bool:
-        """Is the word one pre-token of letters after the file's normaliser
+    def plain(words: pa.Array) -> np.ndarray:
+        """Which are one pre-token of letters after the file's normaliser
         (NFC, then lower case)? Some letters become a letter and a mark."""
-        return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+        return np.array([w.isalpha() and (w.isascii() or unicodedata.normalize("NFC", w).lower().isalpha())
+                         for w in listed(words)], bool)
 
 
 class Encoder:
@@ -87,10 +109,14 @@ class Encoder:
     def _lines(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters, many to a text: the separator between them
         is a pre-token of its own, with an id that no letters give. A line whose
-        separators do not all come back alone goes word by word."""
-        out: list[bytes] = []
+        separators do not all come back alone goes word by word. A separator
+        before a word is one, too."""
+        between, out = self.scheme.between, []
+        behind = [w.startswith(between) for w in words]
+        alone = np.array([self.separator], "<u4").tobytes()
+        words = [w.removeprefix(between) for w in words]
         lines = [words[i:i + LINE] for i in range(0, len(words), LINE)]
-        found = self.lib.encode_batch_fast([self.scheme.between.join(x) for x in lines], add_special_tokens=False)
+        found = self.lib.encode_batch_fast([between.join(x) for x in lines], add_special_tokens=False)
         for line, e in zip(lines, found, strict=True):
             ids = np.array(e.ids, dtype="<u4")
             data, start = ids.tobytes(), 0
@@ -101,21 +127,21 @@ class Encoder:
             for end in (4 * np.append(cuts, len(ids))).tolist():
                 out.append(data[start:end])
                 start = end + 4
-        return out
+        return [alone + ids if b else ids for ids, b in zip(out, behind, strict=True)]
 
     def _encoded(self, parts: pa.Array) -> tuple[list[bytes], np.ndarray]:
         """Ids of pieces, and for each part the numbers of its two: its word
         and the punctuation behind it (0: none), or the part as a whole."""
-        mark, letters = self.scheme.mark, self.scheme.letters
         trimmed = pc.utf8_rtrim(parts, string.punctuation)
         cores = trimmed.dictionary_encode()
-        words = listed(cores.dictionary)
-        plain = [w.startswith(mark) and len(w) <= CACHED_LENGTH and letters(w[len(mark):]) for w in words]
-        known = self.words.ready({w for w, ok in zip(words, plain, strict=True) if ok}, self._lines)
-        pieces = [b"", *(known[w] if ok else b"" for w, ok in zip(words, plain, strict=True))]
+        plain = self.scheme.plain(cores.dictionary)
+        plain &= pc.less_equal(pc.utf8_length(cores.dictionary), CACHED_LENGTH).to_numpy(zero_copy_only=False)
+        words = listed(cores.dictionary.filter(pa.array(plain)))
+        known = self.words.ready(set(words), self._lines)
+        pieces = [b"", *map(known.__getitem__, words)]
         core = cores.indices.to_numpy()
-        is_plain = np.array(plain, bool)[core]
-        first, second = core + 1, np.zeros(len(core), np.int64)
+        is_plain = plain[core]
+        first, second = np.cumsum(plain)[core], np.zeros(len(core), np.int64)
         # Punctuation is ASCII: as many characters as bytes.
         cut = pc.subtract(pc.binary_length(parts), pc.binary_length(trimmed)).to_numpy()
         some = np.flatnonzero(is_plain & (cut > 0))
@@ -133,18 +159,7 @@ class Encoder:
         return pieces, np.stack([first, second], axis=1)
 
     def _slice(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self.scheme.cut(t) for t in texts]
-        sizes = np.array([len(x) for x in cut])
-        numbered = pa.array(list(chain.from_iterable(cut)), self.scheme.kind).dictionary_encode()
-        codes = numbered.indices.to_numpy().astype(np.int64)
-        parts = numbered.dictionary.cast(pa.string())
-        if self.scheme.mark:
-            # A text's first part has no mark before it.
-            firsts = {p: len(parts) + i for i, p in enumerate(dict.fromkeys(x[0] for x in cut))}
-            codes[np.cumsum(sizes) - sizes] = [firsts[x[0]] for x in cut]
-            marked = pc.binary_join_element_wise(self.scheme.mark, parts, "")
-            parts = pa.concat_arrays([marked, pa.array(list(firsts), pa.string())])
-        del cut, numbered
+        parts, codes, sizes = self.scheme.cut(texts)
         pieces, of = self._encoded(parts)
         lengths = np.array([len(x) // 4 for x in pieces], np.int64)
         pool, starts = np.frombuffer(b"".join(pieces), "<u4"), np.cumsum(lengths) - lengths

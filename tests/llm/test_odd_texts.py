@@ -1,5 +1,6 @@
 """Cutting texts into cached parts never changes what the libraries give."""
 
+import itertools
 import random
 
 import numpy as np
@@ -40,6 +41,19 @@ def test_every_character_in_and_at_the_ends_of_words(name, form):
     assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
 
 
+def test_words_around_a_line_end_are_looked_up_apart(monkeypatch):
+    """Not every pair of words goes to the library as a text."""
+    path = vocabulary_path("byte_bpe_50k.json")
+    words = ["".join(x) for x in itertools.product("abcdefgh", repeat=2)]
+    texts = [f"to {a}.\n{b}, and" for a in words for b in words]
+    encoder, sent = encoding.Encoder(encoding.ByteLevel(), path), []
+    for name in ("_whole", "_lines"):
+        monkeypatch.setattr(encoder, name, lambda x, f=getattr(encoder, name): sent.extend(x) or f(x))
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+    assert len(sent) < 4 * len(words)
+
+
 def test_counts():
     path = vocabulary_path(bpe.VOCABULARY)
     texts = odd_texts()
