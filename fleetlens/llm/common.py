@@ -27,9 +27,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Writer's options of tables whose rows are large: the writer must not wait for
-#: many rows, and a reader holds a row group's columns at once.
+#: many rows, and a reader holds a row group's columns at once. Zstandard makes
+#: packed numbers and vocabularies a quarter smaller than the usual codec.
 LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1",
-              "parquet.block.size": str(4 << 20)}
+              "parquet.block.size": str(4 << 20), "compression": "zstd"}
 
 
 def remainder(doc_id: str, by: int) -> Column:
@@ -136,6 +137,17 @@ def listed(values: pa.Array) -> list:
     return values.to_numpy(zero_copy_only=False).tolist()
 
 
+def shrunk(data: bytes) -> bytes:
+    """``data`` compressed, behind its length: for rows that a table keeps and a
+    shuffle moves."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def grown(data: pa.Buffer) -> pa.Buffer:
+    """What ``shrunk`` was given."""
+    return pa.decompress(data.slice(8), int.from_bytes(data.slice(0, 8).to_pybytes(), "little"), codec="zstd")
+
+
 def tokenizer(path: str):
     """The tokenizers library's object for a .json file, one per worker."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

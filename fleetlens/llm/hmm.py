@@ -10,7 +10,7 @@ the sum over all state paths, computed exactly by the scaled forward recursion,
 times the words' probabilities within their classes, its end included.
 
 Texts are cut into words once, in slices of bounded size that hold a vocabulary
-and the words' numbers; every later pass reads those. Corpus counts are made of
+and the words' numbers, compressed; every later pass reads those. Corpus counts are made of
 all training texts. Their number of distinct words has no bound, so no task or
 driver holds them: each slice asks for the counts of its own words and meets them
 again by its number.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import LARGE_ROWS, listed, remainder, slices, text_of, texts_of, written
+from fleetlens.llm.common import LARGE_ROWS, grown, listed, remainder, shrunk, slices, text_of, texts_of, written
 
 STATES = 8
 #: A word has a class of its own from this share of all training tokens on:
@@ -210,14 +210,25 @@ def vocabulary_of(blob: bytes) -> list[bytes]:
     return [END, *blob.split(b" ")] if blob else [END]
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers as all first bytes, all second ones and so on: small
+    numbers have little in the later ones, which compress better apart."""
+    return np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def numbers(planes: pa.Buffer) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 class Slice:
     """A slice's texts as numbers."""
 
     def __init__(self, row: dict[str, pa.Scalar]):
-        self.vocabulary = vocabulary_of(row["vocabulary"].as_py())
-        self.tokens = np.frombuffer(row["tokens"].as_buffer(), "<i4")
-        self.lengths = np.frombuffer(row["lengths"].as_buffer(), "<i4")
-        self.held_out = np.frombuffer(row["held"].as_buffer(), np.uint8).astype(bool)
+        blobs = {name: grown(row[name].as_buffer()) for name in NUMBERS}
+        self.vocabulary = vocabulary_of(blobs["vocabulary"].to_pybytes())
+        self.tokens = numbers(blobs["tokens"])
+        self.lengths = np.frombuffer(blobs["lengths"], "<i4")
+        self.held_out = np.frombuffer(blobs["held"], np.uint8).astype(bool)
 
     def training(self) -> np.ndarray:
         """Tokens of training texts, with their ends."""
@@ -267,10 +278,10 @@ class Corpus:
                     inner[np.cumsum(lengths) - 1] = False
                     tokens[inner] = numbered.indices.to_numpy() + 1
                     part = b.slice(done, len(texts))
-                    blobs = (b" ".join(listed(numbered.dictionary)), tokens.tobytes(), lengths.astype("<i4").tobytes(),
+                    blobs = (b" ".join(listed(numbered.dictionary)), planes(tokens), lengths.astype("<i4").tobytes(),
                              part.column(2).to_numpy(zero_copy_only=False).astype(np.uint8).tobytes())
                     ids = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), part.column(0))
-                    yield pa.RecordBatch.from_arrays([pa.array([block]), ids, *(pa.array([x], pa.binary()) for x in blobs)],
+                    yield pa.RecordBatch.from_arrays([pa.array([block]), ids, *(pa.array([shrunk(x)], pa.binary()) for x in blobs)],
                                                      names=["block", "doc_ids", *NUMBERS])
                     block, done = block + 1, done + len(texts)
 

@@ -361,6 +361,19 @@ def test_hmm_slices_of_any_size_give_the_same_scores(docs, monkeypatch):
         assert r.score == pytest.approx(whole[r.doc_id, r.n_tokens], rel=1e-6)
 
 
+def test_hmm_keeps_and_shuffles_slices_compressed(spark):
+    """A slice's columns, as a shuffle moves them, need under two bytes a token."""
+    r = np.random.default_rng(0)
+    texts = [" ".join(f"w{x}" for x in r.zipf(1.3, 400) % 50_000) for _ in range(200)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = hmm.Corpus(docs, "doc_id", "text", 7, 2).slices.collect()
+    parts = [hmm.Slice({c: pa.scalar(bytes(row[c])) for c in hmm.NUMBERS}) for row in rows]
+    found = {i: [p.vocabulary[x] for x in tokens] for row, p in zip(rows, parts, strict=True)
+             for i, tokens in zip(row.doc_ids, hmm.cut_up(p.tokens, p.lengths), strict=True)}
+    assert found == {i: [*hmm.words_of(t), hmm.END] for i, t in enumerate(texts)}
+    assert sum(len(row.tokens) for row in rows) < 2 * sum(len(p.tokens) for p in parts)
+
+
 def test_hmm_trains_on_classes_that_are_found_once(docs):
     corpus = hmm.Corpus(docs, "doc_id", "text", 7, 2)
     got = [(hmm.Training(pa.scalar(bytes(r.classes)), pa.scalar(bytes(r.lengths)), corpus.kind)) for r in corpus.training.collect()]
