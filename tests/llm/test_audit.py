@@ -201,6 +201,20 @@ def test_no_documents_have_no_secrets(no_docs):
     assert secret_scan.secret_digests(no_docs).collect() == []
 
 
+def test_slices_of_terms_take_less_disk_than_by_the_usual_codec(spark):
+    from pathlib import Path
+
+    from fleetlens.llm.common import LARGE_ROWS, written
+
+    r = random.Random(0)
+    rows = [(i, " ".join("".join(r.choices("etaoinsh", k=r.randrange(1, 6))) for _ in range(200)), "en", f"s{i % 9}", None, None, None)
+            for i in range(500)]
+    cut = divergence.term_slices(spark.createDataFrame(rows, AUDIT).coalesce(1))
+    sizes = [sum(Path(f.removeprefix("file://")).stat().st_size for f in written(cut, "cut", LARGE_ROWS | more).inputFiles())
+             for more in ({}, {"compression": "snappy"})]
+    assert sizes[0] < 0.8 * sizes[1]
+
+
 def test_tables_of_large_rows_are_read_a_few_rows_at_once(spark):
     import pyarrow.parquet as pq
 
