@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import string
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -169,12 +169,14 @@ class Encoder:
         behind = np.append(0, np.cumsum(n))
         ids = pool[np.repeat(starts[which] - behind[:-1], n) + np.arange(behind[-1])]
         ends = behind[2 * np.cumsum(sizes)].tolist()
+        del parts, codes, pieces, of, pool, which, n
         for start, end in zip([0, *ends], ends, strict=False):
             yield ids[start:end].tobytes()
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         for some in slices(texts, CHARS):
             yield from self._slice(some)
+            pa.default_memory_pool().release_unused()
 
 
 def encoder(scheme: Callable[[], ByteLevel | Words], path: str) -> Encoder:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import text_of, vocabulary_path, written
+from fleetlens.llm.common import text_of, texts_of, vocabulary_path, written
 from fleetlens.llm.encoding import ByteLevel, encoder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabula
         tail = np.array([end], dtype="<u4").tobytes()
         for b in batches:
             row, piece, starts, lengths, crcs = [], [], [], [], []
-            all_ids = encode.encode(b.column(1).to_pylist())
+            all_ids = encode.encode(texts_of(b.column(1)))
             for r, ids in enumerate(all_ids):
                 ids += tail
                 n, start = len(ids) // 4, 0
